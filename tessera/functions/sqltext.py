@@ -24,6 +24,7 @@ OPEN, CLOSE = "\ue000", "\ue001"  # brackets of an ordinary group
 REF_OPEN, REF_CLOSE = "\ue002", "\ue003"  # reference to a lifted scope
 COMMA = "\ue005"  # comma inside an ordinary group
 HUSH = "\ue006"  # ends a keyword that must not be read as one
+CUT, WORD_END = "\ue008", "\ue009"  # around the word between two sources
 DEPTH = "\ue007"  # one per and/or/bracket level above an equality
 _ASCII = "".join(map(chr, range(1, 128)))
 _AS_IDENT = "".join(chr(0xE100 + i) for i in range(1, 128))
@@ -44,6 +45,7 @@ _TOKEN = (
     r"|--[^\n]*+"
     r"|/\*[\s\S]*?(?:\*/|$)"
 )
+_TOKEN_START = r"['\"\[`]|--|/\*"
 _GROUP = r"\([^()]*\)"
 _SCOPE_WORD = r"(?i)\b(?:select|join)\b"
 _HUSHED_WORDS = (
@@ -52,9 +54,9 @@ _HUSHED_WORDS = (
 )
 _SET_OPERATOR = r"(?i)\b(?:union|intersect|except|minus)\b(?:\s+(?:all|distinct)\b)?"
 _SELECT_FROM = r"(?i)\bselect\b.*?\bfrom\b(.*)$"
-_BODY = (
-    r"(?i)^(.*?)(?:\b(?:where|group\s+by|having|order\s+by|limit|qualify|window|offset"
-    r"|fetch|lateral\s+view|connect\s+by|start\s+with|option|for\s+xml)\b|$)"
+_BODY_END = (
+    r"(?i)\b(?:where|group\s+by|having|order\s+by|limit|qualify|window|offset"
+    r"|fetch|lateral\s+view|connect\s+by|start\s+with|option|for\s+xml)\b"
 )
 _JOIN_WORD = (
     r"(?i)(?:\bnatural\s+)?(?:\b(?:left|right|full)\s+(?:(?:outer|semi|anti|inner)\s+)?"
@@ -89,43 +91,65 @@ _EQUALITY = (
 )
 
 
+def cut(text: Column, pattern: str) -> Column:
+    """``split`` by a pattern that is compiled once per task instead of once per row."""
+    return F.split(F.regexp_replace(text, pattern, CUT), CUT)
+
+
 def _splice(text: Column, pattern: str, render) -> Column:
     """``text`` with each match of ``pattern`` replaced by ``render(match, index)``."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.transform(matches, render)
-    return F.array_join(
-        F.zip_with(
-            F.split(text, pattern), pieces, lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))
-        ),
-        "",
+    marked = F.regexp_replace(text, pattern, f"{CUT}$0{WORD_END}")
+    pieces = F.transform(
+        F.split(marked, CUT),
+        lambda piece, i: F.when(
+            F.contains(piece, F.lit(WORD_END)),
+            F.concat(
+                render(F.substring_index(piece, WORD_END, 1), i - 1),
+                F.substring_index(piece, WORD_END, -1),
+            ),
+        ).otherwise(piece),
     )
+    return F.array_join(pieces, "")
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, also inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def decode(text: Column) -> Column:
     """Shifted literals and identifiers back to plain text."""
-    return F.translate(text, _AS_IDENT + _AS_LITERAL, _ASCII + _ASCII)
+    return F.when(
+        text.rlike("[\ue100-\ue2ff]"), F.translate(text, _AS_IDENT + _AS_LITERAL, _ASCII + _ASCII)
+    ).otherwise(text)
 
 
 def readable(text: Column) -> Column:
     """Condition text for people: brackets and commas restored, one blank between words."""
-    plain = F.regexp_replace(text, f"{REF_OPEN}[0-9]+{REF_CLOSE}", "(…)")
-    plain = F.regexp_replace(plain, "_" + HUSH, "")
-    plain = F.regexp_replace(plain, DEPTH, "")
-    plain = F.regexp_replace(plain, r"(?<![<>!=:])\s*=(?![>=])\s*", " = ")
-    plain = F.regexp_replace(plain, rf"{OPEN}\s*", OPEN)
-    plain = F.regexp_replace(plain, rf"\s*{CLOSE}", CLOSE)
-    plain = F.regexp_replace(plain, rf"\s*{COMMA}\s*", f"{COMMA} ")
-    plain = F.trim(F.regexp_replace(plain, r"\s+", " "))
-    return F.translate(
-        plain,
+    spaced = F.regexp_replace(
+        F.replace(text, F.lit(DEPTH), F.lit("")), r"(?<![<>!=:])\s*=(?![>=])\s*", " = "
+    )
+    full = F.regexp_replace(spaced, f"{REF_OPEN}[0-9]+{REF_CLOSE}", "(…)")
+    full = F.replace(full, F.lit("_" + HUSH), F.lit(""))
+    full = F.regexp_replace(full, rf"(?<={OPEN})\s+|\s+(?=[{CLOSE}{COMMA}])", "")
+    full = F.translate(
+        F.regexp_replace(full, rf"{COMMA}\s*", f"{COMMA} "),
         _AS_IDENT + _AS_LITERAL + OPEN + CLOSE + COMMA,
         _ASCII + _ASCII + "(),",
     )
+    return F.trim(
+        F.regexp_replace(
+            F.when(spaced.rlike(_PRIVATE), full).otherwise(spaced), r"\s+", " "
+        )
+    )
 
 
 def fill_templates(sql: Column) -> Column:
     """``{{ parameter }}`` -> 1; also clears the private-use block used below."""
-    return F.regexp_replace(F.regexp_replace(sql, TEMPLATE_PARAMETER, "1"), _PRIVATE, " ")
+    filled = F.when(
+        F.contains(sql, F.lit("{{")), F.regexp_replace(sql, TEMPLATE_PARAMETER, "1")
+    ).otherwise(sql)
+    return F.regexp_replace(filled, _PRIVATE, " ")
 
 
 def shield(sql: Column) -> Column:
@@ -142,7 +166,7 @@ def shield(sql: Column) -> Column:
             )
         )
 
-    return _splice(sql, _TOKEN, render)
+    return F.when(sql.rlike(_TOKEN_START), _splice(sql, _TOKEN, render)).otherwise(sql)
 
 
 def tidy(shielded: Column) -> Column:
@@ -157,8 +181,8 @@ def tidy(shielded: Column) -> Column:
 
 def statements(tidied: Column) -> Column:
     """Array of non-blank statements: cut at ``;`` and before each further DDL verb."""
-    cut = F.flatten(F.transform(F.split(tidied, ";"), lambda s: F.split(s, DDL_START)))
-    return F.filter(cut, lambda s: F.trim(s) != "")
+    pieces = F.flatten(F.transform(F.split(tidied, ";"), lambda s: cut(s, DDL_START)))
+    return F.filter(pieces, lambda s: F.trim(s) != "")
 
 
 def nesting_depth(statement: Column) -> Column:
@@ -191,12 +215,12 @@ def mark_depth(condition: Column, extra: int) -> Column:
     ranged = F.regexp_replace(condition, r"(?i)\bbetween\b(.*?)\band\b", f"between$1and_{HUSH}")
 
     def one_or(part: Column, i: Column, n_or: Column) -> Column:
-        ands = F.split(part, r"(?i)\band\b")
+        ands = cut(part, r"(?i)\band\b")
 
-        def one_and(operand: Column, j: Column) -> Column:
+        def one_and(operand: Column, j: Column, n_and: Column) -> Column:
             levels = (
                 _chain(i, n_or)
-                + _chain(j, F.size(ands))
+                + _chain(j, n_and)
                 + F.when(operand.rlike(r"(?i)^\s*not\b"), 1).otherwise(0)
                 + F.lit(extra)
             )
@@ -204,10 +228,18 @@ def mark_depth(condition: Column, extra: int) -> Column:
                 F.replace(operand, F.lit("="), F.concat(F.lit("="), F.repeat(F.lit(DEPTH), levels)))
             )
 
-        return F.array_join(F.transform(ands, one_and), " AND ")
+        return let(
+            ands,
+            lambda a: F.array_join(
+                F.transform(a, lambda operand, j: one_and(operand, j, F.size(a))), " AND "
+            ),
+        )
 
-    ors = F.split(ranged, r"(?i)\bor\b")
-    return F.array_join(F.transform(ors, lambda p, i: one_or(p, i, F.size(ors))), " OR ")
+    ors = cut(ranged, r"(?i)\bor\b")
+    return let(
+        ors,
+        lambda o: F.array_join(F.transform(o, lambda p, i: one_or(p, i, F.size(o))), " OR "),
+    )
 
 
 def _ordinary(inner: Column) -> Column:
@@ -270,7 +302,7 @@ def peel(statement: Column, depth: Column) -> Column:
 
 def branches(scope_text: Column) -> Column:
     """The SELECTs of a scope, cut at set operators."""
-    return F.split(scope_text, _SET_OPERATOR)
+    return cut(scope_text, _SET_OPERATOR)
 
 
 def from_body(branch: Column) -> Column:
@@ -281,37 +313,56 @@ def from_body(branch: Column) -> Column:
     whole = F.when(
         ~branch.rlike(r"(?i)\bselect\b") & branch.rlike(r"(?i)\bjoin\b"), branch
     ).otherwise(F.regexp_extract(branch, _SELECT_FROM, 1))
-    return F.regexp_extract(whole, _BODY, 1)
+    return F.get(cut(whole, _BODY_END), F.lit(0))
 
 
-def items(body: Column) -> Column:
-    """Array of ``struct(word, text)``: sources in order, with the word before each."""
-    words = F.concat(
-        F.array(F.lit("")), F.regexp_extract_all(body, F.lit(_CUT), F.lit(0))
+def _item(word: Column, text: Column) -> Column:
+    head = F.regexp_replace(
+        F.trim(F.regexp_extract(text, _TABLE, 0)), r"(?i)^(?:lateral|only) ", ""
     )
-    return F.arrays_zip(words.alias("word"), F.split(body, _CUT).alias("text"))
 
+    def named(tokens: Column) -> Column:
+        alias = F.when(F.size(tokens) > 1, decode(F.element_at(tokens, -1)))
 
-def table_name(item: Column) -> Column:
-    return F.regexp_extract(item, _TABLE, 1)
+        def placed(parts: Column) -> Column:
+            return F.struct(
+                word.alias("word"),
+                text.alias("text"),
+                F.nullif(alias, F.lit("")).alias("alias"),
+                F.nullif(decode(F.try_element_at(parts, F.lit(-2))), F.lit("")).alias("schema"),
+                decode(F.element_at(parts, -1)).alias("table"),
+            )
 
+        return let(F.split(F.element_at(tokens, 1), r"\."), placed)
 
-def table_alias(item: Column) -> Column:
-    return F.regexp_extract(item, _TABLE, 2)
+    return let(F.split(head, " "), named)
 
 
-def _source(item: Column) -> Column:
-    """``struct(alias, schema, table)`` of a plain table; table is '' for anything else."""
-    parts = F.split(table_name(item), r"\.")
-    return F.struct(
-        F.nullif(decode(table_alias(item)), F.lit("")).alias("alias"),
-        F.nullif(decode(F.try_element_at(parts, F.lit(-2))), F.lit("")).alias("schema"),
-        decode(F.element_at(parts, -1)).alias("table"),
+def items(body: Column) -> Column:
+    """Sources in order: ``struct(word, text, alias, schema, table)``.
+
+    ``word`` is the comma or join keyword in front; ``table`` is '' for anything but
+    a plain table.
+    """
+    marked = F.regexp_replace(body, _CUT, f"{CUT}$0{WORD_END}")
+    return F.transform(
+        F.split(marked, CUT),
+        lambda piece: _item(
+            F.when(F.contains(piece, F.lit(WORD_END)), F.substring_index(piece, WORD_END, 1))
+            .otherwise(""),
+            F.substring_index(piece, WORD_END, -1),
+        ),
     )
 
 
-def plain_sources(item_texts: Column) -> Column:
-    return F.filter(F.transform(item_texts, _source), lambda s: s["table"] != "")
+def plain_sources(items_: Column) -> Column:
+    """The plain tables among the items: ``struct(alias, schema, table)``."""
+    return F.transform(
+        F.filter(items_, lambda i: i["table"] != ""),
+        lambda i: F.struct(
+            i["alias"].alias("alias"), i["schema"].alias("schema"), i["table"].alias("table")
+        ),
+    )
 
 
 def references(text: Column) -> Column:
@@ -355,31 +406,36 @@ def on_condition(item: Column) -> Column:
 
 def equalities(condition: Column) -> Column:
     """``struct(left, right)`` column names of each ``column = column``, shallowest first."""
-    pattern = F.lit(_EQUALITY)
-    found = F.arrays_zip(
-        F.regexp_extract_all(condition, pattern, F.lit(1)).alias("left"),
-        F.regexp_extract_all(condition, pattern, F.lit(2)).alias("marks"),
-        F.regexp_extract_all(condition, pattern, F.lit(3)).alias("right"),
-    )
-    ranked = F.transform(
-        found,
-        lambda e, i: F.struct(
-            F.length(e["marks"]).alias("depth"),
+    found = F.regexp_extract_all(condition, F.lit(_EQUALITY), F.lit(0))
+
+    def ranked(match: Column, i: Column) -> Column:
+        bare = F.replace(match, F.lit(DEPTH), F.lit(""))
+        left = F.element_at(F.split(F.trim(F.substring_index(bare, "=", 1)), " "), -1)
+        return F.struct(
+            (F.length(match) - F.length(bare)).alias("depth"),
             i.alias("at"),
-            e["left"].alias("left"),
-            e["right"].alias("right"),
-        ),
-    )
-    return F.array_sort(ranked)
+            F.translate(left, OPEN + COMMA, "").alias("left"),
+            F.trim(F.substring_index(bare, "=", -1)).alias("right"),
+        )
+
+    return F.array_sort(F.transform(found, ranked))
 
 
 def resolve(name: Column, lookup: Column) -> Column:
     """``struct(schema, table, column)``; the qualifier is looked up without regard to case."""
-    parts = F.split(name, r"\.")
-    qualifier = decode(F.try_element_at(parts, F.lit(-2)))
-    hit = F.get(F.filter(lookup, lambda e: e["key"] == F.lower(qualifier)), F.lit(0))
-    return F.struct(
-        hit["schema"].alias("schema"),
-        F.when(hit.isNotNull(), hit["table"]).otherwise(qualifier).alias("table"),
-        decode(F.element_at(parts, -1)).alias("column"),
-    )
+
+    def found(parts: Column) -> Column:
+        qualifier = decode(F.try_element_at(parts, F.lit(-2)))
+
+        def placed(hit: Column) -> Column:
+            return F.struct(
+                hit["schema"].alias("schema"),
+                F.when(hit.isNotNull(), hit["table"]).otherwise(qualifier).alias("table"),
+                decode(F.element_at(parts, -1)).alias("column"),
+            )
+
+        return let(qualifier, lambda q: let(
+            F.get(F.filter(lookup, lambda e: e["key"] == F.lower(q)), F.lit(0)), placed
+        ))
+
+    return let(F.split(name, r"\."), found)

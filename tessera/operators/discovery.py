@@ -89,7 +89,7 @@ def _scopes(statements: DataFrame) -> DataFrame:
                     F.concat(
                         F.flatten(
                             F.transform(
-                                s["branches"], lambda b: sx.plain_sources(b["items"]["text"])
+                                s["branches"], lambda b: sx.plain_sources(b["items"])
                             )
                         ),
                         F.flatten(
@@ -126,7 +126,7 @@ def _scopes(statements: DataFrame) -> DataFrame:
             lambda e: F.array_contains(sx.references(first), e["id"]),
         )["tables"]
     )
-    rest = F.slice(F.col("_items"), F.lit(2), F.greatest(F.size("_items") - 1, F.lit(0)))["text"]
+    rest = F.slice(F.col("_items"), F.lit(2), F.greatest(F.size("_items") - 1, F.lit(0)))
     return rows.where(F.size("_items") > 1).select(
         "file",
         "stmt_no",
@@ -134,7 +134,7 @@ def _scopes(statements: DataFrame) -> DataFrame:
         "_items",
         sx.names(
             F.concat(
-                sx.plain_sources(F.array(first)),
+                sx.plain_sources(F.slice(F.col("_items"), F.lit(1), F.lit(1))),
                 F.when(F.contains(first, F.lit(sx.REF_OPEN)), nested).otherwise(
                     F.array().cast("array<struct<alias:string,schema:string,table:string>>")
                 ),
@@ -151,35 +151,39 @@ def extract_joins(corpus: DataFrame) -> DataFrame:
     right_alias, on_text, clause_text, equalities``; an equality is
     ``struct(left, right)`` of ``struct(schema, table, column)``.  No shuffle.
     """
-    exploded = _scopes(split_statements(corpus)).select(
-        "file", "stmt_no", "scope_no", "_names", F.posexplode("_items").alias("join_no", "_item")
-    )
-    item = F.col("_item.text")
-    plain = (
-        exploded.where(
-            F.col("_item.word").rlike(r"(?i)join$")
-            & item.rlike(r"(?i)\bon\b")
-            & (sx.table_name(item) != "")
-        )
-        .withColumn("_on", sx.on_condition(item))
-        .withColumn("_equal", sx.equalities(F.col("_on")))
-        .where(F.size("_equal") > 0)
+
+    def join_of(names: Column, item: Column, i: Column) -> Column:
+        def described(on: Column) -> Column:
+            both = F.transform(
+                sx.equalities(on),
+                lambda e: F.struct(
+                    sx.resolve(e["left"], names).alias("left"),
+                    sx.resolve(e["right"], names).alias("right"),
+                ),
+            )
+            return F.struct(
+                i.alias("join_no"),
+                sx.join_kind(item["word"]).alias("kind"),
+                item["schema"].alias("right_schema"),
+                item["table"].alias("right_table"),
+                item["alias"].alias("right_alias"),
+                sx.readable(on).alias("on_text"),
+                both.alias("equalities"),
+            )
+
+        plain = F.endswith(F.lower(item["word"]), F.lit("join")) & (item["table"] != "")
+        return F.when(plain, sx.let(sx.on_condition(item["text"]), described))
+
+    # The test for equalities stays inside the array: as a filter on a column it would
+    # be pushed below the projection and evaluate all of this a second time.
+    joins = F.filter(
+        F.transform("_items", lambda item, i: join_of(F.col("_names"), item, i)),
+        lambda j: F.size(j["equalities"]) > 0,
     )
-    parts = F.split(sx.table_name(item), r"\.")
-    named = plain.select(
-        *SEEN,
-        sx.join_kind(F.col("_item.word")).alias("kind"),
-        F.nullif(sx.decode(F.try_element_at(parts, F.lit(-2))), F.lit("")).alias("right_schema"),
-        sx.decode(F.element_at(parts, -1)).alias("right_table"),
-        F.nullif(sx.decode(sx.table_alias(item)), F.lit("")).alias("right_alias"),
-        sx.readable(F.col("_on")).alias("on_text"),
-        F.transform(
-            "_equal",
-            lambda e: F.struct(
-                sx.resolve(e["left"], F.col("_names")).alias("left"),
-                sx.resolve(e["right"], F.col("_names")).alias("right"),
-            ),
-        ).alias("equalities"),
+    named = (
+        _scopes(split_statements(corpus))
+        .select("file", "stmt_no", "scope_no", F.explode(joins).alias("_j"))
+        .select("file", "stmt_no", "scope_no", "_j.*")
     )
     shown = F.concat(
         F.concat_ws(".", "right_schema", "right_table"),

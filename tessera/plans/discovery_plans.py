@@ -162,9 +162,9 @@ SELECT 'q/' || o_orderkey || '.sql' AS file, 'unbalanced brackets in statement 0
 FROM orders WHERE o_orderkey % 17 <> 0 AND (o_orderkey // 20) % 10 = 6"""
 )
 def scan_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus with the last bracket of each derived table lost."""
+    """The corpus with the last bracket of each scalar subquery lost."""
     broken = corpus(spark, sf_dir).select(
-        "file", F.replace("sql", F.lit("from limits)"), F.lit("from limits")).alias("sql")
+        "file", F.replace("sql", F.lit("limits)"), F.lit("limits")).alias("sql")
     )
     return discovery.scan_errors(broken)
 
