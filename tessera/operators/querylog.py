@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import squeeze_and_cap
+from tessera.schemas import CATALOG_TTL_SECONDS
 
 # Longest SQL and failure detail in a log line, in characters.
 SQL_CAP = 500
@@ -130,6 +131,49 @@ def tail_bytes(
     )
 
 
+def refetches(
+    requests: DataFrame, fetches: DataFrame, keys: Sequence[str], ts: str,
+    ttl_seconds: int = CATALOG_TTL_SECONDS,
+) -> DataFrame:
+    """Requests with ``stale``: no fetch of the key in the TTL up to the request.
+
+    With time cut into buckets as long as the TTL, two values per key and bucket
+    decide: the first fetch of the request's own bucket and the last one of the
+    bucket before.  Fetches are thus reduced before the join, which is on (key,
+    bucket), so a busy key is spread over time; no request meets a list of fetches.
+    ``requests`` may be a stream.
+    """
+    ttl = ttl_seconds * 1_000_000
+
+    def placed(df: DataFrame) -> DataFrame:
+        at = F.unix_micros(F.col(ts).cast("timestamp"))
+        return df.withColumn("_at", at).withColumn(
+            "_bucket", F.floor(F.col("_at") / F.lit(ttl)).cast("long")
+        )
+
+    seen = (
+        placed(fetches)
+        .groupBy(*keys, "_bucket")
+        .agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    )
+    # each reduced row answers for its own bucket and for the next one
+    answers = (
+        seen.withColumn("_later", F.explode(F.array(F.lit(0), F.lit(1))))
+        .groupBy(*keys, (F.col("_bucket") + F.col("_later")).alias("_bucket"))
+        .agg(
+            F.min(F.when(F.col("_later") == 0, F.col("_first"))).alias("_first"),
+            F.max(F.when(F.col("_later") == 1, F.col("_last"))).alias("_before"),
+        )
+    )
+    fresh = (F.col("_first") <= F.col("_at")) | (F.col("_before") >= F.col("_at") - F.lit(ttl))
+    return (
+        placed(requests)
+        .join(answers, [*keys, "_bucket"], "left")
+        .withColumn("stale", ~F.coalesce(fresh, F.lit(False)))
+        .select(*requests.columns, "stale")
+    )
+
+
 def failure_rollup(events: DataFrame, bucket: str = "1 hour") -> DataFrame:
     """Reads and failures per time bucket, source and reason ('' for successes).
 

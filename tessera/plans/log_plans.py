@@ -112,3 +112,19 @@ def log_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return querylog.failure_rollup(parsed).withColumn(
         "bucket_start", F.date_format("bucket_start", "yyyy-MM-dd HH:mm:ss")
     )
+
+
+@query(
+    """
+SELECT r.event_id, NOT EXISTS (SELECT 1 FROM events f WHERE f.event_type = 'purchase' AND f.user_id = r.user_id
+         AND f.ts <= r.ts AND f.ts >= r.ts - INTERVAL 86400 SECOND) AS stale
+FROM events r WHERE r.event_type <> 'purchase'"""
+)
+def ttl_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases count as fetches of the user, valid for a day."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    fetched = F.col("event_type") == "purchase"
+    out = querylog.refetches(
+        events.where(~fetched), events.where(fetched), ["user_id"], "ts", 86_400
+    )
+    return out.select("event_id", "stale")

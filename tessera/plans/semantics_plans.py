@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.operators import history, keys, measures, quality
@@ -224,21 +223,23 @@ SCD = Scd("valid_from", "valid_to", "is_current")
 
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status versions per customer: an order holds until the next one of its customer."""
-    by = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    rows = table(spark, sf_dir, "orders").select(
+    """Status versions per customer, one per order; every tenth is still open."""
+    k = F.col("o_orderkey")
+    until = F.timestamp_add("DAY", (1 + k % 200).cast("int"), F.col("o_orderdate"))
+    return table(spark, sf_dir, "orders").select(
         "o_custkey",
         "o_orderkey",
         "o_orderstatus",
         F.col("o_orderdate").alias("valid_from"),
-        F.lead("o_orderdate").over(by).alias("valid_to"),
+        F.when(k % 10 != 0, until).alias("valid_to"),
+        (k % 10 == 0).alias("is_current"),
     )
-    return rows.withColumn("is_current", F.col("valid_to").isNull())
 
 
 _VERSIONS_SQL = """
 WITH v AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate AS valid_from,
-                  lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS valid_to
+                  CASE WHEN o_orderkey % 10 <> 0
+                       THEN o_orderdate + to_days((1 + o_orderkey % 200)::INT) END AS valid_to
            FROM orders)"""
 
 
