@@ -4,16 +4,19 @@ from tessera.operators import discovery
 from tessera.sources import corpus
 
 
-def joins_of(spark, sql):
-    df = spark.createDataFrame([("f.sql", sql)], "file string, sql string")
-    rows = discovery.extract_joins(df).orderBy(*discovery.SEEN).collect()
+def _end(e):
+    return ".".join(x or "" for x in (e.schema, e.table, e.column))
 
-    def end(e):
-        return ".".join(x or "" for x in (e.schema, e.table, e.column))
 
-    return [
-        (r.kind, [f"{end(e.left)}={end(e.right)}" for e in r.equalities], r.on_text) for r in rows
-    ]
+def joins_of(spark, texts):
+    """Joins per text: (kind, equalities, condition)."""
+    df = spark.createDataFrame([(t, t) for t in texts], "file string, sql string")
+    out = {t: [] for t in texts}
+    for r in discovery.extract_joins(df).orderBy(*discovery.SEEN).collect():
+        out[r.file].append(
+            (r.kind, [f"{_end(e.left)}={_end(e.right)}" for e in r.equalities], r.on_text)
+        )
+    return out
 
 
 CASES = {
@@ -72,21 +75,29 @@ CASES = {
 }
 
 
+TEXT = "select 1 from a join b on ( a.i=b.i\n  and coalesce(a.x , 1)>=b.x ) or a.s='it''s (; x'"
+DEEP = "select 1 from a join b on " + "(" * 40 + "a.i = b.i" + ")" * 40
+LONG = "select '" + "x''" * 20_000 + "' from a join b on a.i = b.i"
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    return joins_of(spark, [*CASES, TEXT, DEEP, LONG])
+
+
 @pytest.mark.parametrize("sql", list(CASES))
-def test_joins(spark, sql):
-    assert [(k, e) for k, e, _ in joins_of(spark, sql)] == CASES[sql]
+def test_joins(found, sql):
+    assert [(k, e) for k, e, _ in found[sql]] == CASES[sql]
 
 
-def test_condition_text(spark):
-    sql = "select 1 from a join b on ( a.i=b.i\n  and coalesce(a.x , 1)>=b.x ) or a.s='it''s (; x'"
-    assert joins_of(spark, sql)[0][2] == "(a.i = b.i AND coalesce(a.x, 1)>=b.x) OR a.s = 'it''s (; x'"
+def test_condition_text(found):
+    shown = "(a.i = b.i AND coalesce(a.x, 1)>=b.x) OR a.s = 'it''s (; x'"
+    assert found[TEXT][0][2] == shown
 
 
-def test_deep_nesting_and_long_literals(spark):
-    deep = "(" * 40 + "a.i = b.i" + ")" * 40
-    assert joins_of(spark, f"select 1 from a join b on {deep}")[0][1] == [".a.i=.b.i"]
-    text = "x''" * 20_000
-    assert joins_of(spark, f"select '{text}' from a join b on a.i = b.i")[0][1] == [".a.i=.b.i"]
+def test_deep_nesting_and_long_literals(found):
+    assert found[DEEP][0][1] == [".a.i=.b.i"]
+    assert found[LONG][0][1] == [".a.i=.b.i"]
 
 
 def test_two_spellings_are_one_edge(spark):
