@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.declared import Relationship
 from tessera.operators.keyed import salted_join
+from tessera.sources.checkpoints import checkpointed
 
 
 def _any_null(columns: Sequence[str]) -> Column:
@@ -173,22 +174,34 @@ def corroborate(edges: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     rows is ever formed.  Edges about other tables give no row.
     """
     known = edges.sparkSession.createDataFrame(
-        [(t, c.lower(), c) for t, df in tables.items() for c in df.columns],
-        "table_name string, column_key string, column_name string",
+        [(f"{t}.{c.lower()}", t, c) for t, df in tables.items() for c in df.columns],
+        "_end string, table_name string, column_name string",
     )
 
-    def ends(side: str) -> DataFrame:
-        return edges.select(
-            "id",
-            F.lit(side).alias("side"),
-            F.lower(f"{side}.table").alias("table_name"),
-            F.lower(f"{side}.column").alias("column_key"),
-        )
+    def end(side: str) -> Column:
+        return F.concat_ws(".", F.lower(f"{side}.table"), F.lower(f"{side}.column")).alias("_end")
+
+    def located(side: str) -> DataFrame:
+        column = F.struct("table_name", "column_name").alias(f"_{side}")
+        return known.select(F.col("_end").alias(f"_{side}_end"), column)
 
-    wanted = ends("left").unionByName(ends("right")).join(known, ["table_name", "column_key"])
-    complete = wanted.groupBy("id").agg(F.count("*").alias("_ends")).where(F.col("_ends") == 2)
-    wanted = wanted.join(complete, "id", "left_semi")
-    # which columns to read: bounded by the schemas of ``tables``
+    # Both ends known: computed once, as the edges may come straight from a corpus.
+    placed = checkpointed(
+        edges.select("id", end("left").alias("_left_end"), end("right").alias("_right_end"))
+        .join(located("left"), "_left_end")
+        .join(located("right"), "_right_end")
+        .select("id", "_left", "_right")
+    )
+    wanted = placed.select(
+        "id",
+        F.explode(
+            F.array(
+                F.struct(F.lit("left").alias("side"), "_left.*"),
+                F.struct(F.lit("right").alias("side"), "_right.*"),
+            )
+        ).alias("_e"),
+    ).select("id", "_e.*")
+    # which columns to read: at most as many as the schemas of ``tables`` have
     needed = {
         (r.table_name, r.column_name)
         for r in wanted.select("table_name", "column_name").distinct().collect()
@@ -205,7 +218,7 @@ def corroborate(edges: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
         counts = [
             known.select(
                 "table_name", "column_name", F.lit("").alias("value"), F.lit(0).cast("long").alias("n")
-            ).limit(0)
+            ).where(F.lit(False))
         ]
     per_value = reduce(DataFrame.unionByName, counts)
     tagged = per_value.join(wanted, ["table_name", "column_name"])

@@ -20,6 +20,8 @@ _LINE = (
     r"^(\S+) (\d+)ms dsn=(.*?)(?: src=(.*?))? "
     r"(?:ok rows=(\d+)|fail (\S+) (.*?)) sql=(.*)$"
 )
+_MARK = "\ue008"
+_MARKED = _MARK.join(f"${i}" for i in range(1, 9))
 
 
 def make_events(
@@ -72,29 +74,38 @@ def format_event() -> Column:
 
 
 def parse_line(line: Column) -> Column:
-    """Struct of the fields of a log line; null when it is none."""
-
-    def group(i: int) -> Column:
-        return F.regexp_extract(line, _LINE, i)
-
-    ok = line.rlike(r" ok rows=\d+ sql=") & (group(6) == "")
-    fields = F.struct(
-        group(1).alias("ts"),
-        group(2).cast("long").alias("duration_ms"),
-        group(3).alias("dsn"),
-        F.nullif(group(4), F.lit("")).alias("source"),
-        ok.alias("ok"),
-        F.when(ok, group(5).cast("long")).alias("row_count"),
-        F.when(~ok, group(6)).alias("reason"),
-        F.when(~ok, group(7)).alias("detail"),
-        group(8).alias("sql"),
-    )
-    return F.when(line.rlike(_LINE), fields)
+    """Fields of a log line as an array of one struct; empty when it is no log line.
+
+    The pattern runs once per line: its groups come back as one marked text.  An array
+    is exploded by the caller, which keeps the optimizer from repeating the match in
+    a filter and in every field.
+    """
+    groups = F.split(F.regexp_replace(line, _LINE, _MARKED), _MARK)
+
+    def fields(g: Column) -> Column:
+        ok = F.element_at(g, 6) == ""
+
+        def text(i: int) -> Column:
+            return F.element_at(g, i)
+
+        return F.struct(
+            text(1).alias("ts"),
+            text(2).cast("long").alias("duration_ms"),
+            text(3).alias("dsn"),
+            F.nullif(text(4), F.lit("")).alias("source"),
+            ok.alias("ok"),
+            F.when(ok, text(5).cast("long")).alias("row_count"),
+            F.when(~ok, text(6)).alias("reason"),
+            F.when(~ok, text(7)).alias("detail"),
+            text(8).alias("sql"),
+        )
+
+    return F.transform(F.filter(F.array(groups), lambda g: F.size(g) == 8), fields)
 
 
 def parse_log(lines: DataFrame, column: str = "line") -> DataFrame:
     """Rows of the readable lines, batch or stream; ``event_time`` is the timestamp."""
-    parsed = lines.select(parse_line(F.col(column)).alias("_e")).where(F.col("_e").isNotNull())
+    parsed = lines.select(F.explode(parse_line(F.col(column))).alias("_e"))
     return parsed.select("_e.*").withColumn("event_time", F.col("ts").cast("timestamp"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import slug
 from tessera.operators import documents, rendering
-from tessera.plans.registry import query, table, text
+from tessera.plans.registry import query, spread, table, text
 from tessera.sources import projects
 
 
@@ -108,7 +108,7 @@ def project_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("tables"),
     )
     content = F.to_json(doc)
-    return table(spark, sf_dir, "customer").select(
+    return spread(table(spark, sf_dir, "customer")).select(
         F.concat(F.lit("/projects/c"), k.cast("string"), F.lit(".json")).alias("file"),
         F.when(k % 13 == 0, F.substring(content, 1, 60)).otherwise(content).alias("content"),
     )

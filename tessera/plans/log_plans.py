@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import querylog
-from tessera.plans.registry import query, table, text
+from tessera.plans.registry import query, spread, table, text
 
 
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +18,10 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(e % 4 == 2, "no_rows")
         .otherwise("null_value")
     )
-    base = table(spark, sf_dir, "events").select(
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "ts", "event_type", "value"
+    )
+    base = spread(rows).select(
         "event_id",
         "user_id",
         F.col("ts").cast("timestamp").alias("at"),
@@ -91,7 +94,7 @@ FROM lines"""
 )
 def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = log_lines_of(spark, sf_dir)
-    rows = lines.select("event_id", querylog.parse_line(F.col("line")).alias("e"))
+    rows = lines.select("event_id", F.explode(querylog.parse_line(F.col("line"))).alias("e"))
     return rows.select(
         "event_id", "e.dsn", text("e.source", "source"), "e.ok", "e.duration_ms",
         text("e.reason", "reason"), text("e.detail", "detail"), "e.sql",

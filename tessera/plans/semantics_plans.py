@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import history, keys, measures, quality
 from tessera.operators.declared import ColumnHint, Measure, Relationship, Scd
-from tessera.plans.registry import query, table, text
+from tessera.plans.registry import query, spread, table, text
 
 NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -435,4 +435,5 @@ def tag_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = table(spark, sf_dir, "benchmark").select(
         F.array_join(F.slice(F.split("text", " "), F.lit(1), n.cast("int")), " ").alias("term")
     )
-    return quality.tag_terms(table(spark, sf_dir, "documents"), terms, "doc_id")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return quality.tag_terms(docs, terms, "doc_id")

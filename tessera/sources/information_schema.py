@@ -30,6 +30,7 @@ def spark_catalog_columns(spark: SparkSession, database: str) -> DataFrame:
     """The same shape for the tables of a Spark database; reads schemas only."""
     frames = {
         t.name: spark.table(f"`{database}`.`{t.name}`") for t in spark.catalog.listTables(database)
+        if not t.isTemporary
     }
     return describe_tables(spark, frames, database)
 

@@ -40,11 +40,12 @@ def test_parse_is_the_inverse(spark):
         ("T", 5, "d", None, False, None, "no_rows", "", ""),
     ]
     df = spark.createDataFrame(events, EVENT).select(querylog.format_event().alias("line"))
-    got = df.select(querylog.parse_line(F.col("line")).alias("e")).select("e.*").collect()
+    got = df.select(F.explode(querylog.parse_line(F.col("line"))).alias("e")).select("e.*").collect()
     assert [tuple(r) for r in got][0] == events[0]
     assert [tuple(r) for r in got][2] == events[2]
     assert got[1].reason == "timeout" and got[1].ok is False
-    assert spark.createDataFrame([("junk",)], "l string").select(querylog.parse_line(F.col("l"))).first()[0] is None
+    junk = spark.createDataFrame([("junk",), ("",), (None,)], "line string")
+    assert querylog.parse_log(junk).count() == 0
 
 
 def brute_tail(rows, limit):
