@@ -27,6 +27,11 @@ def split_statements(corpus: DataFrame) -> DataFrame:
     )
 
 
+def _with_join(df: DataFrame, column: str) -> DataFrame:
+    """Rows that mention a join at all: a cheap test ahead of the costly steps."""
+    return df.where(F.contains(F.lower(column), F.lit("join")))
+
+
 def _scopes(statements: DataFrame) -> DataFrame:
     """One row per SELECT, with the sources it can see."""
     peeled = (
@@ -181,7 +186,7 @@ def extract_joins(corpus: DataFrame) -> DataFrame:
         lambda j: F.size(j["equalities"]) > 0,
     )
     named = (
-        _scopes(split_statements(corpus))
+        _scopes(_with_join(split_statements(_with_join(corpus, "sql")), "statement"))
         .select("file", "stmt_no", "scope_no", F.explode(joins).alias("_j"))
         .select("file", "stmt_no", "scope_no", "_j.*")
     )

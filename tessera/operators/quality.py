@@ -205,14 +205,13 @@ def tag_terms(docs: DataFrame, terms: DataFrame, doc_key: str, text: str = "text
     cut = docs.select(doc_key, words(F.col(text)).alias("_w"))
 
     def runs(n: int) -> Column:
-        last = F.size("_w") - n + 1
-        return F.when(
-            last > 0,
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
-                lambda i: F.array_join(F.slice(F.col("_w"), i, F.lit(n)), " "),
-            ),
-        ).otherwise(F.array().cast("array<string>"))
+        # near the end a run has fewer words; it is still a phrase of the text
+        if n == 1:
+            return F.col("_w")
+        return F.transform(
+            "_w",
+            lambda w, i: F.concat_ws(" ", w, *[F.get(F.col("_w"), i + j) for j in range(1, n)]),
+        )
 
     every = F.array_distinct(F.flatten(F.array(*[runs(n) for n in lengths])))
     pieces = cut.select(doc_key, F.explode(every).alias("_phrase"))
