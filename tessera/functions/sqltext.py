@@ -112,6 +112,15 @@ def _splice(text: Column, pattern: str, render) -> Column:
     return F.array_join(pieces, "")
 
 
+def _mentions(text: Column, *words: str) -> Column:
+    """Cheap test, without a pattern, that spares most rows a costly step."""
+    low = F.lower(text)
+    found = F.contains(low, F.lit(words[0]))
+    for word in words[1:]:
+        found = found | F.contains(low, F.lit(word))
+    return found
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, also inside a lambda."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -172,16 +181,26 @@ def shield(sql: Column) -> Column:
 def tidy(shielded: Column) -> Column:
     """One blank between words, no blanks around the dots of quoted names."""
     flat = F.regexp_replace(shielded, r"\s+", " ")
-    flat = F.regexp_replace(
+    dotted = F.regexp_replace(
         flat, r"(?<=[\ue100-\ue17f])\s*\.\s*|\s*\.\s*(?=[\ue100-\ue17f])", "."
     )
-    flat = F.regexp_replace(flat, r"(?i)\bdistinct from\b", f"distinct_{HUSH} from_{HUSH}")
-    return flat
+    flat = F.when(shielded.rlike("[\ue100-\ue17f]"), dotted).otherwise(flat)
+    compared = F.regexp_replace(
+        flat, r"(?i)\bdistinct from\b", f"distinct_{HUSH} from_{HUSH}"
+    )
+    return F.when(_mentions(flat, "distinct from"), compared).otherwise(flat)
 
 
 def statements(tidied: Column) -> Column:
     """Array of non-blank statements: cut at ``;`` and before each further DDL verb."""
-    pieces = F.flatten(F.transform(F.split(tidied, ";"), lambda s: cut(s, DDL_START)))
+    pieces = F.flatten(
+        F.transform(
+            F.split(tidied, ";"),
+            lambda s: F.when(
+                _mentions(s, "create", "drop", "alter", "truncate"), cut(s, DDL_START)
+            ).otherwise(F.array(s)),
+        )
+    )
     return F.filter(pieces, lambda s: F.trim(s) != "")
 
 
@@ -196,7 +215,8 @@ def nesting_depth(statement: Column) -> Column:
         now = acc["now"] + F.when(mark == "(", 1).otherwise(-1)
         return F.struct(now.alias("now"), F.greatest(acc["top"], now).alias("top"))
 
-    return F.aggregate(marks, start, step, lambda acc: acc["top"])
+    deepest = F.aggregate(marks, start, step, lambda acc: acc["top"])
+    return F.when(F.contains(statement, F.lit("(")), deepest).otherwise(0)
 
 
 def _chain(index: Column, size: Column) -> Column:
@@ -212,7 +232,10 @@ def mark_depth(condition: Column, extra: int) -> Column:
     Equalities are later taken level by level, shallowest first, which decides the
     primary one of a composite key.
     """
-    ranged = F.regexp_replace(condition, r"(?i)\bbetween\b(.*?)\band\b", f"between$1and_{HUSH}")
+    ranged = F.when(
+        _mentions(condition, "between"),
+        F.regexp_replace(condition, r"(?i)\bbetween\b(.*?)\band\b", f"between$1and_{HUSH}"),
+    ).otherwise(condition)
 
     def one_or(part: Column, i: Column, n_or: Column) -> Column:
         ands = cut(part, r"(?i)\band\b")
@@ -236,10 +259,12 @@ def mark_depth(condition: Column, extra: int) -> Column:
         )
 
     ors = cut(ranged, r"(?i)\bor\b")
-    return let(
+    chained = let(
         ors,
         lambda o: F.array_join(F.transform(o, lambda p, i: one_or(p, i, F.size(o))), " OR "),
     )
+    alone = F.replace(condition, F.lit("="), F.lit("=" + DEPTH * extra)) if extra else condition
+    return F.when(condition.rlike(r"(?i)\b(?:and|or|not)\b"), chained).otherwise(F.trim(alone))
 
 
 def _ordinary(inner: Column) -> Column:
@@ -302,7 +327,10 @@ def peel(statement: Column, depth: Column) -> Column:
 
 def branches(scope_text: Column) -> Column:
     """The SELECTs of a scope, cut at set operators."""
-    return cut(scope_text, _SET_OPERATOR)
+    return F.when(
+        _mentions(scope_text, "union", "intersect", "except", "minus"),
+        cut(scope_text, _SET_OPERATOR),
+    ).otherwise(F.array(scope_text))
 
 
 def from_body(branch: Column) -> Column:
@@ -311,8 +339,8 @@ def from_body(branch: Column) -> Column:
     A bracketed join has no SELECT: all of it is body.
     """
     whole = F.when(
-        ~branch.rlike(r"(?i)\bselect\b") & branch.rlike(r"(?i)\bjoin\b"), branch
-    ).otherwise(F.regexp_extract(branch, _SELECT_FROM, 1))
+        branch.rlike(r"(?i)\bselect\b"), F.regexp_extract(branch, _SELECT_FROM, 1)
+    ).otherwise(F.when(branch.rlike(r"(?i)\bjoin\b"), branch).otherwise(""))
     return F.get(cut(whole, _BODY_END), F.lit(0))
 
 
@@ -392,11 +420,10 @@ def names(sources: Column) -> Column:
 def join_kind(word: Column) -> Column:
     """Side if given, else kind, else JOIN."""
     upper = F.upper(word)
-    found = F.regexp_extract(upper, r"\b(LEFT|RIGHT|FULL)\b", 1)
-    other = F.regexp_extract(upper, r"\b(INNER|CROSS|OUTER|SEMI|ANTI)\b", 1)
-    return F.coalesce(
-        F.nullif(found, F.lit("")), F.nullif(other, F.lit("")), F.lit("JOIN")
-    )
+    kind = F.lit("JOIN")
+    for known in ("ANTI", "SEMI", "OUTER", "CROSS", "INNER", "FULL", "RIGHT", "LEFT"):
+        kind = F.when(F.contains(upper, F.lit(known)), known).otherwise(kind)
+    return kind
 
 
 def on_condition(item: Column) -> Column:
