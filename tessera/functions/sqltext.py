@@ -58,6 +58,21 @@ _BODY_END = (
     r"(?i)\b(?:where|group\s+by|having|order\s+by|limit|qualify|window|offset"
     r"|fetch|lateral\s+view|connect\s+by|start\s+with|option|for\s+xml)\b"
 )
+_CUT = (
+    r"(?i),|\b(?=[a-jl-s])(?:natural\s+)?(?:(?:left|right|full)\s+(?:(?:outer|semi|anti|inner)\s+)?"
+    r"|(?:inner|cross|outer|semi|anti)\s+)?(?:(?:hash|merge|loop|remote)\s+)?join\b"
+)
+_WORD = r"(?i)\b(?:select|join)\b"
+_HUSHED_WORDS = (
+    r"(?i)\b(from|where|group|having|order|limit|on|union|intersect|except|minus"
+    r"|qualify|window|offset|fetch)\b"
+)
+_SET_OPERATOR = r"(?i)\b(?:union|intersect|except|minus)\b(?:\s+(?:all|distinct)\b)?"
+_SELECT_FROM = r"(?i)\bselect\b.*?\bfrom\b(.*)$"
+_BODY_END = (
+    r"(?i)\b(?:where|group\s+by|having|order\s+by|limit|qualify|window|offset"
+    r"|fetch|lateral\s+view|connect\s+by|start\s+with|option|for\s+xml)\b"
+)
 _JOIN_WORD = (
     r"(?i)(?:\bnatural\s+)?(?:\b(?:left|right|full)\s+(?:(?:outer|semi|anti|inner)\s+)?"
     r"|\b(?:inner|cross|outer|semi|anti)\s+)?(?:\b(?:hash|merge|loop|remote)\s+)?\bjoin\b"
