@@ -268,7 +268,8 @@ def scd_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """
 , f AS (SELECT l_orderkey, l_linenumber, l_partkey, o_custkey, l_shipdate FROM lineitem
         JOIN orders ON l_orderkey = o_orderkey)
-SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.o_custkey, v.o_orderkey AS version, v.o_orderstatus
+SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.o_custkey, coalesce(v.o_orderkey::VARCHAR, '') AS version,
+       coalesce(v.o_orderstatus, '') AS o_orderstatus
 FROM f LEFT JOIN v ON v.o_custkey = f.o_custkey AND v.valid_from <= f.l_shipdate
      AND (v.valid_to IS NULL OR f.l_shipdate < v.valid_to)"""
 )
@@ -282,7 +283,7 @@ def scd_as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     dim = versions(spark, sf_dir).withColumnRenamed("o_orderkey", "version")
     return history.scd_as_of_join(facts, dim, SCD, ["o_custkey"], "l_shipdate", how="left").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "o_custkey", "version", "o_orderstatus"
+        "l_orderkey", "l_linenumber", "l_partkey", "o_custkey", text("version"), text("o_orderstatus")
     )
 
 
@@ -352,9 +353,23 @@ def top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.top_values(_profiled(spark, sf_dir), _PROFILED, 3)
 
 
-@query(None)
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, true AS distinct_close"
+        f" FROM (SELECT *, {_MAYBE} AS maybe FROM orders)"
+        for c in _PROFILED
+    )
+)
 def profile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.profile_approx(_profiled(spark, sf_dir), _PROFILED)
+    """One-pass profile; its distinct counts must be within 10 % of the exact ones."""
+    df = _profiled(spark, sf_dir)
+    exact = quality.profile(df, _PROFILED).select("column_name", F.col("n_distinct").alias("_n"))
+    return quality.profile_approx(df, _PROFILED).join(exact, "column_name").select(
+        "column_name",
+        "n_rows",
+        "n_null",
+        (F.abs(F.col("n_distinct") - F.col("_n")) <= F.col("_n") * 0.1).alias("distinct_close"),
+    )
 
 
 @query(
