@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.declared import Scd
@@ -29,42 +29,92 @@ def scd_as_of(df: DataFrame, scd: Scd, at: Column) -> DataFrame:
     return df.where(_valid_at(scd, at))
 
 
-def _bucket(ts: Column, seconds: int) -> Column:
-    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
+def _micros(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
+
+
+_OPEN = 2**63 - 1
 
 
 def scd_as_of_join(
     facts: DataFrame, dim: DataFrame, scd: Scd, keys: Sequence[str], at: str,
-    how: str = "inner", bucket_seconds: int = 30 * 86_400,
+    how: str = "inner", bucket_seconds: int = 86_400,
 ) -> DataFrame:
-    """Each fact with the version of its key that was valid at ``at``.
+    """Each fact with the version of its key that was valid at ``at``; inner or left.
 
-    Facts and versions meet on ``(keys, time bucket)``: a version is listed once in
-    each bucket it touches, so a key with a long history never pairs all its facts
-    with all its versions, and a hot key is split by time.  Open versions end with
-    the last fact; that bound is one aggregate over the facts.
+    Versions of a key do not overlap, as the history rule says.  Facts and versions
+    are laid in one time line per (key, time bucket) and each fact takes the version
+    started last; what was started in earlier buckets comes in as one carried row.
+    So the work grows with facts plus versions, never with their pairs, and a hot key
+    is split by time.  Carried rows are found on one row per key and bucket.
     """
-    last = facts.agg(F.max(_bucket(F.col(at), bucket_seconds))).first()[0]
-    begin = _bucket(F.col(scd.valid_from), bucket_seconds)
-    end = F.least(
-        F.coalesce(_bucket(F.col(scd.valid_to), bucket_seconds), F.lit(last)), F.lit(last)
+    keys = list(keys)
+    width = F.lit(bucket_seconds * 1_000_000)
+    payload = [c for c in dim.columns if c not in keys]
+
+    def timed(df: DataFrame, ts: str) -> DataFrame:
+        return df.withColumn("_t", _micros(ts)).withColumn(
+            "_bucket", F.floor(F.col("_t") / width).cast("long")
+        )
+
+    def complete(df: DataFrame, ts: str) -> Column:
+        test = F.col(ts).isNotNull()
+        for k in keys:
+            test = test & F.col(k).isNotNull()
+        return test
+
+    until = F.coalesce(_micros(scd.valid_to), F.lit(_OPEN))
+    started = timed(dim.where(complete(dim, scd.valid_from)), scd.valid_from).select(
+        *keys,
+        "_bucket",
+        "_t",
+        # of versions started together the one that lasts longest is meant
+        F.struct(until.alias("end"), F.struct(*payload).alias("row")).alias("_version"),
+    )
+    asked = timed(facts.where(complete(facts, at)), at).select(
+        *keys, "_bucket", "_t", F.struct(*facts.columns).alias("_fact")
+    )
+    newest = F.max_by("_version", F.struct("_t", "_version.end"))
+    per_bucket = (
+        started.groupBy(*keys, "_bucket")
+        .agg(newest.alias("_version"))
+        .unionByName(asked.select(*keys, "_bucket").distinct(), allowMissingColumns=True)
+        .groupBy(*keys, "_bucket")
+        .agg(F.first("_version", ignorenulls=True).alias("_version"))
+    )
+    earlier = (
+        Window.partitionBy(*keys)
+        .orderBy("_bucket")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carried = per_bucket.select(
+        *keys,
+        "_bucket",
+        F.lit(None).cast("long").alias("_t"),
+        F.last("_version", ignorenulls=True).over(earlier).alias("_version"),
+    ).where(F.col("_version").isNotNull())
+    line = (
+        started.unionByName(carried)
+        .unionByName(asked, allowMissingColumns=True)
+        .withColumn("_is_fact", F.col("_fact").isNotNull())
     )
-    listed = (
-        dim.withColumn("_begin", begin)
-        .withColumn("_end", end)
-        .where(F.col("_begin") <= F.col("_end"))
-        .withColumn("_bucket", F.explode(F.sequence("_begin", "_end")))
-        .drop("_begin", "_end")
-        .alias("d")
+    so_far = (
+        Window.partitionBy(*keys, "_bucket")
+        .orderBy(F.col("_t").asc_nulls_first(), "_is_fact", "_version.end")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = facts.withColumn("_bucket", _bucket(F.col(at), bucket_seconds)).alias("f")
-    on = F.col("f._bucket") == F.col("d._bucket")
-    for k in keys:
-        on = on & (F.col(f"f.{k}") == F.col(f"d.{k}"))
-    on = on & (F.col(f"d.{scd.valid_from}") <= F.col(f"f.{at}"))
-    until = F.col(f"d.{scd.valid_to}")
-    on = on & (until.isNull() | (F.col(f"f.{at}") < until))
-    return placed.join(listed, on, how).select(
-        *[F.col(f"f.{c}") for c in facts.columns],
-        *[F.col(f"d.{c}") for c in dim.columns if c not in keys],
+    matched = (
+        line.withColumn("_last", F.last("_version", ignorenulls=True).over(so_far))
+        .where("_is_fact")
+        .select(
+            F.col("_fact"),
+            F.when(F.col("_t") < F.col("_last.end"), F.col("_last.row")).alias("_row"),
+        )
     )
+    if how == "inner":
+        matched = matched.where(F.col("_row").isNotNull())
+    out = matched.select("_fact.*", *[F.col(f"_row.{c}").alias(c) for c in payload])
+    if how == "inner":
+        return out
+    # facts without a key or a time have no version
+    return out.unionByName(facts.where(~complete(facts, at)), allowMissingColumns=True)

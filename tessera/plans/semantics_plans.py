@@ -223,24 +223,42 @@ SCD = Scd("valid_from", "valid_to", "is_current")
 
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status versions per customer, one per order; every tenth is still open."""
-    k = F.col("o_orderkey")
-    until = F.timestamp_add("DAY", (1 + k % 200).cast("int"), F.col("o_orderdate"))
-    return table(spark, sf_dir, "orders").select(
-        "o_custkey",
-        "o_orderkey",
-        "o_orderstatus",
-        F.col("o_orderdate").alias("valid_from"),
-        F.when(k % 10 != 0, until).alias("valid_to"),
-        (k % 10 == 0).alias("is_current"),
+    """Status versions per customer, one per slot of 20 days that an order falls on.
+
+    Versions last less than a slot, apart from those of the last slot, still open.
+    """
+    slot = F.col("slot").cast("int")
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey", (F.col("o_orderkey") % 150).alias("slot"))
+        .agg(
+            F.max("o_orderkey").alias("o_orderkey"),
+            F.max_by("o_orderstatus", "o_orderkey").alias("o_orderstatus"),
+        )
+        .withColumn(
+            "valid_from",
+            F.timestamp_add("DAY", 20 * slot, F.lit("1995-01-01").cast("timestamp_ntz")),
+        )
+        .select(
+            "o_custkey",
+            "o_orderkey",
+            "o_orderstatus",
+            "valid_from",
+            F.when(
+                slot < 149,
+                F.timestamp_add("DAY", (5 + F.col("o_orderkey") % 15).cast("int"), "valid_from"),
+            ).alias("valid_to"),
+            (slot == 149).alias("is_current"),
+        )
     )
 
 
 _VERSIONS_SQL = """
-WITH v AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate AS valid_from,
-                  CASE WHEN o_orderkey % 10 <> 0
-                       THEN o_orderdate + to_days((1 + o_orderkey % 200)::INT) END AS valid_to
-           FROM orders)"""
+WITH g AS (SELECT o_custkey, o_orderkey % 150 AS slot, max(o_orderkey) AS o_orderkey,
+                  max_by(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY 1, 2),
+f AS (SELECT *, TIMESTAMP '1995-01-01' + to_days((20 * slot)::INT) AS valid_from FROM g),
+v AS (SELECT o_custkey, o_orderkey, o_orderstatus, valid_from,
+             CASE WHEN slot < 149 THEN valid_from + to_days((5 + o_orderkey % 15)::INT) END AS valid_to FROM f)"""
 
 
 @query(_VERSIONS_SQL + " SELECT o_custkey, o_orderkey, o_orderstatus FROM v WHERE valid_to IS NULL")
@@ -266,12 +284,12 @@ def scd_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     _VERSIONS_SQL
     + """
-, f AS (SELECT l_orderkey, l_linenumber, l_partkey, o_custkey, l_shipdate FROM lineitem
+, x AS (SELECT l_orderkey, l_linenumber, l_partkey, o_custkey, l_shipdate FROM lineitem
         JOIN orders ON l_orderkey = o_orderkey)
-SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.o_custkey, coalesce(v.o_orderkey::VARCHAR, '') AS version,
+SELECT x.l_orderkey, x.l_linenumber, x.l_partkey, x.o_custkey, coalesce(v.o_orderkey::VARCHAR, '') AS version,
        coalesce(v.o_orderstatus, '') AS o_orderstatus
-FROM f LEFT JOIN v ON v.o_custkey = f.o_custkey AND v.valid_from <= f.l_shipdate
-     AND (v.valid_to IS NULL OR f.l_shipdate < v.valid_to)"""
+FROM x LEFT JOIN v ON v.o_custkey = x.o_custkey AND v.valid_from <= x.l_shipdate
+     AND (v.valid_to IS NULL OR x.l_shipdate < v.valid_to)"""
 )
 def scd_as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = keys.join_along(

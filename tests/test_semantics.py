@@ -51,22 +51,33 @@ def test_measure_with_where(spark):
 def test_as_of_join_bounds_and_buckets(spark):
     scd = Scd("f", "t", None)
     dim = spark.createDataFrame(
-        [("k", "2020-01-01", "2020-03-01", "a"), ("k", "2020-03-01", None, "b"),
-         ("k", "2020-05-01", "2020-05-01", "empty"), ("k", "2099-01-01", None, "future")],
+        [("k", "2020-01-01", "2020-03-01", "a"), ("k", "2020-03-01", "2020-06-01", "b"),
+         ("k", "2020-03-01", "2020-03-01", "empty"), ("k", "2020-09-01", None, "open"),
+         ("j", "2099-01-01", None, "future"), (None, "2020-01-01", None, "nobody"), ("i", None, None, "never")],
         "k string, f string, t string, v string",
     ).withColumns({"f": F.col("f").cast("timestamp"), "t": F.col("t").cast("timestamp")})
     facts = spark.createDataFrame(
-        [("k", "2019-12-31"), ("k", "2020-01-01"), ("k", "2020-03-01"), ("k", "2021-07-01"), ("z", "2021-01-01")],
+        [("k", "2019-12-31"), ("k", "2020-01-01"), ("k", "2020-02-29"), ("k", "2020-03-01"), ("k", "2020-03-01"),
+         ("k", "2020-07-01"), ("k", "2025-07-01"), ("z", "2021-01-01"), ("j", "2021-01-01"), (None, "2021-01-01"),
+         ("k", None), ("i", "2021-01-01")],
         "k string, at string",
-    ).withColumn("at", F.col("at").cast("timestamp"))
-    for seconds in (3_600 * 24, 86_400 * 30, 86_400 * 5000):
+    ).withColumn("at", F.col("at").cast("timestamp"))
+    expected = [
+        ("", "2021-01-01", None), ("i", "2021-01-01", None), ("j", "2021-01-01", None), ("k", "", None),
+        ("k", "2019-12-31", None), ("k", "2020-01-01", "a"), ("k", "2020-02-29", "a"), ("k", "2020-03-01", "b"),
+        ("k", "2020-03-01", "b"), ("k", "2020-07-01", None), ("k", "2025-07-01", "open"), ("z", "2021-01-01", None),
+    ]
+    for seconds in (3_600, 86_400 * 30, 86_400 * 5000):
         out = history.scd_as_of_join(facts, dim, scd, ["k"], "at", "left", seconds)
-        got = sorted((r.k, str(r["at"])[:10], r.v) for r in out.collect())
-        assert got == [
-            ("k", "2019-12-31", None), ("k", "2020-01-01", "a"), ("k", "2020-03-01", "b"),
-            ("k", "2021-07-01", "b"), ("z", "2021-01-01", None),
-        ]
-    assert {r.v for r in history.scd_current(dim, scd).collect()} == {"b", "future"}
+        got = sorted((r.k or "", str(r["at"] or "")[:10], r.v) for r in out.collect())
+        assert got == expected
+        inner = history.scd_as_of_join(facts, dim, scd, ["k"], "at", "inner", seconds)
+        assert sorted((r.k, str(r["at"])[:10], r.v) for r in inner.collect()) == [
+            e for e in expected if e[2]
+        ]
+    assert {r.v for r in history.scd_current(dim, scd).collect()} == {
+        "open", "future", "nobody", "never",
+    }
 
 
 def test_redaction(spark):
