@@ -120,7 +120,9 @@ ALLOWED_LAG = {
 def check_freshness(df: DataFrame, ts: str, cadence: str, now: Column, table: str = "") -> DataFrame:
     """One row: newest timestamp, lag and whether it exceeds what the cadence allows."""
     newest = F.max(ts)
-    lag = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(F.col("newest").cast("timestamp"))
+    # both times with or both without a zone, or daylight saving would come in
+    kind = "timestamp_ntz" if isinstance(df.schema[ts].dataType, T.TimestampNTZType) else "timestamp"
+    lag = F.timestamp_diff("SECOND", F.col("newest").cast(kind), now.cast(kind))
     allowed = ALLOWED_LAG.get(cadence)
     stale = F.lit(False) if allowed is None else F.coalesce(F.col("lag_seconds") > allowed, F.lit(True))
     return (

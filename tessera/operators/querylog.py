@@ -41,13 +41,16 @@ def make_events(
     )
 
 
+def utc_text(ts: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """A timestamp as UTC wall-clock text, whatever the session time zone."""
+    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), pattern)
+
+
 def iso_utc(ts: Column) -> Column:
-    """``2024-01-31T10:20:30.123456Z``; no fraction when it is zero (session zone UTC)."""
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    return F.concat(
-        whole, F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)), F.lit("Z")
-    )
+    """``2024-01-31T10:20:30.123456Z``; no fraction when it is zero."""
+    micros = utc_text(ts, "SSSSSS")
+    fraction = F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros))
+    return F.concat(utc_text(ts, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("Z"))
 
 
 def format_event() -> Column:

@@ -138,24 +138,26 @@ def upsert_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.select("name", "appended", "engine", "dsn", "catalog")
 
 
-def _glossary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    state = table(spark, sf_dir, "benchmark").select(
+def glossary_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "benchmark").select(
         F.lit("p0").alias("project_id"),
         F.col("item_id").alias("pos"),
         _num("term ", F.col("item_id")).alias("term"),
         F.col("text").alias("definition"),
     )
-    rows = table(spark, sf_dir, "conversations").select(
+
+
+def glossary_changes(conversations: DataFrame) -> DataFrame:
+    """Changes of ``conversations`` rows, batch or stream."""
+    return conversations.select(
         F.lit("p0").alias("project_id"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"),
         F.concat(F.lit(" term "), (F.col("conv_id") % 60).cast("string")).alias("term"),
         F.col("text").alias("definition"),
     )
-    return changes.upsert_glossary(state, rows)
 
 
-@query(
-    """
+GLOSSARY_SQL = """
 WITH ch AS (
   SELECT conv_id * 1000 + turn AS seq, 'term ' || conv_id % 60 AS term,
          regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS definition FROM conversations),
@@ -164,9 +166,12 @@ good AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY seq DESC) AS rn
 SELECT coalesce(g.term, 'term ' || b.item_id) AS term, b.item_id IS NULL AS appended,
        md5(coalesce(g.definition, b.text)) AS definition
 FROM benchmark b FULL OUTER JOIN (SELECT * FROM good WHERE rn = 1) g ON g.term = 'term ' || b.item_id"""
-)
+
+
+@query(GLOSSARY_SQL)
 def upsert_glossary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state, _ = _glossary(spark, sf_dir)
+    rows = glossary_changes(table(spark, sf_dir, "conversations"))
+    state, _ = changes.upsert_glossary(glossary_state(spark, sf_dir), rows)
     return state.select("term", "appended", F.md5("definition").alias("definition"))
 
 

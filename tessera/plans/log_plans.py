@@ -9,7 +9,8 @@ from tessera.operators import querylog
 from tessera.plans.registry import query, spread, table, text
 
 
-def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_events(events: DataFrame) -> DataFrame:
+    """Log events of ``events`` rows, batch or stream."""
     e = F.col("event_id")
     failed = F.col("event_type") == "error"
     reason = (
@@ -18,13 +19,11 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(e % 4 == 2, "no_rows")
         .otherwise("null_value")
     )
-    rows = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "ts", "event_type", "value"
-    )
-    base = spread(rows).select(
+    base = events.select(
         "event_id",
         "user_id",
-        F.col("ts").cast("timestamp").alias("at"),
+        # times without a zone are UTC
+        F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()).alias("at"),
         F.concat(F.lit("wh"), (F.col("user_id") % 3).cast("string")).alias("dsn"),
         F.when(e % 5 != 0, F.col("event_type")).alias("source"),
         F.repeat(F.lit("select x,\n  "), (e % 100).cast("int")).alias("sql"),
@@ -39,12 +38,15 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_lines_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_events(spark, sf_dir).select(
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "ts", "event_type", "value"
+    )
+    return log_events(spread(rows)).select(
         "event_id", "dsn", querylog.format_event().alias("line")
     )
 
 
-_LINES_SQL = """
+LINES_SQL = """
 WITH raw AS (
   SELECT event_id AS e, 'wh' || user_id % 3 AS dsn, event_type AS src, ts, event_type = 'error' AS bad,
          floor(value)::BIGINT * 1000 AS ms,
@@ -68,13 +70,13 @@ lines AS (
   FROM log)"""
 
 
-@query(_LINES_SQL + " SELECT event_id, line FROM lines")
+@query(LINES_SQL + " SELECT event_id, line FROM lines")
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_lines_of(spark, sf_dir).select("event_id", "line")
 
 
 @query(
-    _LINES_SQL
+    LINES_SQL
     + """
 , t AS (SELECT event_id, dsn, line,
           sum(strlen(line) + 1) OVER (PARTITION BY dsn ORDER BY event_id DESC)::BIGINT AS bytes_from_end FROM lines)
@@ -85,7 +87,7 @@ def log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    _LINES_SQL
+    LINES_SQL
     + """
 SELECT event_id, dsn, CASE WHEN event_id % 5 <> 0 THEN src ELSE '' END AS source, NOT bad AS ok,
        ms AS duration_ms, CASE WHEN bad THEN reason ELSE '' END AS reason,
@@ -98,12 +100,12 @@ def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "event_id", "e.dsn", text("e.source", "source"), "e.ok", "e.duration_ms",
         text("e.reason", "reason"), text("e.detail", "detail"), "e.sql",
-        text(F.col("e.ts").cast("timestamp"), "event_time"),
+        text(F.col("e.ts").cast("timestamp_ntz"), "event_time"),
     )
 
 
 @query(
-    _LINES_SQL
+    LINES_SQL
     + """
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS bucket_start,
        CASE WHEN event_id % 5 <> 0 THEN src ELSE '' END AS source,
@@ -113,7 +115,7 @@ FROM lines GROUP BY 1, 2, 3"""
 def log_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = querylog.parse_log(log_lines_of(spark, sf_dir))
     return querylog.failure_rollup(parsed).withColumn(
-        "bucket_start", F.date_format("bucket_start", "yyyy-MM-dd HH:mm:ss")
+        "bucket_start", querylog.utc_text(F.col("bucket_start"))
     )
 
 

@@ -393,14 +393,14 @@ def profile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
 SELECT 'events' AS table_name, 'daily' AS cadence, max(ts)::VARCHAR AS newest,
-       (epoch_us(TIMESTAMP '2024-02-05') // 1000000 - epoch_us(max(ts)) // 1000000)::BIGINT AS lag_seconds,
-       epoch_us(TIMESTAMP '2024-02-05') // 1000000 - epoch_us(max(ts)) // 1000000 > 2 * 86400 AS stale FROM events
+       (epoch_us(TIMESTAMP '2024-02-05') - epoch_us(max(ts))) // 1000000 AS lag_seconds,
+       (epoch_us(TIMESTAMP '2024-02-05') - epoch_us(max(ts))) // 1000000 > 2 * 86400 AS stale FROM events
 UNION ALL
 SELECT 'orders', 'adhoc', max(o_orderdate)::VARCHAR,
-       (epoch_us(TIMESTAMP '2024-02-05') // 1000000 - epoch_us(max(o_orderdate)) // 1000000)::BIGINT, false FROM orders"""
+       (epoch_us(TIMESTAMP '2024-02-05') - epoch_us(max(o_orderdate))) // 1000000, false FROM orders"""
 )
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    now = F.lit("2024-02-05 00:00:00").cast("timestamp")
+    now = F.lit("2024-02-05 00:00:00").cast("timestamp_ntz")
     both = quality.check_freshness(
         table(spark, sf_dir, "events"), "ts", "daily", now, "events"
     ).unionByName(

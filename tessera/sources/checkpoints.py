@@ -1,20 +1,30 @@
-"""Cutting lineage in a folder every executor can read again."""
+"""Reliable storage every executor can read again: cut lineage, working folders."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows in reliable storage: computed once, and safe when executors are lost.
+def shared_root(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``.
 
-    The folder is the one named in ``spark.checkpoint.dir``; only where a session
-    names none, as in tests, a temporary one is taken.
+    Only where a session names none, as in tests, a temporary one is taken.
     """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tessera-")
+
+
+def working_folder(spark: SparkSession, purpose: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows computed once; nothing is lost with an executor."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessera-"))
+        spark.sparkContext.setCheckpointDir(shared_root(spark))
     return df.checkpoint()
