@@ -6,12 +6,44 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, secrets, source_mix
+from tessera.llm import (
+    bpe,
+    exact_dedup,
+    html_text,
+    jaccard_join,
+    languages,
+    quality,
+    secrets,
+    source_mix,
+    toxicity,
+    warc,
+)
+from tessera.llm.common import remainder
 from tessera.plans.registry import query, table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+@query(None)
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
+    """Learned from labelled rows of ``docs`` outside the held-out fifth."""
+    labels = table(spark, sf_dir, "labels").filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    labelled = docs.filter(remainder("doc_id", 5) != 0).select("doc_id", "text").join(labels, "doc_id")
+    return toxicity.learn(labelled)
+
+
+@query(None)
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(spark, sf_dir, docs)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 @query(
     f"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}') AS t FROM documents),
@@ -24,6 +56,32 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(docs).drop("text")
 
 
+@query(None)
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = languages.learn(docs.filter(remainder("doc_id", 4) != 2))
+    found = languages.identify(docs.drop("lang"), model)
+    return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query(None)
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@query(None)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archived = warc.responses(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "2024-01-01T00:00:00Z")
+    return warc.derivatives(archived, keep=("page_id",))
+
+
+@query(None)
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rated = quality.rated(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return rated.select("doc_id", *quality.BASE, "base_failed", "kept")
+
+
 #: Weights go round by source; the mix wants this share of all words.
 MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED = [3, 1, 2], 1.5, 2, "mix"
 

@@ -61,7 +61,12 @@ def _near(sources: DataFrame, n_sources: int) -> DataFrame:
     return F.broadcast(sources) if n_sources <= BROADCAST_SOURCES else sources
 
 
-def mix(
+def place_of(seed: str, key: Column) -> Column:
+    """Where a key stands in the seeded order, as text; null counts as ''."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
+
+
+def plan(
     docs: DataFrame,
     weights: list[int],
     share: float = 1.5,
@@ -70,19 +75,18 @@ def mix(
     text: str = "text",
     key: str = "doc_id",
     source: str = "source",
-) -> DataFrame:
-    """Per row of ``docs``: key, size, source, source_size, target and copies, the repetitions taken.
+) -> tuple[DataFrame, DataFrame]:
+    """What to take: per source its size, target, whole repetitions, where the order stops and the
+    place that closes the gap; and the documents it was made of, as (key, source, size, place).
 
-    Size is the number of words, 0 for null or blank texts, which are taken as often as their source
-    is repeated whole.  Null is a source like any other.  Rows that repeat a key stand at one place of
-    the order and are taken alike.  Equal runs give equal results; an empty table gives an empty one.
+    Size is the number of words, 0 for null or blank texts.  Null is a source like any other.  Rows
+    that repeat a key stand at one place of the order and are taken alike.
     """
-    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
     slim = docs.select(
         F.col(key).alias("key"),
         F.col(source).cast("string").alias("source"),
         word_count(text_of(text)).alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary")).alias("place"),
+        place_of(seed, F.col(key)).alias("place"),
     )
     slim = checkpointed(slim)  # texts are read once; all that follows needs four narrow columns
     sources = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -92,57 +96,37 @@ def mix(
     targets = targets.withColumn("whole", whole).withColumn(
         "extra", F.col("target") - F.col("whole") * F.col("source_size")
     )
-    targets = checkpointed(targets)
+    targets = checkpointed(targets.withColumnRenamed("source", "t"))
     n_sources = targets.count()
     near = _near(targets, n_sources)
+    of = F.col("source").eqNullSafe(F.col("t"))
 
-    same = lambda right: F.col("source").eqNullSafe(F.col(right))
+    # the cell of 4,096, and in it the cell of 4,096, in which the running size passes what is wanted
     cells = slim.groupBy("source", F.substring("place", 1, 3).alias("cell")).agg(F.sum("size").alias("n"))
-    along = W.partitionBy("source").orderBy("cell")
-    first = _cut(cells.withColumn("below", F.lit(0)), along, near.withColumnRenamed("source", "t"), same("t"))
-    first = first.select(F.col("source").alias("s1"), F.col("cell").alias("cell1"), F.col("upto").alias("below"))
-    first = checkpointed(first)
-    inner = slim.join(_near(first, n_sources), same("s1") & (F.substring("place", 1, 3) == F.col("cell1")))
-    fine = inner.groupBy("source", "cell1", "below", F.substring("place", 4, 3).alias("cell")).agg(
-        F.sum("size").alias("n")
-    )
-    second = _cut(fine, along, near.withColumnRenamed("source", "t"), same("t"))
-    second = second.select(
-        F.col("source").alias("s2"), F.concat("cell1", "cell").alias("cell2"), F.col("upto").alias("below2")
-    )
-    second = checkpointed(second)
-    last = slim.join(_near(second, n_sources), same("s2") & (F.substring("place", 1, 6) == F.col("cell2")))
-    last = last.groupBy("source", "place", "cell2", "below2").agg(F.sum("size").alias("n"))
-    running = F.col("below2") + F.sum("n").over(W.partitionBy("source").orderBy("place"))
+    first = checkpointed(_cut(cells.withColumn("below", F.lit(0)), near, of))
+    in_first = F.col("source").eqNullSafe(F.col("t")) & (F.substring("place", 1, 3) == F.col("cut"))
+    inner = slim.join(_near(first, n_sources), in_first)
+    fine = inner.groupBy("source", F.col("upto").alias("below"), F.substring("place", 1, 6).alias("cell"))
+    second = checkpointed(_cut(fine.agg(F.sum("size").alias("n")), near, of))
+    in_second = F.col("source").eqNullSafe(F.col("t")) & (F.substring("place", 1, 6) == F.col("cut"))
+    last = slim.join(_near(second, n_sources), in_second)
+    last = last.groupBy("source", F.col("upto").alias("below"), F.col("place").alias("cell")).agg(F.sum("size").alias("n"))
     # the first place whose documents no longer fit: all places before it are taken once more
-    stop = (
-        last.withColumn("running", running)
-        .join(near.withColumnRenamed("source", "t"), same("t"))
-        .filter(F.col("running") > F.col("extra"))
-        .groupBy("source")
-        .agg(F.min("place").alias("stop"))
-        .select(F.col("source").alias("s3"), "stop")
-    )
-    stops = checkpointed(
-        near.join(stop, F.col("source").eqNullSafe(F.col("s3")), "left").select(
-            "source", "source_size", "target", "whole", "extra", "stop"
-        )
-    )
-    stops_near = _near(stops.withColumnRenamed("source", "t"), n_sources)
-    placed = slim.join(stops_near, same("t"), "left").withColumn(
-        "more", (F.col("stop").isNull() & (F.col("extra") > 0)) | F.coalesce(F.col("place") < F.col("stop"), F.lit(False))
-    )
+    stop = _cut(last, near, of).select(F.col("t").alias("s"), F.col("cut").alias("stop"))
+    stops = checkpointed(targets.join(stop, F.col("t").eqNullSafe(F.col("s")), "left").drop("s"))
+
     # what the order leaves open, and the document nearest to it
+    placed = slim.join(_near(stops, n_sources), of).withColumn("more", _in_order())
     taken = placed.filter("more").groupBy("source").agg(F.sum("size").alias("got"))
+    gap = F.col("extra") - F.coalesce("got", F.lit(0))
     gaps = checkpointed(
-        stops.withColumnRenamed("source", "t")
-        .join(_near(taken, n_sources), same("t"), "left")
-        .select(F.col("t").alias("g"), (F.col("extra") - F.coalesce("got", F.lit(0))).alias("gap"))
+        stops.join(taken, F.col("t").eqNullSafe(F.col("source")), "left").select(F.col("t").alias("g"), gap.alias("gap"))
     )
-    open_rows = placed.filter("not more").join(_near(gaps, n_sources), same("g"))
     off = F.abs(F.col("size") - F.col("gap"))
     closing = (
-        open_rows.filter(off < F.col("gap"))
+        placed.filter("not more")
+        .join(_near(gaps, n_sources), F.col("source").eqNullSafe(F.col("g")))
+        .filter(off < F.col("gap"))
         .groupBy("source", "place")
         .agg(F.sum("size").alias("size"), F.max("gap").alias("gap"))
         .filter(off < F.col("gap"))
@@ -150,17 +134,52 @@ def mix(
         .agg(F.min(F.struct(off.alias("off"), "place")).alias("best"))
         .select(F.col("source").alias("c"), F.col("best.place").alias("closing"))
     )
-    closing = checkpointed(closing)
-    done = placed.join(_near(closing, n_sources), same("c"), "left")
-    once_more = F.col("more") | F.coalesce(F.col("place") == F.col("closing"), F.lit(False))
-    return done.select(
-        "key", "size", "source", "source_size", "target", (F.col("whole") + once_more.cast("long")).alias("copies")
+    full = stops.join(closing, F.col("t").eqNullSafe(F.col("c")), "left").drop("c")
+    return checkpointed(full), slim
+
+
+def _in_order() -> Column:
+    return (F.col("extra") > 0) & (F.col("stop").isNull() | (F.col("place") < F.col("stop")))
+
+
+def copies(rows: DataFrame, planned: DataFrame, source: str = "source", place: Column | None = None) -> DataFrame:
+    """Rows with source_size, target and copies, the repetitions that the plan takes of each.
+
+    Rows of sources that the plan does not know are not taken.  Columns of these names are replaced.
+    """
+    rows = rows.drop("source_size", "target", "copies")
+    names = rows.columns
+    plan_ = planned.select(F.struct("*").alias("__plan"))
+    here = rows.withColumn("__place", F.col("place") if place is None else place)
+    near = F.broadcast(plan_) if planned.count() <= BROADCAST_SOURCES else plan_
+    met = here.join(near, F.col(source).cast("string").eqNullSafe(F.col("__plan.t")), "left")
+    p = lambda name: F.col(f"__plan.{name}")
+    ordered = (p("extra") > 0) & (p("stop").isNull() | (F.col("__place") < p("stop")))
+    closes = F.coalesce(F.col("__place") == p("closing"), F.lit(False))
+    taken = p("whole") + F.coalesce(ordered | closes, F.lit(False)).cast("long")
+    return met.select(
+        *names,
+        p("source_size").alias("source_size"),
+        p("target").alias("target"),
+        F.coalesce(taken, F.lit(0)).cast("long").alias("copies"),
     )
 
 
-def _cut(cells: DataFrame, along, targets: DataFrame, on: Column) -> DataFrame:
-    """Per source the first cell in which the running size passes the words still wanted, with what is before it."""
-    upto = F.coalesce(F.sum("n").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + F.col("below")
-    rows = cells.withColumn("upto", upto).join(targets, on)
-    rows = rows.filter((F.col("upto") <= F.col("extra")) & (F.col("upto") + F.col("n") > F.col("extra")))
-    return rows
+def mix(docs: DataFrame, weights: list[int], share: float = 1.5, epochs: int = 2, seed: str = "mix", **names: str) -> DataFrame:
+    """Per row of ``docs``: key, source, size, place, source_size, target and copies.
+
+    Equal runs give equal results; an empty table gives an empty one.  ``names`` may rename text, key
+    and source; see ``plan``.
+    """
+    planned, slim = plan(docs, weights, share, epochs, seed, **names)
+    return copies(slim, planned)
+
+
+def _cut(cells: DataFrame, targets: DataFrame, on: Column) -> DataFrame:
+    """Per source (t) the first cell (cut) in which the running size passes the words wanted beyond
+    whole repetitions, and the running size up to it; ``below`` is what lies before all cells."""
+    before = W.partitionBy("source").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
+    rows = cells.withColumn("upto", F.coalesce(F.sum("n").over(before), F.lit(0)) + F.col("below"))
+    rows = rows.join(targets, on)
+    passing = (F.col("upto") <= F.col("extra")) & (F.col("upto") + F.col("n") > F.col("extra"))
+    return rows.filter(passing).select("t", F.col("cell").alias("cut"), "upto")
