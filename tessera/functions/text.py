@@ -31,8 +31,9 @@ def cap(text: Column, limit: int) -> Column:
     ).otherwise(text)
 
 
-def squeeze_and_cap(text: Column, limit: int) -> Column:
-    return cap(squeeze(F.coalesce(text, F.lit(""))), limit)
+def squeeze_and_cap(text: Column, limit: int | None) -> Column:
+    whole = squeeze(F.coalesce(text, F.lit("")))
+    return whole if limit is None else cap(whole, limit)
 
 
 def slug(name: Column) -> Column:

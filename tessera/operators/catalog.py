@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.times import utc_micros
 from tessera.functions.text import matches_search
 from tessera.schemas import CATALOG_TTL_SECONDS
 
@@ -101,13 +102,13 @@ def split_stale(
 ) -> DataFrame:
     """Requested rows with ``stale``: never fetched, or fetched longer ago than the TTL.
 
-    ``fetched`` has the keys and ``fetched_at``; the latest fetch counts.
+    ``fetched`` has the keys and ``fetched_at``; the latest fetch counts.  Times without a
+    zone are UTC.
     """
     latest = fetched.groupBy(*keys).agg(F.max("fetched_at").alias("fetched_at"))
-    age = now.cast("timestamp").cast("double") - F.col("fetched_at").cast("timestamp").cast("double")
-    return requested.join(latest, list(keys), "left").withColumn(
-        "stale", F.coalesce(age > ttl_seconds, F.lit(True))
-    )
+    joined = requested.join(latest, list(keys), "left")
+    age = utc_micros(joined, now) - utc_micros(joined, "fetched_at")
+    return joined.withColumn("stale", F.coalesce(age > ttl_seconds * 1_000_000, F.lit(True)))
 
 
 def browse(

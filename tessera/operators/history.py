@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.times import utc_micros
 from tessera.operators.declared import Scd
 
 
@@ -20,61 +21,110 @@ def scd_current(df: DataFrame, scd: Scd) -> DataFrame:
     return df.where(F.col(scd.valid_to).isNull())
 
 
-def _valid_at(scd: Scd, at: Column) -> Column:
-    until = F.col(scd.valid_to)
-    return (F.col(scd.valid_from) <= at) & (until.isNull() | (at < until))
-
-
 def scd_as_of(df: DataFrame, scd: Scd, at: Column) -> DataFrame:
-    return df.where(_valid_at(scd, at))
-
-
-def _micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+    """Versions valid at a time; all of them where several are."""
+    here, start, until = (utc_micros(df, c) for c in (at, scd.valid_from, scd.valid_to))
+    return df.where((start <= here) & (until.isNull() | (here < until)))
 
 
 _OPEN = 2**63 - 1
+#: A level's time nodes are so many times as wide as those of the level below.
+_WIDER = 4
 
 
 def scd_as_of_join(
     facts: DataFrame, dim: DataFrame, scd: Scd, keys: Sequence[str], at: str,
     how: str = "inner", bucket_seconds: int = 86_400,
 ) -> DataFrame:
-    """Each fact with the version of its key that was valid at ``at``; inner or left.
+    """Each fact with every version of its key that was valid at ``at``; inner or left.
 
-    Versions of a key do not overlap, as the history rule says.  Facts and versions
-    are laid in one time line per (key, time bucket) and each fact takes the version
-    started last; what was started in earlier buckets comes in as one carried row.
-    So the work grows with facts plus versions, never with their pairs, and a hot key
-    is split by time.  Carried rows are found on one row per key and bucket.
+    Where the versions of a key follow each other, as the history rule says, facts and versions
+    are laid in one time line per (key, time bucket).  Keys whose versions overlap take another
+    way that gives all valid versions: a version stands at the one or two time nodes of its
+    length, and facts meet it there by equality.  Either way work grows with facts, versions and
+    results, and a hot key is split by time.
     """
     keys = list(keys)
-    width = F.lit(bucket_seconds * 1_000_000)
+    width = bucket_seconds * 1_000_000
     payload = [c for c in dim.columns if c not in keys]
+    start, until = utc_micros(dim, scd.valid_from), utc_micros(dim, scd.valid_to)
+    versions = (
+        dim.where(_complete(keys, scd.valid_from))
+        .select(*keys, start.alias("_s"), F.coalesce(until, F.lit(_OPEN)).alias("_e"), F.struct(*payload).alias("_row"))
+        .where("_s < _e")
+    )
+    by_start = Window.partitionBy(*keys).orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = versions.withColumn("_before", F.max("_e").over(by_start))
+    crossing = ordered.where(F.col("_before") > F.col("_s")).select(*keys).distinct()
 
-    def timed(df: DataFrame, ts: str) -> DataFrame:
-        return df.withColumn("_t", _micros(ts)).withColumn(
-            "_bucket", F.floor(F.col("_t") / width).cast("long")
+    asked = facts.where(_complete(keys, at)).select(
+        *keys, utc_micros(facts, at).alias("_t"), F.struct(*facts.columns).alias("_fact")
+    )
+    plain = _time_line(
+        asked.join(crossing, keys, "left_anti"), versions.join(crossing, keys, "left_anti"), keys, width
+    )
+    crossed_facts = asked.join(crossing, keys, "left_semi")
+    crossed = ordered.join(crossing, keys, "left_semi")
+    several = _by_nodes(crossed_facts, crossed, keys, width)
+    if how == "inner":
+        matched = plain.where(F.col("_row").isNotNull()).unionByName(several)
+    else:
+        # times that any version covers, laid out without overlaps, tell which facts have none
+        along = Window.partitionBy(*keys).orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, 0)
+        gap = F.when(F.col("_before") >= F.col("_s"), 0).otherwise(1)
+        spans = (
+            crossed.withColumn("_span", F.sum(gap).over(along))
+            .groupBy(*keys, "_span")
+            .agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"))
+            .withColumn("_row", F.struct(F.lit(1).alias("covered")))
         )
+        none = _time_line(crossed_facts, spans, keys, width).where(F.col("_row").isNull()).select("_fact")
+        matched = plain.unionByName(several).unionByName(none, allowMissingColumns=True)
+    out = matched.select("_fact.*", *[F.col(f"_row.{c}").alias(c) for c in payload])
+    if how == "inner":
+        return out
+    # facts without a key or a time have no version
+    return out.unionByName(facts.where(~_complete(keys, at)), allowMissingColumns=True)
 
-    def complete(df: DataFrame, ts: str) -> Column:
-        test = F.col(ts).isNotNull()
-        for k in keys:
-            test = test & F.col(k).isNotNull()
-        return test
 
-    until = F.coalesce(_micros(scd.valid_to), F.lit(_OPEN))
-    started = timed(dim.where(complete(dim, scd.valid_from)), scd.valid_from).select(
-        *keys,
-        "_bucket",
-        "_t",
-        # of versions started together the one that lasts longest is meant
-        F.struct(until.alias("end"), F.struct(*payload).alias("row")).alias("_version"),
+def _complete(keys: Sequence[str], ts: str) -> Column:
+    test = F.col(ts).isNotNull()
+    for k in keys:
+        test = test & F.col(k).isNotNull()
+    return test
+
+
+def _by_nodes(asked: DataFrame, versions: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """(_fact, _row) of every fact and every version valid at its time."""
+    first = F.floor(F.col("_s") / width).cast("long")
+    length = F.floor((F.col("_e") - 1) / width).cast("long") - first + 1
+    # open ends may be as long as all time; beyond level 30 a node holds everything
+    level = F.least(F.ceil(F.log(float(_WIDER), length.cast("double"))), F.lit(30)).cast("int")
+    wide = lambda t: F.floor(t / (width * F.pow(F.lit(float(_WIDER)), F.col("_level")))).cast("long")
+    stood = versions.withColumn("_level", level).withColumn(
+        "_node", F.explode(F.array_distinct(F.array(wide(F.col("_s")), wide(F.col("_e") - 1))))
     )
-    asked = timed(facts.where(complete(facts, at)), at).select(
-        *keys, "_bucket", "_t", F.struct(*facts.columns).alias("_fact")
+    levels = stood.select(*keys, "_level").distinct()
+    met = (
+        asked.join(levels, keys)
+        .withColumn("_node", wide(F.col("_t")))
+        .join(stood.select(*keys, "_level", "_node", "_s", "_e", "_row"), [*keys, "_level", "_node"])
     )
-    newest = F.max_by("_version", F.struct("_t", "_version.end"))
+    return met.where("_s <= _t AND _t < _e").select("_fact", "_row")
+
+
+def _time_line(asked: DataFrame, versions: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """(_fact, _row) of every fact, null where no version is valid; versions must not overlap.
+
+    Each fact takes the version started last in its bucket; what was started in earlier buckets
+    comes in as one carried row, found on one row per key and bucket.
+    """
+    bucket = lambda t: F.floor(F.col(t) / width).cast("long")
+    started = versions.select(
+        *keys, bucket("_s").alias("_bucket"), F.col("_s").alias("_t"), F.struct(F.col("_e").alias("end"), F.col("_row").alias("row")).alias("_version")
+    )
+    asked = asked.withColumn("_bucket", bucket("_t"))
+    newest = F.max_by("_version", "_t")
     per_bucket = (
         started.groupBy(*keys, "_bucket")
         .agg(newest.alias("_version"))
@@ -82,11 +132,7 @@ def scd_as_of_join(
         .groupBy(*keys, "_bucket")
         .agg(F.first("_version", ignorenulls=True).alias("_version"))
     )
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("_bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_bucket.select(
         *keys,
         "_bucket",
@@ -100,21 +146,11 @@ def scd_as_of_join(
     )
     so_far = (
         Window.partitionBy(*keys, "_bucket")
-        .orderBy(F.col("_t").asc_nulls_first(), "_is_fact", "_version.end")
+        .orderBy(F.col("_t").asc_nulls_first(), "_is_fact")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    matched = (
+    return (
         line.withColumn("_last", F.last("_version", ignorenulls=True).over(so_far))
         .where("_is_fact")
-        .select(
-            F.col("_fact"),
-            F.when(F.col("_t") < F.col("_last.end"), F.col("_last.row")).alias("_row"),
-        )
+        .select("_fact", F.when(F.col("_t") < F.col("_last.end"), F.col("_last.row")).alias("_row"))
     )
-    if how == "inner":
-        matched = matched.where(F.col("_row").isNotNull())
-    out = matched.select("_fact.*", *[F.col(f"_row.{c}").alias(c) for c in payload])
-    if how == "inner":
-        return out
-    # facts without a key or a time have no version
-    return out.unionByName(facts.where(~complete(facts, at)), allowMissingColumns=True)

@@ -33,13 +33,22 @@ def redact(
     """Sensitive columns hidden, all others untouched.
 
     ``methods`` gives hash, mask or null per class (restricted is null by default,
-    the others are hashed); classes in ``allowed`` pass.
+    the others are hashed); classes in ``allowed`` pass.  Names are matched as the session
+    matches them, in any case unless it is case-sensitive; of several hints for a column any
+    that hides it does.  A sensitive hint that matches no column is an error, not a leak.
     """
     how = {"pii": "hash", "phi": "hash", "restricted": "null", **(methods or {})}
-    classes = {h.name: h.classification for h in hints}
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    named = (lambda n: n) if exact else str.lower
+    hides = lambda h: h.classification in SENSITIVE and h.classification not in allowed
+    missing = [h.name for h in hints if hides(h) and named(h.name) not in map(named, df.columns)]
+    if missing:
+        raise ValueError(f"sensitive hints match no column: {', '.join(missing)}")
+    # of several hints for a column the hiding one comes last
+    classes = {named(h.name): h.classification for h in sorted(hints, key=hides)}
     out = []
     for f in df.schema.fields:
-        cls = classes.get(f.name, "unspecified")
+        cls = classes.get(named(f.name), "unspecified")
         if cls in SENSITIVE and cls not in allowed:
             out.append(_hidden(f.name, f.dataType, how[cls]).alias(f.name))
         else:
@@ -192,30 +201,44 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
 
 
+#: Words of a phrase that are looked up; longer phrases are then compared in the text itself.
+_ANCHOR = 3
+
+
 def tag_terms(docs: DataFrame, terms: DataFrame, doc_key: str, text: str = "text") -> DataFrame:
     """``(doc, term)`` where the words of the term occur in the text one after another.
 
-    The texts are cut into runs of as many words as some term has and joined with
-    the terms by equality.  There are few lengths (a term has at most 120
-    characters), which is what the driver asks for first; no text is compared with
-    every term.
+    The first words of every phrase, three at most, are joined by equality with the distinct
+    runs of as many words of each text.  Where a phrase is longer, the few texts that hold its
+    first words are joined again by key and searched for all of it.  No text is compared with
+    every term, and no text takes part in the first join.
     """
     phrases = terms.select("term", words(F.col("term")).alias("_w")).where(F.size("_w") > 0)
-    lengths = sorted(r[0] for r in phrases.select(F.size("_w")).distinct().collect())
-    if not lengths:
-        return docs.select(doc_key, F.lit("").alias("term")).where(F.lit(False))
+    wanted = phrases.select(
+        "term",
+        F.array_join(F.slice("_w", 1, _ANCHOR), " ").alias("_anchor"),
+        F.array_join("_w", " ").alias("_phrase"),
+        (F.size("_w") > _ANCHOR).alias("_long"),
+    ).distinct()
     cut = docs.select(doc_key, words(F.col(text)).alias("_w"))
 
     def runs(n: int) -> Column:
-        # near the end a run has fewer words; it is still a phrase of the text
-        if n == 1:
-            return F.col("_w")
         return F.transform(
             "_w",
+            # near the end a run has fewer words; it is still a phrase of the text
             lambda w, i: F.concat_ws(" ", w, *[F.get(F.col("_w"), i + j) for j in range(1, n)]),
         )
 
-    every = F.array_distinct(F.flatten(F.array(*[runs(n) for n in lengths])))
-    pieces = cut.select(doc_key, F.explode(every).alias("_phrase"))
-    wanted = phrases.select("term", F.array_join("_w", " ").alias("_phrase"))
-    return pieces.join(wanted, "_phrase").select(doc_key, "term").distinct()
+    every = F.array_distinct(F.concat(*[runs(n) for n in range(1, _ANCHOR + 1)]))
+    pieces = cut.select(doc_key, F.explode(every).alias("_anchor"))
+    # a run that is no phrase's beginning goes before its text is moved anywhere
+    met = pieces.join(wanted, "_anchor").select(doc_key, "term", "_phrase", "_long").distinct()
+    short = met.where(~F.col("_long")).select(doc_key, "term")
+    padded = F.concat(F.lit(" "), F.array_join(words(F.col(text)), " "), F.lit(" "))
+    whole = (
+        docs.select(doc_key, text)
+        .join(met.where("_long"), doc_key)
+        .where(F.contains(padded, F.concat(F.lit(" "), F.col("_phrase"), F.lit(" "))))
+        .select(doc_key, "term")
+    )
+    return short.unionByName(whole).distinct()

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import squeeze_and_cap
+from tessera.functions.times import utc_micros
 from tessera.schemas import CATALOG_TTL_SECONDS
 
-# Longest SQL and failure detail in a log line, in characters.
+# Longest SQL and failure detail in a capped log line, in characters.
 SQL_CAP = 500
 DETAIL_CAP = 240
 # Why a catalog read failed.
@@ -53,10 +54,10 @@ def iso_utc(ts: Column) -> Column:
     return F.concat(utc_text(ts, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("Z"))
 
 
-def format_event() -> Column:
+def format_event(sql_cap: int | None = None, detail_cap: int | None = None) -> Column:
     """One line per event from columns ``ts, duration_ms, dsn, source, ok, row_count,
-    reason, detail, sql``; ``ts`` is text."""
-    sql = squeeze_and_cap(F.col("sql"), SQL_CAP)
+    reason, detail, sql``; ``ts`` is text.  SQL and detail are whole unless caps are given."""
+    sql = squeeze_and_cap(F.col("sql"), sql_cap)
     head = F.concat_ws(
         " ",
         F.col("ts"),
@@ -71,7 +72,7 @@ def format_event() -> Column:
         F.lit(" fail "),
         F.coalesce("reason", F.lit("unknown")),
         F.lit(" "),
-        squeeze_and_cap(F.col("detail"), DETAIL_CAP),
+        squeeze_and_cap(F.col("detail"), detail_cap),
     )
     return F.concat(head, F.when(F.col("ok"), good).otherwise(bad), F.lit(" sql="), sql)
 
@@ -155,13 +156,12 @@ def refetches(
     decide: the first fetch of the request's own bucket and the last one of the
     bucket before.  Fetches are thus reduced before the join, which is on (key,
     bucket), so a busy key is spread over time; no request meets a list of fetches.
-    ``requests`` may be a stream.
+    ``requests`` may be a stream.  Times without a zone are UTC.
     """
     ttl = ttl_seconds * 1_000_000
 
     def placed(df: DataFrame) -> DataFrame:
-        at = F.unix_micros(F.col(ts).cast("timestamp"))
-        return df.withColumn("_at", at).withColumn(
+        return df.withColumn("_at", utc_micros(df, ts)).withColumn(
             "_bucket", F.floor(F.col("_at") / F.lit(ttl)).cast("long")
         )
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import discovery, keys
-from tessera.plans.registry import query, spread, table, text
+from tessera.plans.registry import dealt, query, table, text
 from tessera.sources.corpus import visible
 
 _TEMPLATES = (
@@ -44,7 +44,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = F.replace(F.replace(t, F.lit("\x01"), F.lit("{{")), F.lit("\x02"), F.lit("}}"))
         chosen = F.when(shape == i, t) if chosen is None else chosen.when(shape == i, t)
     folder = F.when(k % 17 == 0, "q/node_modules/").otherwise("q/")
-    files = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")).select(
+    files = dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey").select(
         F.concat(folder, k.cast("string"), F.lit(".sql")).alias("file"), chosen.alias("sql")
     )
     return visible(files)
@@ -185,7 +185,7 @@ def _star_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (lt, lc, rt, rc) in enumerate(_STAR):
         t = F.lit(f"select 1 from wh.{lt} x join wh.{rt} y on x.{lc} = y.{rc}")
         sql = F.when(pick == i, t) if sql is None else sql.when(pick == i, t)
-    return spread(table(spark, sf_dir, "orders").select("o_orderkey")).select(
+    return dealt(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey").select(
         F.concat(F.col("o_orderkey").cast("string"), F.lit(".sql")).alias("file"), sql.alias("sql")
     )
 

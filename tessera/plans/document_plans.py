@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import slug
 from tessera.operators import documents, rendering
-from tessera.plans.registry import query, spread, table, text
+from tessera.plans.registry import dealt, query, table, text
 from tessera.sources import projects
 
 
@@ -108,7 +108,7 @@ def project_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("tables"),
     )
     content = F.to_json(doc)
-    return spread(table(spark, sf_dir, "customer")).select(
+    return dealt(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), "c_custkey").select(
         F.concat(F.lit("/projects/c"), k.cast("string"), F.lit(".json")).alias("file"),
         F.when(k % 13 == 0, F.substring(content, 1, 60)).otherwise(content).alias("content"),
     )
@@ -329,17 +329,45 @@ def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@query(
-    """
-SELECT 'c' || c_custkey || '.json' AS project_id, c_custkey % 13 <> 0 AS ok,
-       CASE WHEN c_custkey % 13 = 0 THEN '{"schema_version":1,' ELSE 'complete' END AS head
-FROM customer"""
-)
+_RAW_SQL = """
+WITH c AS (SELECT c_custkey AS k, c_name, c_nationkey, c_mktsegment FROM customer),
+t AS (
+  SELECT k, i, '{"table_name":"t' || i || '"'
+    || CASE WHEN i % 2 = 0 THEN ',"connection":"main"' ELSE '' END
+    || CASE WHEN i = 1 THEN ',"description":"say \\"hi\\" & <go>"' ELSE '' END
+    || CASE WHEN i = 2 THEN ',"grain":"one row per k1"' ELSE '' END
+    || CASE WHEN i = 3 THEN ',"refresh_cadence":"daily","refresh_notes":"by noon"' ELSE '' END
+    || CASE WHEN i = 1 THEN ',"row_count_last_run":' || (k * 1000 + i) ELSE '' END
+    || ',"primary_keys":["k1"]'
+    || CASE WHEN i = 4 THEN ',"aliases":["x","y"],"pitfalls":["mind the gap"]' ELSE '' END
+    || CASE WHEN i = 2 THEN ',"scd":{"type":"scd2","valid_from":"vf"}' ELSE '' END
+    || ',"columns":[' || array_to_string(list_transform(range(1, 2 + (k + i) % 3), lambda j:
+         '{"name":"k' || j || '","type":"bigint","nullable":' || (j <> 1)::VARCHAR
+         || ',"is_primary_key":' || (j = 1)::VARCHAR
+         || CASE WHEN j = 2 THEN ',"classification":"pii"' ELSE '' END
+         || CASE WHEN j = 3 THEN ',"description":"less < more & so","example_values":["a","b"]' ELSE '' END
+         || '}'), ',') || '],"relationships":['
+    || CASE WHEN i > 1 THEN '{"to_table":"t1","from_columns":["k1"],"to_columns":["k1"],"cardinality":"one_to_many"}'
+            ELSE '' END
+    || '],"upstream":[' || CASE WHEN i > 1 THEN '{"ref":"t' || (i - 1) || '"}' ELSE '' END || ']}' AS j
+  FROM (SELECT k, unnest(range(1, 2 + k % 4)) AS i FROM c)),
+d AS (
+  SELECT k, '{"schema_version":1,' || CASE WHEN k % 2 = 0 THEN '"updated_at":"2024-01-01T00:00:00Z",' ELSE '' END
+    || '"unknown_field":"dropped","project":{"name":"' || c_name || '"'
+    || CASE WHEN k % 3 = 0 THEN ',"modeling_paradigm":"star"' ELSE '' END
+    || ',"description":"' || c_mktsegment || '"'
+    || CASE WHEN k % 2 = 0 THEN ',"glossary":[{"term":"churn","definition":"left us"}]' ELSE '' END
+    || CASE WHEN k % 5 = 0 THEN ',"measures":[{"name":"n","definition":"rows","formula":"count(*)"}]' ELSE '' END
+    || '},"connections":[{"name":"main","engine":"trino","dsn":"d' || c_nationkey || '","catalog":"hive"}],"tables":['
+    || (SELECT string_agg(t.j, ',' ORDER BY t.i) FROM t WHERE t.k = c.k) || ']}' AS content
+  FROM c)
+SELECT 'c' || k || '.json' AS project_id, k % 13 <> 0 AS ok,
+       md5(CASE WHEN k % 13 = 0 THEN content[1:60] ELSE content END) AS content_md5 FROM d"""
+
+
+@query(_RAW_SQL)
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = parsed(spark, sf_dir)
-    whole = F.endswith("content", F.lit("}"))
-    return docs.select(
-        "project_id",
-        "ok",
-        F.when(whole, "complete").otherwise(F.substring("content", 1, 20)).alias("head"),
+    """The stored texts as they are, shown by their digests."""
+    return projects.raw_documents(parsed(spark, sf_dir)).select(
+        "project_id", "ok", F.md5(F.col("content").cast("binary")).alias("content_md5")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import querylog
-from tessera.plans.registry import query, spread, table, text
+from tessera.plans.registry import dealt, query, table, text
 
 
 def log_events(events: DataFrame) -> DataFrame:
@@ -37,12 +37,14 @@ def log_events(events: DataFrame) -> DataFrame:
     return made.withColumn("ts", querylog.iso_utc(F.col("at")))
 
 
-def log_lines_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_lines_of(spark: SparkSession, sf_dir: str, capped: bool = False) -> DataFrame:
     rows = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", "event_type", "value"
     )
-    return log_events(spread(rows)).select(
-        "event_id", "dsn", querylog.format_event().alias("line")
+    line = querylog.format_event()
+    short = querylog.format_event(querylog.SQL_CAP, querylog.DETAIL_CAP)
+    return log_events(dealt(rows, "event_id")).select(
+        "event_id", "dsn", line.alias("line"), *([short.alias("short_line")] if capped else [])
     )
 
 
@@ -56,23 +58,26 @@ WITH raw AS (
               ELSE 'null_value' END AS reason
   FROM events),
 log AS (
-  SELECT e AS event_id, dsn, src, bad, ms, reason, ts,
-         CASE WHEN length(sql) > 500 THEN sql[1:499] || '…' ELSE sql END AS sql,
-         CASE WHEN length(detail) > 240 THEN detail[1:239] || '…' ELSE detail END AS detail
+  SELECT e AS event_id, dsn, src, bad, ms, reason, ts, sql, detail,
+         CASE WHEN length(sql) > 500 THEN sql[1:499] || '…' ELSE sql END AS short_sql,
+         CASE WHEN length(detail) > 240 THEN detail[1:239] || '…' ELSE detail END AS short_detail
   FROM raw),
-lines AS (
+heads AS (
   SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S')
     || CASE WHEN epoch_us(ts) % 1000000 = 0 THEN '' ELSE '.' || lpad((epoch_us(ts) % 1000000)::VARCHAR, 6, '0') END
-    || 'Z ' || ms || 'ms dsn=' || dsn || CASE WHEN event_id % 5 <> 0 THEN ' src=' || src ELSE '' END
-    || CASE WHEN bad THEN ' fail ' || reason || ' ' || detail
-            ELSE ' ok rows=' || CASE WHEN event_id % 7 <> 0 THEN event_id % 100 ELSE 1 END END
-    || ' sql=' || sql AS line
-  FROM log)"""
+    || 'Z ' || ms || 'ms dsn=' || dsn || CASE WHEN event_id % 5 <> 0 THEN ' src=' || src ELSE '' END AS head,
+    ' ok rows=' || CASE WHEN event_id % 7 <> 0 THEN event_id % 100 ELSE 1 END AS good
+  FROM log),
+lines AS (
+  SELECT *, head || CASE WHEN bad THEN ' fail ' || reason || ' ' || detail ELSE good END || ' sql=' || sql AS line,
+    head || CASE WHEN bad THEN ' fail ' || reason || ' ' || short_detail ELSE good END || ' sql=' || short_sql AS short_line
+  FROM heads)"""
 
 
-@query(LINES_SQL + " SELECT event_id, line FROM lines")
+@query(LINES_SQL + " SELECT event_id, line, short_line FROM lines")
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_lines_of(spark, sf_dir).select("event_id", "line")
+    """Whole lines, and lines with SQL and detail at the log's caps."""
+    return log_lines_of(spark, sf_dir, capped=True).select("event_id", "line", "short_line")
 
 
 @query(

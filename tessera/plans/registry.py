@@ -29,14 +29,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of fewer files than cores spread over all cores, ahead of costly projections.
-
-    Applied to narrow rows, before texts are derived from them; inputs of many files,
-    as on a cluster, are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Narrow fixture rows dealt out by key before long texts are made from them, at any size."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
 
 
 def text(column: str | Column, name: str | None = None) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,10 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_root(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
-    Only where a session names none, as in tests, a temporary one is taken.
+    Where none is named, a session whose executors are this process, as in tests, takes a
+    temporary one; on a cluster, whose executors could not all reach that, it is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tessera-")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="tessera-")
 
 
 def working_folder(spark: SparkSession, purpose: str) -> str:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,18 +31,22 @@ def decoded_path(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def read_sql_corpus(
-    spark: SparkSession,
-    root: str,
-    max_files: int | None = None,
-    also_ignored: Sequence[str] = (),
-) -> DataFrame:
-    """``(file, sql)`` of every ``.sql`` file below ``root``, suffix in any case.
+def _qualified(spark: SparkSession, root: str) -> str:
+    """The path of a folder as the scan will show it; patterns have no relative paths."""
+    if re.search(r"[*?\[{]", root):
+        raise ValueError(f"{root!r} is a pattern: paths below it would have no common root")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toUri().getPath().rstrip("/") + "/"
+
+
+def read_sql_corpus(spark: SparkSession, root: str, also_ignored: Sequence[str] = ()) -> DataFrame:
+    """``(file, sql)`` of every ``.sql`` file below the folder ``root``, suffix in any case.
 
     Paths are relative to ``root``; bytes that are no UTF-8 become U+FFFD.
-    ``max_files`` keeps the first files by path; by default all are read.
     """
-    base = urlparse(root).path.rstrip("/") + "/"
+    base = _qualified(spark, root)
     path = decoded_path(F.col("_metadata.file_path"))
     raw = (
         spark.read.option("wholetext", True)
@@ -54,8 +58,7 @@ def read_sql_corpus(
             F.make_valid_utf8("value").alias("sql"),
         )
     )
-    kept = visible(raw, also_ignored)
-    return kept if max_files is None else kept.orderBy("file").limit(max_files)
+    return visible(raw, also_ignored)
 
 
 def write_edge_store(edges_by_table: DataFrame, path: str, buckets: int = 64, fmt: str = "parquet") -> None:

@@ -62,5 +62,5 @@ def list_projects(parsed: DataFrame) -> DataFrame:
 
 
 def raw_documents(parsed: DataFrame) -> DataFrame:
-    """The text as stored."""
-    return parsed.select("project_id", "content")
+    """The text as stored, readable or not."""
+    return parsed.select("project_id", "ok", "content")

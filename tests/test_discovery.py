@@ -155,8 +155,10 @@ def test_reading_a_folder(spark, tmp_path):
         "real.sql": "select 1",
         "sub dir/a+b.SQL": "select � 2",
     }
-    capped = corpus.read_sql_corpus(spark, str(tmp_path), max_files=1, also_ignored=["cache"])
-    assert [r.file for r in capped.collect()] == ["real.sql"]
+    relative = corpus.read_sql_corpus(spark, f"file:{tmp_path}/sub dir/")
+    assert [r.file for r in relative.collect()] == ["a+b.SQL"]
+    with pytest.raises(ValueError, match="pattern"):
+        corpus.read_sql_corpus(spark, f"{tmp_path}/*")
 
 
 def test_edge_store(spark, tmp_path):

@@ -10,8 +10,9 @@ EVENT = (
 )
 
 
-def line_of(spark, *event):
-    return spark.createDataFrame([event], EVENT).select(querylog.format_event().alias("l")).first().l
+def line_of(spark, *event, caps=()):
+    line = querylog.format_event(*caps)
+    return spark.createDataFrame([event], EVENT).select(line.alias("l")).first().l
 
 
 def test_lines(spark):
@@ -26,10 +27,13 @@ def test_lines(spark):
     )
 
 
-def test_caps_count_characters(spark):
-    long = line_of(spark, "T", 1, "d", None, True, 1, None, None, "é" * 501)
+def test_caps_count_characters_where_they_are_asked_for(spark):
+    caps = (querylog.SQL_CAP, querylog.DETAIL_CAP)
+    long = line_of(spark, "T", 1, "d", None, True, 1, None, None, "é" * 501, caps=caps)
     assert long.split("sql=")[1] == "é" * 499 + "…"
-    fits = line_of(spark, "T", 1, "d", None, False, 1, "r", "y" * 240, "é" * 500)
+    whole = line_of(spark, "T", 1, "d", None, False, 1, "r", "y" * 241, "é" * 501)
+    assert whole == f"T 1ms dsn=d fail r {'y' * 241} sql={'é' * 501}"
+    fits = line_of(spark, "T", 1, "d", None, False, 1, "r", "y" * 240, "é" * 500, caps=caps)
     assert fits == f"T 1ms dsn=d fail r {'y' * 240} sql={'é' * 500}"
 
 

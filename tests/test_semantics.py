@@ -89,6 +89,51 @@ def test_redaction(spark):
     assert quality.redact(df, hints, methods={"pii": "mask"}).first().name == "Xxx"
 
 
+def test_hints_match_names_as_the_session_does(spark):
+    df = spark.createDataFrame([("Ann", 1)], "email string, id int")
+    hidden = quality.redact(df, [ColumnHint("Email", "pii"), ColumnHint("EMAIL", "public")]).first()
+    assert len(hidden.email) == 64
+    with pytest.raises(ValueError, match="e_mail"):
+        quality.redact(df, [ColumnHint("e_mail", "restricted")])
+    assert quality.redact(df, [ColumnHint("gone", "public"), ColumnHint("x", "pii")], allowed=["pii"]).count() == 1
+
+
+def test_estimates_of_distinct_values_are_near(spark):
+    df = spark.range(200_000).select((F.col("id") % 50_000).alias("a"), F.col("id").alias("b"))
+    got = {r.column_name: r.n_distinct for r in quality.profile_approx(df, ["a", "b"]).collect()}
+    assert abs(got["a"] - 50_000) < 5_000 and abs(got["b"] - 200_000) < 20_000
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_as_of_join_against_all_pairs(spark, zone, kind):
+    """Overlapping, nested, equal, open and empty versions; facts before, within and behind them."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        hour = lambda c: F.expr(f"timestampadd(HOUR, cast({c} as int), timestamp_ntz'2024-03-09 00:00:00')").cast(kind)
+        spans = [(0, 900, "long"), (24, 60, "short"), (24, 60, "same"), (40, None, "open"), (70, 70, "empty"), (71, 72, "hour")]
+        rows = [("x", s, e, v) for s, e, v in spans] + [("y", 0, 30, "a"), ("y", 30, 50, "b"), ("y", 90, None, "c")]
+        dim = spark.createDataFrame(rows, "k string, s int, e int, v string").select(
+            "k", hour("s").alias("f"), hour("e").alias("t"), "v"
+        )
+        times = [("x", h) for h in range(-3, 100, 4)] + [("y", h) for h in range(-2, 120, 5)] + [("z", 5), ("x", 5000)]
+        facts = spark.createDataFrame(times, "k string, h int").select("k", "h", hour("h").alias("at"))
+        want = []
+        for k, h in times:
+            hits = [v for key, s, e, v in rows if key == k and s <= h and (e is None or h < e)]
+            want += [(k, h, v) for v in hits] or [(k, h, None)]
+        for seconds in (3_600, 86_400, 86_400 * 400):
+            out = history.scd_as_of_join(facts, dim, Scd("f", "t", None), ["k"], "at", "left", seconds)
+            assert sorted(((r.k, r.h, r.v) for r in out.collect()), key=str) == sorted(want, key=str)
+            inner = history.scd_as_of_join(facts, dim, Scd("f", "t", None), ["k"], "at", "inner", seconds)
+            assert inner.count() == sum(v is not None for _, _, v in want)
+        at = hour("41")
+        assert {r.v for r in history.scd_as_of(dim, Scd("f", "t", None), at).collect()} == {"long", "short", "same", "open", "b"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_profiles_agree(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("a"), F.when(F.col("id") % 4 == 0, "x").alias("b"))
     exact = {r.column_name: tuple(r) for r in quality.profile(df, ["a", "b"]).collect()}
