@@ -11,10 +11,12 @@ numbers would need a sort of each whole project in one task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera import schemas
 from tessera.functions.text import is_blank, strip
@@ -55,30 +57,40 @@ def _applicable(changes: DataFrame) -> DataFrame:
     return changes.where(F.col("problem").isNull())
 
 
+def _matching(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys, null equal to null; the right keys go."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])
+
+
+def _seen(state: DataFrame, folded: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of the changes that the state has.
+
+    The state streams past the changes: a batch that is small by its statistics is broadcast,
+    and then no state row is moved.
+    """
+    return _matching(state.select(*keys), folded.select(*keys), keys, "left_semi").distinct()
+
+
 def _outcomes(
     changes: DataFrame, state: DataFrame, keys: Sequence[str], first: str, later: str
 ) -> DataFrame:
     """One row per change.  The first good change of an absent key is ``first``.
 
-    Keys are combined on the map side (first seq, seen in the state) and joined
-    back; the changes stay on the side of the join that can be split.
+    Changes are combined by key on the map side and joined back; they stay on the side of the
+    join that can be split.
     """
-    keyed = (
-        _applicable(changes)
-        .select(*keys, F.col("seq").alias("_seq"), F.lit(False).alias("_old"))
-        .unionByName(
-            state.select(*keys, F.lit(None).cast("long").alias("_seq"), F.lit(True).alias("_old"))
-        )
-        .groupBy(*keys)
-        .agg(F.min("_seq").alias("_first"), F.max("_old").alias("_old"))
-    )
+    firsts = _applicable(changes).groupBy(*keys).agg(F.min("seq").alias("_first"))
+    old = _seen(state, firsts, keys).withColumn("_old", F.lit(True))
+    keyed = _matching(firsts, old, keys, "left")
     problem = F.col("problem") if "problem" in changes.columns else F.lit(None).cast("string")
     return (
-        changes.join(keyed, list(keys), "left")
+        _matching(changes, keyed, keys, "left")
         .withColumn(
             "outcome",
             F.when(problem.isNotNull(), "rejected")
-            .when(F.col("_old") | (F.col("seq") > F.col("_first")), later)
+            .when(F.coalesce("_old", F.lit(False)) | (F.col("seq") > F.col("_first")), later)
             .otherwise(first),
         )
         .select("project_id", "seq", *[k for k in keys if k != "project_id"], "outcome",
@@ -89,68 +101,110 @@ def _outcomes(
 def upsert(
     state: DataFrame, changes: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """Replace whole records in place by key, append new keys; the last change wins."""
+    """Replace whole records in place by key, append new keys; the last change wins.
+
+    The state's keys are unique.  Changes are reduced to one per key before they meet it.
+    """
     state = as_state(state)
     payload = [c for c in state.columns if c not in (*keys, *ORDER)]
     good = _applicable(changes)
     missing = [c for c in payload if c not in good.columns]
     good = good.withColumns({c: F.lit(None).cast(state.schema[c].dataType) for c in missing})
-    old = state.select(
-        *keys,
-        F.struct(*payload).alias("_row"),
-        F.struct(F.lit(0).alias("round"), (-F.col("pos").cast("long")).alias("at")).alias("_when"),
-        F.struct("appended", F.col("pos").cast("long").alias("pos")).alias("_place"),
+    typed = [F.col(c).cast(state.schema[c].dataType).alias(c) for c in payload]
+    folded = good.groupBy(*keys).agg(
+        F.max_by(F.struct(*typed), "seq").alias("_row"), F.min("seq").cast("long").alias("_first")
     )
-    new = good.select(
+    here = F.col("_row").isNotNull()
+    replaced = _matching(state, folded, keys, "left").select(
         *keys,
-        F.struct(*[F.col(c).cast(state.schema[c].dataType).alias(c) for c in payload]).alias("_row"),
-        F.struct(F.lit(1).alias("round"), F.col("seq").cast("long").alias("at")).alias("_when"),
-        F.struct(F.lit(True).alias("appended"), F.col("seq").cast("long").alias("pos")).alias("_place"),
-    )
-    merged = (
-        old.unionByName(new)
-        .groupBy(*keys)
-        .agg(F.max_by("_row", "_when").alias("_row"), F.min("_place").alias("_place"))
+        "appended",
+        F.col("pos").cast("long").alias("pos"),
+        *[F.when(here, F.col(f"_row.{c}")).otherwise(F.col(c)).alias(c) for c in payload],
     )
-    return merged.select(*keys, "_place.*", "_row.*"), _outcomes(
-        changes, state, keys, "added", "updated"
+    added = _matching(folded, _seen(state, folded, keys), keys, "left_anti").select(
+        *keys, F.lit(True).alias("appended"), F.col("_first").alias("pos"), *[f"_row.{c}" for c in payload]
     )
+    return replaced.unionByName(added), _outcomes(changes, state, keys, "added", "updated")
 
 
 def append_distinct(
     state: DataFrame, changes: DataFrame, keys: Sequence[str], payload: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """Append rows whose key is new; the first of equal keys wins, old rows come first."""
+    """Append rows whose key is new; the first of equal keys wins, old rows come first.
+
+    The state is not joined, only extended by what is not in it.
+    """
     state = as_state(state)
-    old = state.select(
-        *keys, F.struct(*ORDER).alias("_place"), F.struct(*payload, F.lit(0)).alias("_row")
+    place = state.schema["pos"].dataType
+    typed = [F.col(c).cast(state.schema[c].dataType).alias(c) for c in payload]
+    folded = _applicable(changes).groupBy(*keys).agg(
+        F.min_by(F.struct(*typed, F.lit(0)), "seq").alias("_row"), F.min("seq").cast(place).alias("_first")
     )
-    good = _applicable(changes)
-    new = good.select(
-        *keys,
-        F.struct(
-            F.lit(True).alias("appended"),
-            F.col("seq").cast(state.schema["pos"].dataType).alias("pos"),
-        ).alias("_place"),
-        F.struct(
-            *[F.col(c).cast(state.schema[c].dataType).alias(c) for c in payload], F.lit(0)
-        ).alias("_row"),
-    )
-    merged = (
-        old.union(new)
-        .groupBy(*keys)
-        .agg(F.min_by("_row", "_place").alias("_row"), F.min("_place").alias("_place"))
-    )
-    return merged.select(*keys, "_place.*", *[f"_row.{c}" for c in payload]), _outcomes(
-        changes, state, keys, "added", "already recorded"
+    added = _matching(folded, _seen(state, folded, keys), keys, "left_anti").select(
+        *keys, F.lit(True).alias("appended"), F.col("_first").alias("pos"), *[f"_row.{c}" for c in payload]
     )
+    extended = state.select(*keys, *ORDER, *payload).unionByName(added)
+    return extended, _outcomes(changes, state, keys, "added", "already recorded")
+
+
+# -- rules of records ---------------------------------------------------------
+
+#: Lists of records within a table.
+_PARTS = ("columns", "relationships", "upstream")
+
+
+def record_rules(
+    kind: T.StructType, entity: str, value: Callable[[str], Column] = F.col
+) -> list[tuple[Column, str]]:
+    """What makes a record invalid, from the same tables of rules that ``violations`` reads.
+
+    Absent optional fields are null and fine: they stand for their defaults.  ``value`` gives a
+    field's column; fields that the record's type lacks are not tested.  Records within a table
+    are tested as deep as they go.
+    """
+    names = kind.fieldNames()
+    rules: list[tuple[Column, str]] = []
+    for field in schemas.REQUIRED.get(entity, ()):
+        if field in names:
+            rules.append((value(field).isNull(), f"{field} is required"))
+    for field in schemas.REQUIRED_TEXT.get(entity, ()):
+        if field in names:
+            rules.append((F.coalesce(value(field), F.lit("")) == "", f"{field} is required"))
+    for field, limit in schemas.MAX_LENGTH.get(entity, {}).items():
+        if field in names:
+            rules.append((F.length(value(field)) > limit, f"{field} too long"))
+    for field, words in schemas.ENUMS.get(entity, {}).items():
+        if field in names:
+            rules.append((~value(field).isin(*words), f"{field} is not an allowed word"))
+    if entity == "tables":
+        for field in names:
+            rules += _nested_rules(kind[field].dataType, field, value)
+    return [(F.coalesce(broken, F.lit(False)), text) for broken, text in rules]
+
+
+def _nested_rules(
+    kind: T.DataType, field: str, value: Callable[[str], Column] = F.col
+) -> list[tuple[Column, str]]:
+    """Rules of the records inside ``scd``, ``columns``, ``relationships`` and ``upstream``."""
+    if field == "scd" and isinstance(kind, T.StructType) and "type" in kind.fieldNames():
+        return [(~value(field)["type"].isin(*schemas.SCD_TYPES), "scd type is not an allowed word")]
+    if field not in _PARTS or not isinstance(getattr(kind, "elementType", None), T.StructType):
+        return []
+
+    def broken(e: Column) -> Column:
+        each = [test for test, _ in record_rules(kind.elementType, field, lambda name: e[name])]
+        return reduce(lambda a, b: a | b, each, e.isNull())
+
+    return [(F.exists(value(field), broken), f"{field} has an invalid entry")]
 
 
 # -- documents ---------------------------------------------------------------
 
 
 def upsert_tables(tables: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return upsert(tables, changes, ("project_id", "table_name"))
+    """Whole records, tested with all that they contain."""
+    judged = judge(changes, *record_rules(changes.schema, "tables"))
+    return upsert(tables, judged, ("project_id", "table_name"))
 
 
 def upsert_connections(connections: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -163,6 +217,7 @@ def upsert_connections(connections: DataFrame, changes: DataFrame) -> tuple[Data
             (F.col("engine") == "trino") & is_blank(F.col("catalog")),
             "a trino connection requires a catalog",
         ),
+        *record_rules(changes.schema, "connections"),
     )
     return upsert(connections, judged, ("project_id", "name"))
 
@@ -209,7 +264,9 @@ def _last_present(field: str) -> Column:
     return F.max_by(F.struct(F.col(field).alias("v")), F.when(names_it, F.col("seq")))
 
 
-def _field_problem(field: str, nullable: Sequence[str], entity: str) -> list[tuple[Column, str]]:
+def _field_problem(
+    field: str, nullable: Sequence[str], entity: str, kind: T.DataType
+) -> list[tuple[Column, str]]:
     present = F.array_contains("present", field)
     value = F.col(field)
     rules: list[tuple[Column, str]] = []
@@ -225,6 +282,8 @@ def _field_problem(field: str, nullable: Sequence[str], entity: str) -> list[tup
     if words:
         bad = F.coalesce(~value.isin(*words), F.lit(False))
         rules.append((present & bad, f"{field} is not an allowed word"))
+    for broken, text in _nested_rules(kind, field):
+        rules.append((present & F.coalesce(broken, F.lit(False)), text))
     return rules
 
 
@@ -245,7 +304,7 @@ def judge_patches(
     rules.append((F.size(F.array_except("present", words)) > 0, "unknown patch fields"))
     for field in allowed:
         if field in patches.columns:
-            rules += _field_problem(field, nullable, entity)
+            rules += _field_problem(field, nullable, entity, patches.schema[field].dataType)
     return judge(patches, *rules)
 
 
@@ -264,7 +323,10 @@ def patch(
     folded = good.groupBy(*keys).agg(
         F.min("seq").alias("_first"), *[_last_present(f).alias(f"_new_{f}") for f in fields]
     )
-    joined = state.join(folded, keys, "full_outer" if create else "left")
+    joined = _matching(state, folded, keys, "left")
+    if create:
+        absent = _matching(folded, _seen(state, folded, keys), keys, "left_anti")
+        joined = joined.unionByName(absent, allowMissingColumns=True)
     defaults = schemas.DEFAULTS.get("tables" if "table_name" in keys else "project", {})
 
     def value(name: str) -> Column:
@@ -326,7 +388,8 @@ def set_primary_key(
     change that the table does not have.
     """
     key = ["project_id", "table_name"]
-    judged = require_known(judge(changes), tables, key, "unknown table")
+    judged = judge(changes, (F.col("columns").isNull(), "columns are required"))
+    judged = require_known(judged, tables, key, "unknown table")
     final = (
         _applicable(judged)
         .groupBy(*key)

@@ -95,6 +95,21 @@ def propose_primary_key(columns: DataFrame, keys: Sequence[str] = ("table_name",
     return tagged.join(rules, list(keys)).where(belongs).select(*keys, "rule", "pos", "name")
 
 
+def confirm_primary_keys(proposed: DataFrame, frames: Mapping[str, DataFrame]) -> DataFrame:
+    """``check_primary_key`` of every proposed key whose table is in ``frames``.
+
+    Proposals, a row per key column of the given tables, come to the driver; data does not.
+    """
+    rows = proposed.where(F.col("table_name").isin(*frames)).orderBy("table_name", "pos").collect()
+    columns: dict[str, list[str]] = {}
+    for r in rows:
+        columns.setdefault(r["table_name"], []).append(r["name"])
+    checks = [check_primary_key(frames[t], names, t) for t, names in columns.items()]
+    if not checks:
+        return check_primary_key(proposed.limit(0), ["name"]).where(F.lit(False))
+    return reduce(DataFrame.unionByName, checks)
+
+
 def orphans(from_df: DataFrame, to_df: DataFrame, rel: Relationship) -> DataFrame:
     """Foreign-key values without a target, with their row counts.
 

@@ -160,3 +160,61 @@ def test_connections_need_a_catalog_under_trino(spark):
     (row,) = state.collect()
     assert (row.engine, row.dsn, row.catalog, row.description) == ("databricks", "d2", None, None)
     assert [outcome(out)[i][0] for i in (1, 2, 3)] == ["updated", "rejected", "rejected"]
+
+
+def test_upserted_tables_are_tested_to_the_bottom(spark):
+    part = "columns array<struct<name: string, classification: string>>"
+    state = spark.createDataFrame(
+        [], f"project_id string, pos int, table_name string, refresh_cadence string, scd struct<type: string>, {part}"
+    )
+    good = [("Id", "pii"), ("x", None)]
+    rows = spark.createDataFrame(
+        [
+            ("p", 1, "a", None, None, good),
+            ("p", 2, "", "daily", None, good),
+            ("p", 3, None, "daily", None, None),
+            ("p", 4, "b", "often", None, None),
+            ("p", 5, "c", "daily", ("bogus",), None),
+            ("p", 6, "d", "daily", ("scd2",), [("Id", "secret")]),
+            ("p", 7, "e", "daily", ("scd2",), [("", "pii")]),
+            ("p", 8, "f", "daily", (None,), []),
+        ],
+        f"project_id string, seq long, table_name string, refresh_cadence string, scd struct<type: string>, {part}",
+    )
+    after, out = changes.upsert_tables(state, rows)
+    assert {r.table_name for r in after.collect()} == {"a", "f"}
+    assert [outcome(out)[i][1] for i in range(1, 9)] == [
+        None, "table_name is required", "table_name is required", "refresh_cadence is not an allowed word",
+        "scd type is not an allowed word", "columns has an invalid entry", "columns has an invalid entry", None,
+    ]
+    patches = rows.where("seq in (5, 6, 8)").withColumn("present", F.expr("array('scd', 'columns')"))
+    _, out = changes.patch_tables(after, patches.withColumn("table_name", F.lit("a")))
+    assert [outcome(out)[i][1] for i in (5, 6)] == ["scd type is not an allowed word", "columns has an invalid entry"]
+
+
+def test_descriptions_and_key_lists_are_tested(spark):
+    old = spark.createDataFrame(
+        [], "project_id string, pos int, name string, engine string, dsn string, catalog string, description string"
+    )
+    rows = spark.createDataFrame(
+        [("p", 1, "c", "databricks", "d", None, "x" * 5000), ("p", 2, "e", None, "d", None, None)],
+        "project_id string, seq long, name string, engine string, dsn string, catalog string, description string",
+    )
+    state, out = changes.upsert_connections(old, rows)
+    assert state.count() == 0 and [outcome(out)[i][1] for i in (1, 2)] == ["description too long", "unknown engine"]
+    columns = spark.createDataFrame([], "project_id string, table_name string, pos int, name string, is_primary_key boolean")
+    keys = spark.createDataFrame([("p", 1, "a", None)], "project_id string, seq long, table_name string, columns array<string>")
+    _, _, out, _ = changes.set_primary_key(tables(spark), columns, keys)
+    assert outcome(out) == {1: ("rejected", "columns are required")}
+
+
+def test_a_small_batch_moves_no_state(spark):
+    """State rows reach the result through broadcast joins alone."""
+    state = spark.range(50_000).selectExpr(
+        "'p' as project_id", "cast(id as int) as pos", "concat('t', id) as table_name", "'d' as description"
+    )
+    rows = spark.range(5).selectExpr("'p' as project_id", "id as seq", "concat('t', id) as table_name", "'n' as description")
+    for after in (changes.upsert_tables(state, rows)[0], changes.append_distinct(state, rows, ("project_id", "table_name"), ("description",))[0]):
+        after.collect()
+        plan = after._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
