@@ -19,12 +19,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions.text import WHITESPACE
+
 # Private-use marks.  Input text is cleared of this block first.
 OPEN, CLOSE = "\ue000", "\ue001"  # brackets of an ordinary group
 REF_OPEN, REF_CLOSE = "\ue002", "\ue003"  # reference to a lifted scope
 COMMA = "\ue005"  # comma inside an ordinary group
 HUSH = "\ue006"  # ends a keyword that must not be read as one
 CUT, WORD_END = "\ue008", "\ue009"  # around the word between two sources
+SUBSCRIPT = "\ue00a"  # bracket right behind a name: an element, no column
 DEPTH = "\ue007"  # one per and/or/bracket level above an equality
 _ASCII = "".join(map(chr, range(1, 128)))
 _AS_IDENT = "".join(chr(0xE100 + i) for i in range(1, 128))
@@ -46,6 +49,10 @@ _TOKEN = (
     r"|/\*[\s\S]*?(?:\*/|$)"
 )
 _TOKEN_START = r"['\"\[`]|--|/\*"
+_SUBSCRIPT = (
+    r"(?i)(?<=[\p{L}\p{N}_$#@\]\"`])(?<!\b(?:on|and|or|not|join|from|select|by|in|as|where|having|when|then|else"
+    r"|set|into|using|between|like|over|update|apply))\["
+)
 _GROUP = r"\([^()]*\)"
 _SCOPE_WORD = r"(?i)\b(?:select|join)\b"
 _HUSHED_WORDS = (
@@ -58,21 +65,6 @@ _BODY_END = (
     r"(?i)\b(?:where|group\s+by|having|order\s+by|limit|qualify|window|offset"
     r"|fetch|lateral\s+view|connect\s+by|start\s+with|option|for\s+xml)\b"
 )
-_CUT = (
-    r"(?i),|\b(?=[a-jl-s])(?:natural\s+)?(?:(?:left|right|full)\s+(?:(?:outer|semi|anti|inner)\s+)?"
-    r"|(?:inner|cross|outer|semi|anti)\s+)?(?:(?:hash|merge|loop|remote)\s+)?join\b"
-)
-_WORD = r"(?i)\b(?:select|join)\b"
-_HUSHED_WORDS = (
-    r"(?i)\b(from|where|group|having|order|limit|on|union|intersect|except|minus"
-    r"|qualify|window|offset|fetch)\b"
-)
-_SET_OPERATOR = r"(?i)\b(?:union|intersect|except|minus)\b(?:\s+(?:all|distinct)\b)?"
-_SELECT_FROM = r"(?i)\bselect\b.*?\bfrom\b(.*)$"
-_BODY_END = (
-    r"(?i)\b(?:where|group\s+by|having|order\s+by|limit|qualify|window|offset"
-    r"|fetch|lateral\s+view|connect\s+by|start\s+with|option|for\s+xml)\b"
-)
 _JOIN_WORD = (
     r"(?i)(?:\bnatural\s+)?(?:\b(?:left|right|full)\s+(?:(?:outer|semi|anti|inner)\s+)?"
     r"|\b(?:inner|cross|outer|semi|anti)\s+)?(?:\b(?:hash|merge|loop|remote)\s+)?\bjoin\b"
@@ -158,8 +150,8 @@ def readable(text: Column) -> Column:
     full = F.regexp_replace(full, rf"(?<={OPEN})\s+|\s+(?=[{CLOSE}{COMMA}])", "")
     full = F.translate(
         F.regexp_replace(full, rf"{COMMA}\s*", f"{COMMA} "),
-        _AS_IDENT + _AS_LITERAL + OPEN + CLOSE + COMMA,
-        _ASCII + _ASCII + "(),",
+        _AS_IDENT + _AS_LITERAL + OPEN + CLOSE + COMMA + SUBSCRIPT,
+        _ASCII + _ASCII + "(),[",
     )
     return F.trim(
         F.regexp_replace(
@@ -190,12 +182,15 @@ def shield(sql: Column) -> Column:
             )
         )
 
-    return F.when(sql.rlike(_TOKEN_START), _splice(sql, _TOKEN, render)).otherwise(sql)
+    indexed = F.when(
+        F.contains(sql, F.lit("[")), F.regexp_replace(sql, _SUBSCRIPT, SUBSCRIPT)
+    ).otherwise(sql)
+    return F.when(indexed.rlike(_TOKEN_START), _splice(indexed, _TOKEN, render)).otherwise(indexed)
 
 
 def tidy(shielded: Column) -> Column:
     """One blank between words, no blanks around the dots of quoted names."""
-    flat = F.regexp_replace(shielded, r"\s+", " ")
+    flat = F.regexp_replace(shielded, WHITESPACE + "+", " ")
     dotted = F.regexp_replace(
         flat, r"(?<=[\ue100-\ue17f])\s*\.\s*|\s*\.\s*(?=[\ue100-\ue17f])", "."
     )

@@ -33,6 +33,12 @@ CASES = {
     "select 1 from a left semi join b on A.i = B.j": [("LEFT", [".a.i=.b.j"])],
     "select 1 from a x join b y on z.i = y.j": [("JOIN", [".z.i=.b.j"])],
     "select 1 from a join b on i = b.j": [("JOIN", ["..i=.b.j"])],
+    # an element of a column is no column; a bracket behind a keyword is a name
+    "select 1 from f join d on f.arr[1] = d.id and f.k = d.k": [("JOIN", [".f.k=.d.k"])],
+    "select 1 from f join d on f.m['k'] = d.id": [],
+    "select 1 from f join d on[f].[k]=[d].[k]": [("JOIN", [".f.k=.d.k"])],
+    # any white space separates
+    "select f.x,\u0085 d.y from\u2028f join\u0085d on\u00a0f.k = d.k": [("JOIN", [".f.k=.d.k"])],
     # what drops out
     "select 1 from a cross join b, c natural join d join e using (id)": [],
     "select 1 from a join (select id from b) q on a.id = q.id": [],
