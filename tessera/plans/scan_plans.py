@@ -169,7 +169,7 @@ def validate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "customer").select(
         F.concat(F.lit("c"), k.cast("string"), F.lit(".json")).alias("file"), F.to_json(doc).alias("content")
     )
-    return changes.validate(documents.flatten(projects.parse_projects(files)))
+    return changes.validate(documents.flatten(projects.parsed_once(projects.parse_projects(files))))
 
 
 _UPSERT_SQL = """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera import schemas
+from tessera.sources.checkpoints import working_folder
 from tessera.sources.corpus import decoded_path
 
 _CORRUPT = "_corrupt_record"
@@ -37,6 +38,13 @@ def parse_projects(files: DataFrame) -> DataFrame:
     )
 
 
+def parsed_once(parsed: DataFrame) -> DataFrame:
+    """The parsed documents as a table in the shared folder: what is read from it reads columns, not JSON."""
+    path = working_folder(parsed.sparkSession, "parsed-projects")
+    parsed.write.parquet(path)
+    return parsed.sparkSession.read.parquet(path)
+
+
 def read_projects(spark: SparkSession, folder: str, suffix: str = ".json") -> DataFrame:
     """Documents directly in ``folder`` whose name ends in ``suffix``."""
     files = (
