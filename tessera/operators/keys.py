@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.declared import Relationship
 from tessera.operators.keyed import salted_join
-from tessera.sources.checkpoints import checkpointed
 
 
 def _any_null(columns: Sequence[str]) -> Column:
@@ -180,70 +180,114 @@ def join_along(
     return from_df.join(renamed, keys, how)
 
 
-def corroborate(edges: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Discovered edges measured on data: match rate, and which end is unique.
+def _located(edges: DataFrame, tables: Mapping[str, DataFrame]) -> list[dict]:
+    """Edges about the given tables: id, and per end the table's key and its columns, first ones first.
 
-    ``edges`` has ``id, left, right`` (see discovery); ``tables`` maps lower-case
-    table names to data.  Values are counted once per key column that some edge
-    mentions, tagged with the edges, and combined by ``(edge, value)``; no pair of
-    rows is ever formed.  Edges about other tables give no row.
+    A qualified end needs its own ``schema.table``; one without schema takes the table of that name
+    where there is only one.  Of further equalities those between the same two tables count.
     """
-    known = edges.sparkSession.createDataFrame(
-        [(f"{t}.{c.lower()}", t, c) for t, df in tables.items() for c in df.columns],
-        "_end string, table_name string, column_name string",
-    )
-
-    def end(side: str) -> Column:
-        return F.concat_ws(".", F.lower(f"{side}.table"), F.lower(f"{side}.column")).alias("_end")
-
-    def located(side: str) -> DataFrame:
-        column = F.struct("table_name", "column_name").alias(f"_{side}")
-        return known.select(F.col("_end").alias(f"_{side}_end"), column)
-
-    # Both ends known: computed once, as the edges may come straight from a corpus.
-    placed = checkpointed(
-        edges.select("id", end("left").alias("_left_end"), end("right").alias("_right_end"))
-        .join(located("left"), "_left_end")
-        .join(located("right"), "_right_end")
-        .select("id", "_left", "_right")
-    )
-    wanted = placed.select(
-        "id",
-        F.explode(
-            F.array(
-                F.struct(F.lit("left").alias("side"), "_left.*"),
-                F.struct(F.lit("right").alias("side"), "_right.*"),
-            )
-        ).alias("_e"),
-    ).select("id", "_e.*")
-    # which columns to read: at most as many as the schemas of ``tables`` have
-    needed = {
-        (r.table_name, r.column_name)
-        for r in wanted.select("table_name", "column_name").distinct().collect()
-    }
+    by_name: dict[str, list[str]] = {}
+    for full in tables:
+        by_name.setdefault(full.lower().rpartition(".")[2], []).append(full)
+    exact = {full.lower(): full for full in tables}
+
+    def table_of(end) -> str | None:
+        if end["table"] is None:
+            return None
+        name = end["table"].lower()
+        if end["schema"]:
+            return exact.get(f"{end['schema'].lower()}.{name}")
+        candidates = by_name.get(name, [])
+        return candidates[0] if len(candidates) == 1 else None
+
+    def column_of(full: str, end) -> str | None:
+        names = {c.lower(): c for c in tables[full].columns}
+        return names.get(end["column"].lower())
+
+    found = []
+    extra = ["extra"] if "extra" in edges.columns else []
+    # edges are metadata: one row per pair of ends, however many files and rows they stand for
+    for row in edges.select("id", "left", "right", *extra).toLocalIterator():
+        ends = (table_of(row["left"]), table_of(row["right"]))
+        if None in ends:
+            continue
+        pairs = []
+        for pair in [(row["left"], row["right"]), *[(e["left"], e["right"]) for e in (row["extra"] if extra else None) or []]]:
+            here = (table_of(pair[0]), table_of(pair[1]))
+            if here == ends[::-1] != ends:
+                pair = pair[::-1]
+            elif here != ends:
+                continue
+            columns = (column_of(ends[0], pair[0]), column_of(ends[1], pair[1]))
+            pairs.append(columns)
+        if pairs and None not in pairs[0]:
+            known = [p for p in pairs if None not in p]
+            found.append({"id": row["id"], "ends": ends, "columns": tuple(zip(*known, strict=True))})
+    return found
+
+
+def _common_types(spark, left: DataFrame, right: DataFrame, columns) -> list[str]:
+    """Per key column the type that Spark itself compares the two sides in; text where there is none."""
+    out = []
+    for a, b in zip(*columns, strict=True):
+        types = (left.schema[a].dataType.simpleString(), right.schema[b].dataType.simpleString())
+        if types[0] == types[1]:
+            out.append(types[0])
+            continue
+        try:
+            both = F.coalesce(*[F.lit(None).cast(t) for t in types]).alias("c")
+            out.append(spark.range(0).select(both).schema["c"].dataType.simpleString())
+        except AnalysisException:
+            out.append("string")
+    return out
+
+
+def corroborate(
+    edges: DataFrame, tables: Mapping[str, DataFrame], least_rate: float = 0.95
+) -> DataFrame:
+    """Discovered edges measured on data: rows and matched rows per end, rates, cardinality, verdict.
+
+    ``edges`` has ``id, left, right`` and ``extra`` (see discovery); ``tables`` maps
+    ``schema.table``, or ``table`` where no schema is known, to data.  A composite edge is measured
+    on its whole key, both sides in their common type; keys with a null part do not count.  Each
+    table is read once: its keys are counted by (edge, side, value), so that the values of one
+    column are spread out, and the two sides meet as counts; no pair of rows is formed.  Edges about
+    other tables give no row.
+
+    cardinality is one_to_one, one_to_many (one end is unique) or many_to_many.  verdict is
+    confirmed where an end is unique and at least ``least_rate`` of the other end's rows match,
+    refuted where nothing matches, else weak.
+    """
+    spark = edges.sparkSession
+    wanted: dict[str, list[Column]] = {}
+    for edge in _located(edges, tables):
+        left, right = edge["ends"]
+        types = _common_types(spark, tables[left], tables[right], edge["columns"])
+        for side, (full, columns) in enumerate(zip(edge["ends"], edge["columns"], strict=True)):
+            parts = [F.col(c).cast(t).cast("string") for c, t in zip(columns, types, strict=True)]
+            complete = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
+            tagged = F.struct(F.lit(edge["id"]).alias("id"), F.lit(side).alias("side"), F.array(*parts).alias("value"))
+            wanted.setdefault(full, []).append(F.when(complete, tagged))
     counts = [
-        tables[t]
-        .where(F.col(c).isNotNull())
-        .groupBy(F.col(c).cast("string").alias("value"))
+        tables[full]
+        .select(F.explode(F.array_compact(F.array(*keys))).alias("_k"))
+        .groupBy("_k.id", "_k.side", "_k.value")
         .agg(F.count("*").alias("n"))
-        .select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "value", "n")
-        for t, c in sorted(needed)
+        for full, keys in sorted(wanted.items())
     ]
     if not counts:
-        counts = [
-            known.select(
-                "table_name", "column_name", F.lit("").alias("value"), F.lit(0).cast("long").alias("n")
-            ).where(F.lit(False))
-        ]
-    per_value = reduce(DataFrame.unionByName, counts)
-    tagged = per_value.join(wanted, ["table_name", "column_name"])
-    left = F.col("side") == "left"
-    by_value = tagged.groupBy("id", "value").agg(
-        F.coalesce(F.sum(F.when(left, F.col("n"))), F.lit(0)).alias("l"),
-        F.coalesce(F.sum(F.when(~left, F.col("n"))), F.lit(0)).alias("r"),
+        counts = [spark.createDataFrame([], "id string, side int, value array<string>, n long")]
+    left = F.col("side") == 0
+    by_value = (
+        reduce(DataFrame.unionByName, counts)
+        .groupBy("id", "value")
+        .agg(
+            F.coalesce(F.sum(F.when(left, F.col("n"))), F.lit(0)).alias("l"),
+            F.coalesce(F.sum(F.when(~left, F.col("n"))), F.lit(0)).alias("r"),
+        )
     )
     both = (F.col("l") > 0) & (F.col("r") > 0)
-    return by_value.groupBy("id").agg(
+    measured = by_value.groupBy("id").agg(
         F.sum("l").alias("left_rows"),
         F.sum("r").alias("right_rows"),
         F.coalesce(F.sum(F.when(both, F.col("l"))), F.lit(0)).alias("left_matched"),
@@ -251,3 +295,16 @@ def corroborate(edges: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
         F.max("l").alias("left_per_key"),
         F.max("r").alias("right_per_key"),
     )
+    rate = lambda side: F.coalesce(F.try_divide(f"{side}_matched", f"{side}_rows"), F.lit(0.0))
+    unique = lambda side: F.col(f"{side}_per_key") <= 1
+    holds = (unique("right") & (rate("left") >= least_rate)) | (unique("left") & (rate("right") >= least_rate))
+    return measured.withColumns(
+        {
+            "left_rate": rate("left"),
+            "right_rate": rate("right"),
+            "cardinality": F.when(unique("left") & unique("right"), "one_to_one")
+            .when(unique("left") | unique("right"), "one_to_many")
+            .otherwise("many_to_many"),
+            "verdict": F.when(F.col("left_matched") == 0, "refuted").when(holds, "confirmed").otherwise("weak"),
+        }
+    )

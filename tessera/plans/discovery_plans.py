@@ -169,41 +169,68 @@ def scan_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.scan_errors(broken)
 
 
+#: Edges of the corpus, by key columns; ``alt.lineitem`` has half of the lines and decimal order keys.
 _STAR = (
-    ("orders", "o_custkey", "customer", "c_custkey"),
-    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
-    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
-    ("customer", "c_nationkey", "nation", "n_nationkey"),
-    ("orders", "o_orderkey", "part", "p_partkey"),
-)
+    ("wh.orders", ("o_custkey",), "wh.customer", ("c_custkey",)),
+    ("wh.lineitem", ("l_orderkey",), "wh.orders", ("o_orderkey",)),
+    ("wh.lineitem", ("l_suppkey",), "wh.supplier", ("s_suppkey",)),
+    ("wh.customer", ("c_nationkey",), "wh.nation", ("n_nationkey",)),
+    ("wh.orders", ("o_orderkey",), "wh.part", ("p_partkey",)),
+    ("wh.lineitem", ("l_orderkey", "l_linenumber"), "alt.lineitem", ("l_orderkey", "l_linenumber")),
+    ("alt.lineitem", ("l_partkey", "l_linenumber"), "wh.customer", ("c_custkey", "c_custkey")),
+)
 
 
 def _star_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per order that joins one edge of the star."""
     pick = F.col("o_orderkey") % len(_STAR)
     sql = None
-    for i, (lt, lc, rt, rc) in enumerate(_STAR):
-        t = F.lit(f"select 1 from wh.{lt} x join wh.{rt} y on x.{lc} = y.{rc}")
+    for i, (left, lcs, right, rcs) in enumerate(_STAR):
+        on = " and ".join(f"x.{a} = y.{b}" for a, b in zip(lcs, rcs, strict=True))
+        t = F.lit(f"select 1 from {left} x join {right} y on {on}")
         sql = F.when(pick == i, t) if sql is None else sql.when(pick == i, t)
     return dealt(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey").select(
         F.concat(F.col("o_orderkey").cast("string"), F.lit(".sql")).alias("file"), sql.alias("sql")
     )
 
 
-_CORROBORATE_SQL = " UNION ALL ".join(
-    f"""
-SELECT '{min(f"wh.{lt}.{lc}", f"wh.{rt}.{rc}")}|{max(f"wh.{lt}.{lc}", f"wh.{rt}.{rc}")}' AS id,
-  (SELECT count({lc}) FROM {lt}) AS left_rows, (SELECT count({rc}) FROM {rt}) AS right_rows,
-  (SELECT count(*) FROM {lt} WHERE {lc} IN (SELECT {rc} FROM {rt})) AS left_matched,
-  (SELECT count(*) FROM {rt} WHERE {rc} IN (SELECT {lc} FROM {lt})) AS right_matched,
-  (SELECT max(n) FROM (SELECT count(*) AS n FROM {lt} GROUP BY {lc})) AS left_per_key,
-  (SELECT max(n) FROM (SELECT count(*) AS n FROM {rt} GROUP BY {rc})) AS right_per_key"""
-    for lt, lc, rt, rc in _STAR
-)
-
-
-@query(_CORROBORATE_SQL)
+def _corroborate_sql() -> str:
+    def source(full: str, columns: tuple[str, ...]) -> str:
+        where = " WHERE l_linenumber % 2 = 1" if full.startswith("alt.") else ""
+        listed = ", ".join(f"{c} AS k{i}" for i, c in enumerate(columns))
+        return f"(SELECT {listed} FROM {full.partition('.')[2]}{where})"
+
+    rows = []
+    for left, lcs, right, rcs in _STAR:
+        ends = sorted((f"{left}.{lcs[0]}", f"{right}.{rcs[0]}"))
+        keys_ = ", ".join(f"k{i}" for i in range(len(lcs)))
+        a, b = source(left, lcs), source(right, rcs)
+        rows.append(
+            f"""
+SELECT '{'|'.join(ends)}' AS id,
+  (SELECT count(*) FROM {a}) AS left_rows, (SELECT count(*) FROM {b}) AS right_rows,
+  (SELECT count(*) FROM {a} WHERE ({keys_}) IN (SELECT ({keys_}) FROM {b})) AS left_matched,
+  (SELECT count(*) FROM {b} WHERE ({keys_}) IN (SELECT ({keys_}) FROM {a})) AS right_matched,
+  (SELECT max(n) FROM (SELECT count(*) AS n FROM {a} GROUP BY {keys_})) AS left_per_key,
+  (SELECT max(n) FROM (SELECT count(*) AS n FROM {b} GROUP BY {keys_})) AS right_per_key"""
+        )
+    return f"""
+WITH m AS ({" UNION ALL ".join(rows)}),
+r AS (SELECT *, left_matched / left_rows AS left_rate, right_matched / right_rows AS right_rate FROM m)
+SELECT *, CASE WHEN left_per_key <= 1 AND right_per_key <= 1 THEN 'one_to_one'
+               WHEN left_per_key <= 1 OR right_per_key <= 1 THEN 'one_to_many' ELSE 'many_to_many' END AS cardinality,
+       CASE WHEN left_matched = 0 THEN 'refuted'
+            WHEN (right_per_key <= 1 AND left_rate >= 0.95) OR (left_per_key <= 1 AND right_rate >= 0.95) THEN 'confirmed'
+            ELSE 'weak' END AS verdict
+FROM r"""
+
+
+@query(_corroborate_sql())
 def corroborate_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single and composite edges, two schemas with one table name, integers against decimals."""
     found, _ = discovery.discover(_star_corpus(spark, sf_dir))
-    names = {t for lt, _, rt, _ in _STAR for t in (lt, rt)}
-    return keys.corroborate(found, {n: table(spark, sf_dir, n) for n in sorted(names)})
+    names = sorted({full for left, _, right, _ in _STAR for full in (left, right)})
+    frames = {full: table(spark, sf_dir, full.partition(".")[2]) for full in names}
+    half = frames["alt.lineitem"].where("l_linenumber % 2 = 1")
+    frames["alt.lineitem"] = half.withColumn("l_orderkey", F.col("l_orderkey").cast("decimal(12,2)"))
+    return keys.corroborate(found, frames)

@@ -144,3 +144,32 @@ def test_row_count_stamp_and_alias_order(spark):
     asked = spark.createDataFrame([("p", "b"), ("p", "z"), ("p", "q")], "project_id string, name string")
     got = {r.name: (r.table_name, r.by_alias) for r in quality.resolve_alias(asked, tables).collect()}
     assert got == {"b": ("b", False), "z": ("a", True), "q": (None, None)}
+
+
+def test_corroborate_whole_keys_schemas_and_types(spark):
+    end = "struct<schema:string,table:string,column:string>"
+    kind = f"id string, left {end}, right {end}, extra array<struct<left:{end},right:{end}>>"
+    at = lambda s, t, c: (s, t, c)
+    edges = spark.createDataFrame(
+        [
+            ("pair", at("s1", "a", "x"), at("s1", "b", "x"), [(at("s1", "b", "y"), at("s1", "A", "Y"))]),
+            ("other", at("s2", "a", "x"), at("s1", "b", "x"), []),
+            ("bare", at(None, "b", "x"), at("s1", "a", "x"), None),
+            ("unclear", at(None, "a", "x"), at("s1", "b", "x"), None),
+            ("gone", at("s1", "a", "no"), at("s1", "b", "x"), None),
+        ],
+        kind,
+    )
+    tables = {
+        "s1.a": spark.createDataFrame([(1, 2), (2, 1), (None, 1)], "x int, y int"),
+        "S1.b": spark.createDataFrame([(1, 1), (2, 2)], "x int, y int").selectExpr("cast(x as decimal(9,2)) x", "y"),
+        "s2.a": spark.createDataFrame([(1,), (1,), (7,)], "x long"),
+    }
+    got = {r.id: r for r in keys.corroborate(edges, tables).collect()}
+    assert set(got) == {"pair", "other", "bare"}
+    pair, other, bare = got["pair"], got["other"], got["bare"]
+    assert (pair.left_rows, pair.left_matched, pair.verdict) == (2, 0, "refuted")
+    assert (other.left_rows, other.left_matched, other.right_matched, other.cardinality, other.verdict) == (
+        3, 2, 1, "one_to_many", "weak",
+    )
+    assert (bare.left_rate, bare.right_rate, bare.cardinality, bare.verdict) == (1.0, 1.0, "one_to_one", "confirmed")
