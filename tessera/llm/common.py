@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tessera.sources.checkpoints import working_folder
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -55,6 +57,59 @@ def map_arrow(
     return df.mapInArrow(over, schema)
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a compressed table in the shared folder, read again: computed once, lost with no executor."""
+    path = working_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+#: Bits per key in a bitmap of keys, and most bits of one.
+BITS_PER_KEY, MOST_BITS = 16, 1 << 28
+#: Bits of one row of a bitmap.
+PART = 32_768
+
+
+def bitmap_bits(n: int) -> int:
+    """A power of two with room for ``n`` keys; 32 MB of bits at most."""
+    bits = PART
+    while bits < min(MOST_BITS, BITS_PER_KEY * n):
+        bits *= 2
+    return bits
+
+
+def place_in(bits: int, key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits))
+
+
+def bitmap(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """(part, map): the places of all keys set, in rows of ``PART`` bits."""
+    at = place_in(bits, F.col(key))
+    return keys.groupBy(F.floor(at / PART).alias("part")).agg(
+        F.bitmap_construct_agg(F.pmod(at, F.lit(PART))).alias("map")
+    )
+
+
+def without(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not among ``keys``, as an anti join gives them.
+
+    A broadcast bitmap, of bounded size, clears most rows where they are; only those that it cannot
+    clear are moved to be compared.
+    """
+    bits = bitmap_bits(keys.count())
+    at = place_in(bits, F.col(key))
+    maps = bitmap(keys, key, bits).select(F.col("part").alias("__part"), F.col("map").alias("__map"))
+    byte = F.substring(F.col("__map"), (F.pmod(at, F.lit(PART)) / 8).cast("int") + 1, F.lit(1))
+    filled = F.conv(F.hex(byte), 16, 10).cast("int")
+    shifted = F.call_function("shiftright", filled, F.pmod(at, F.lit(8)).cast("int"))
+    unset = shifted.bitwiseAND(F.lit(1)) == 0
+    met = docs.join(F.broadcast(maps), F.floor(at / PART) == F.col("__part"), "left")
+    clear = F.coalesce(unset, F.lit(True))
+    names = docs.columns
+    unsure = met.filter(~clear).select(*names).join(keys.select(key).distinct(), key, "left_anti")
+    return met.filter(clear).select(*names).unionByName(unsure.select(*names))
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch, '' for null."""
     return [t or "" for t in batch.column(name).to_pylist()]

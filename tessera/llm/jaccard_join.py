@@ -1,9 +1,10 @@
 """Jaccard join of word n-gram sets under several global token orders.
 
 Two sets that are alike enough share a token in their prefixes, whatever global order sorts them.
-The first order puts tokens that are rare in the corpus first, by counts in a table of fixed size;
-shared prefix tokens with room enough behind them make a pair a candidate.  Under two further orders,
-by two hashes, the prefixes must meet as well; only then are the sets compared.
+The first order puts tokens that are rare in the corpus first, by counts in a table of fixed size.
+Prefixes are longer by two tokens than one shared token would need, and three must be shared: chance
+meets in a single token go before any set is moved.  Under two further orders, by two hashes, the
+prefixes must meet as well; only then are the sets compared.
 
 Components, not pairs, are wanted, so links within what is linked already are never looked for: equal
 sets are one class; in every token's group all are first compared with one leader, and then only
@@ -22,14 +23,26 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, SLICE, UPPER, map_arrow, texts_of
+from tessera.llm.common import (
+    LOWER,
+    PART,
+    SLICE,
+    UPPER,
+    bitmap,
+    bitmap_bits,
+    map_arrow,
+    place_in,
+    texts_of,
+    written,
+)
 from tessera.llm.graph import components
 from tessera.sources.checkpoints import checkpointed
 
-#: Cells of the table of token counts, and cells moved together.
-CELLS, BLOCK = 1 << 18, 1 << 14
-#: Bits per candidate in the filter of texts to read again, and most bits.
-FILTER_BITS, MOST_BITS = 16, 1 << 28
+#: Cells of the table of token counts, and cells moved together.  More cells tell rare tokens from
+#: those of passages that many texts share; a task's counts stop at 255, which keeps blocks small.
+CELLS, BLOCK = 1 << 24, 1 << 18
+#: Tokens that prefixes under the first order must share, or all that are needed where that is fewer.
+SHARED = 3
 #: Salts of the further orders.
 ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -63,7 +76,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, data in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            more = np.frombuffer(zlib.decompress(data), np.int64)
+            raw = zlib.decompress(data)
+            more = np.frombuffer(raw, np.uint8 if len(raw) == BLOCK else np.int64).astype(np.int64)
             total[block] = total[block] + more if block in total else more
     blocks = sorted(total)
     packed = [zlib.compress(total[b].tobytes(), 1) for b in blocks]
@@ -75,7 +89,7 @@ def _scan(docs: DataFrame, words: int) -> DataFrame:
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "n", "sa", "sb", "block", "counts"]
-        table = np.zeros(CELLS, np.int64)
+        table = np.zeros(CELLS, np.uint32)
         for whole in batches:
             for start in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(start, SLICE)
@@ -95,8 +109,9 @@ def _scan(docs: DataFrame, words: int) -> DataFrame:
                     ],
                     names=names,
                 )
-        blocks = [b for b in range(CELLS // BLOCK) if table[b * BLOCK : (b + 1) * BLOCK].any()]
-        packed = [zlib.compress(table[b * BLOCK : (b + 1) * BLOCK].tobytes(), 1) for b in blocks]
+        small = np.minimum(table, 255).astype(np.uint8).reshape(-1, BLOCK)
+        blocks = np.flatnonzero(small.any(axis=1)).tolist()
+        packed = [zlib.compress(small[b].tobytes(), 1) for b in blocks]
         none = pa.nulls(len(blocks), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [none, none, none, none, pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], names=names
@@ -110,9 +125,11 @@ def _count_table(blocks: DataFrame) -> np.ndarray:
     kind = "block int, counts binary"
     parts = max(1, blocks.rdd.getNumPartitions() // 16)
     some = blocks.coalesce(parts).mapInArrow(_counts, kind)
-    table = np.zeros(CELLS, np.int64)
+    table = np.zeros(CELLS, np.uint16)
     for row in some.repartition("block").mapInArrow(_counts, kind).collect():
-        table[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+        table[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.minimum(
+            np.frombuffer(zlib.decompress(row["counts"]), np.int64), 2**16 - 1
+        )
     return table
 
 
@@ -129,7 +146,8 @@ def _prefixes(docs: DataFrame, words: int, percent: int, shared) -> DataFrame:
             tokens = shingles(text, words)
             if len(tokens) and key is not None:
                 count = table[(tokens % np.uint64(CELLS)).astype(np.int64)]
-                first = tokens[np.lexsort((tokens, count))[: _prefix_length(len(tokens), percent)]]
+                length = _prefix_length(len(tokens), percent) + SHARED - 1
+                first = tokens[np.lexsort((tokens, count))[:length]]
                 flat.append(first)
                 keys.append(key)
                 lengths.append(len(tokens))
@@ -154,19 +172,15 @@ def _sets(docs: DataFrame, words: int, bits: int, shared) -> DataFrame:
         sets = [shingles(t, words).tobytes() for t in texts_of(part)]
         return pa.RecordBatch.from_arrays([part.column("key"), pa.array(sets, pa.binary())], names=["key", "tokens"])
 
-    placed = docs.filter("key IS NOT NULL").withColumn("place", F.pmod(F.xxhash64("key"), F.lit(bits)))
+    placed = docs.filter("key IS NOT NULL").withColumn("place", place_in(bits, F.col("key")))
     return map_arrow(placed, "key long, tokens binary", over)
 
 
 def _filter_of(keys: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of ``bits`` bits with those of the keys set."""
-    at = F.pmod(F.xxhash64("key"), F.lit(bits))
-    maps = keys.groupBy(F.expr("0L").alias("zero"), F.floor(at / 32768).alias("part")).agg(
-        F.bitmap_construct_agg(F.pmod(at, F.lit(32768))).alias("map")
-    )
-    filled = np.zeros(max(bits, 32768) // 8, np.uint8)
-    for row in maps.collect():
-        filled[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(row["map"], np.uint8)
+    """The bitmap of the keys as one array of bytes, 32 MB at most."""
+    filled = np.zeros(bits // 8, np.uint8)
+    for row in bitmap(keys, "key", bits).collect():
+        filled[row["part"] * PART // 8 : (row["part"] + 1) * PART // 8] = np.frombuffer(row["map"], np.uint8)
     return filled
 
 
@@ -190,12 +204,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     """The pairs (a, b) whose sets are alike enough."""
     ends = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
     ends = checkpointed(ends)
-    bits = 32768
-    while bits < min(MOST_BITS, FILTER_BITS * ends.count()):
-        bits *= 2
+    bits = bitmap_bits(ends.count())
     shared = docs.sparkSession.sparkContext.broadcast(_filter_of(ends, bits))
-    sets = _sets(docs, words, bits, shared).join(ends, "key", "left_semi")
-    sets = checkpointed(sets)
+    # a text that the filter lets through by chance meets no pair
+    sets = checkpointed(_sets(docs, words, bits, shared))
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
         left, right = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
@@ -211,12 +223,29 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
 
 
 def _possible(n1: Column, p1: Column, n2: Column, p2: Column, percent: int) -> Column:
-    """Length filter, and room behind the shared token for as many common ones as are needed."""
+    """Length filter, and room behind the shared token for as many common ones as are needed.
+
+    It holds for the first common token of sets that are alike enough.
+    """
     length = F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
     room = F.least(n1 - p1, n2 - p2) * (100 + percent) >= (n1 + n2) * percent
     return length & room
 
 
+def _sharing(meets: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) out of ``meets`` (k1, n1, k2, n2) whose prefixes share enough tokens.
+
+    ``lists`` has (key, tokens), of each prefix the tokens that any other has too: few numbers a text.
+    """
+    needed = F.ceil((F.col("n1") + F.col("n2")) * percent / (100 + percent))
+    pairs = meets.select(
+        F.least("k1", "k2").alias("a"), F.greatest("k1", "k2").alias("b"), F.least(needed, F.lit(SHARED)).alias("least")
+    ).distinct()
+    of = lambda end: lists.select(F.col("key").alias(end), F.col("tokens").alias(f"of_{end}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    return both.filter(F.size(F.array_intersect("of_a", "of_b")) >= F.col("least")).select("a", "b")
+
+
 def join(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row of ``docs``: key, n_shingles and component_id.
 
@@ -238,9 +267,10 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text",
     prefixes = _prefixes(slim, words, percent, shared).join(
         classes.select(F.col("rep").alias("key")).distinct(), "key", "left_semi"
     )
-    tokens = checkpointed(prefixes.select("key", "n", F.posexplode("prefix").alias("pos", "token")))
+    tokens = written(prefixes, "jaccard-prefixes").select("key", "n", F.posexplode("prefix").alias("pos", "token"))
     several = tokens.groupBy("token").count().filter("count > 1").select("token")
     tokens = checkpointed(tokens.join(several, "token", "left_semi"))
+    lists = checkpointed(tokens.groupBy("key").agg(F.collect_list("token").alias("tokens")))
     leaders = checkpointed(
         tokens.groupBy("token")
         .agg(F.min(F.struct("pos", "key", "n")).alias("l"))
@@ -250,10 +280,10 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text",
         tokens.join(leaders, "token")
         .filter(F.col("key") != F.col("lead"))
         .filter(_possible(F.col("n"), F.col("pos"), F.col("ln"), F.col("lp"), percent))
-        .select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b"))
-        .distinct()
+        .select(F.col("key").alias("k1"), F.col("n").alias("n1"), F.col("lead").alias("k2"), F.col("ln").alias("n2"))
     )
-    edges = checkpointed(_verified(checkpointed(star), slim, words, percent))
+    star = checkpointed(_sharing(star, lists, percent))
+    edges = checkpointed(_verified(star, slim, words, percent))
     found = checkpointed(components(edges))
 
     # what may still link: members of one token's group that are in different components
@@ -264,10 +294,9 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text",
     split = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     lead = leaders.join(split.select("token"), "token", "left_semi").select("token", "lead")
     mains = lead.join(known.withColumnRenamed("key", "lead"), "lead", "left").select(
-        "token", "lead", F.coalesce("component", "lead").alias("main")
+        "token", F.coalesce("component", "lead").alias("main")
     )
-    open_rows = labelled.join(checkpointed(mains), "token").filter(F.col("key") != F.col("lead"))
-    open_rows = checkpointed(open_rows)
+    open_rows = checkpointed(labelled.join(checkpointed(mains), "token"))
     left = open_rows.filter("component <> main").select(
         "token", F.col("key").alias("k1"), F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("component").alias("c1")
     )
@@ -280,9 +309,9 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text",
             & ((F.col("component") == F.col("main")) | (F.col("k1") < F.col("key")))
             & _possible(F.col("n1"), F.col("p1"), F.col("n"), F.col("pos"), percent),
         )
-        .select(F.least("k1", "key").alias("a"), F.greatest("k1", "key").alias("b"))
-        .distinct()
+        .select("k1", "n1", F.col("key").alias("k2"), F.col("n").alias("n2"))
     )
+    rest = _sharing(rest, lists, percent).join(star, ["a", "b"], "left_anti")
     more = checkpointed(_verified(checkpointed(rest), slim, words, percent))
     if not more.isEmpty():
         found = checkpointed(components(more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))))
