@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import SLICE, map_arrow, texts_of
+from tessera.llm.common import SLICE, map_arrow, texts_of, written
 
 # Word lists of the grammar, in four languages: addressed persons, negations, reporting words, threats.
 TARGET = frozenset("you your youre u thou du dich dir euch ihr dein tu te toi vous ton ti vosotros usted vuestro".split())
@@ -38,6 +38,8 @@ THREAT = frozenset("kill hurt destroy beat punch stab shoot töte schlage tuer f
 INSULTS = dict.fromkeys("idiot moron stupid scum loser trash worthless pathetic disgusting clown imbecile".split(), 2.0)
 
 TOKEN = re.compile(r"\w+|[.!?;:,\n]")
+#: Entries of a worker's tables before they are given on or forgotten.
+HELD = 50_000
 END = frozenset(".!?;:,\n")
 STOP = frozenset(".!?\n")
 STEMS = range(4, 7)
@@ -117,7 +119,7 @@ class Scorer:
         if found is None:
             m = self.model
             found = m.insults.get(word, 0.0) or max((m.stems.get(word[:k], 0.0) for k in STEMS if len(word) > k), default=0.0)
-            if len(self.known) > 500_000:
+            if len(self.known) > HELD:
                 self.known.clear()
             self.known[word] = found
         return found
@@ -161,7 +163,10 @@ def _kin(text: str) -> str:
 
 
 def _tally(batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
-    """Per task (feature, kin) of toxic texts, or counts of the wanted features in clean ones."""
+    """(feature, kin) of toxic texts, or counts of the wanted features in clean ones, added up in part.
+
+    What a task holds is given on as soon as it has ``HELD`` entries.
+    """
     counts: Counter = Counter()
     for whole in batches:
         for start in range(0, whole.num_rows, SLICE):
@@ -173,8 +178,15 @@ def _tally(batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None) ->
                     counts.update((f, kin) for f in own)
                 else:
                     counts.update((f, "") for f in own & wanted)
+                if len(counts) >= HELD:
+                    yield _entries(counts)
+                    counts.clear()
+    yield _entries(counts)
+
+
+def _entries(counts: Counter) -> pa.RecordBatch:
     keys = list(counts)
-    yield pa.RecordBatch.from_arrays(
+    return pa.RecordBatch.from_arrays(
         [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
          pa.array([counts[k] for k in keys], pa.int64())],
         names=["feature", "kin", "n"],
@@ -196,6 +208,7 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", sample:
     share = min(1.0, sample / max(1, n))
     # equal texts are chosen together
     rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    rows = written(rows, "toxicity-sample")
     kind = "feature string, kin string, n long"
     toxic, clean = rows.filter("label = 1"), rows.filter("label = 0")
     n_toxic, n_clean = toxic.count(), clean.count()
