@@ -9,7 +9,7 @@ a heap, bytes are linked to their neighbours, so a token of n bytes costs n log
 from __future__ import annotations
 
 import base64
-import heapq
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +20,10 @@ from pyspark.sql.types import StructType
 
 from tessera.llm.common import map_arrow, texts_of
 
-#: Merged pre-tokens a worker remembers before it starts anew.
+#: Merged pre-tokens a worker remembers before it starts anew; each takes some 200 bytes.
 REMEMBERED = 200_000
+#: Bits of an id in a pair, and of a place in the heap.
+SHIFT, PLACES = 20, (1 << 40) - 1
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -89,41 +91,50 @@ class Tokenizer:
     def __init__(self, tokens: list[bytes], pattern: str, table: PerfectHash | None = None):
         self.tokens, self.table = tokens, table or PerfectHash(tokens)
         self.pattern = regex.compile(pattern)
-        self.rank = {t: i for i, t in enumerate(tokens)}
+        place = {t: i for i, t in enumerate(tokens)}
+        self.single = [place.get(bytes([b]), -1) for b in range(256)]
+        #: Rank, which is the merged token's id, by the ids of two neighbours.
+        self.pairs = {
+            place[t[:k]] << SHIFT | place[t[k:]]: i
+            for i, t in enumerate(tokens)
+            for k in range(1, len(t))
+            if t[:k] in place and t[k:] in place
+        }
         self.merged: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of a piece: always the pair of lowest rank first, the leftmost of equal ones."""
-        n, rank = len(piece), self.rank
-        parts: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
+        """Ids of a piece: always the pair of lowest rank first, the leftmost of equal ones.
+
+        The heap holds rank and place of pairs; ``rank`` tells which of them still stand.
+        """
+        ids = [self.single[b] for b in piece]
+        n, get = len(ids), self.pairs.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            r = rank.get(piece[i : i + 2])
-            if r is not None:
-                heap.append((r, i, 2))
-        heapq.heapify(heap)
+        rank = [get(a << SHIFT | b, -1) for a, b in zip(ids, ids[1:], strict=False)]
+        rank.append(-1)
+        heap = [r << 40 | i for i, r in enumerate(rank) if r >= 0]
+        heapify(heap)
         while heap:
-            _, i, length = heapq.heappop(heap)
-            left = parts[i]
-            j = after[i]
-            if left is None or j >= n or len(left) + len(parts[j]) != length:
+            top = heappop(heap)
+            r, i = top >> 40, top & PLACES
+            if rank[i] != r:
                 continue  # one of the two has been merged since
-            parts[i], parts[j] = left + parts[j], None
+            j = after[i]
             k = after[i] = after[j]
+            ids[i], ids[j], rank[j] = r, -1, -1
+            q = -1
             if k < n:
                 before[k] = i
-                both = parts[i] + parts[k]
-                r = rank.get(both)
-                if r is not None:
-                    heapq.heappush(heap, (r, i, len(both)))
+                q = get(r << SHIFT | ids[k], -1)
+                if q >= 0:
+                    heappush(heap, q << 40 | i)
+            rank[i] = q
             p = before[i]
             if p >= 0:
-                both = parts[p] + parts[i]
-                r = rank.get(both)
-                if r is not None:
-                    heapq.heappush(heap, (r, p, len(both)))
-        return [rank[p] for p in parts if p is not None]
+                q = rank[p] = get(ids[p] << SHIFT | r, -1)
+                if q >= 0:
+                    heappush(heap, q << 40 | p)
+        return [x for x in ids if x >= 0]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
