@@ -39,6 +39,11 @@ MARKS = frozenset(
     "recommendations newsletter subscribe subscription popup modal overlay pagination pager toolbar masthead "
     "widget widgets skip login signup paywall".split()
 )
+#: Beginnings of such words that are written together with others.
+MARK_STARTS = (
+    "advert", "adbox", "adslot", "adunit", "sponsor", "cookie", "sidebar", "sidenav", "breadcrumb", "navbar",
+    "newsletter", "footer", "sitefooter", "siteheader", "pagefooter", "pageheader", "commentlist", "noticebar",
+)
 COMMENT = frozenset("comment comments disqus reply replies respond".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WORDS = re.compile(r"[a-z0-9]+")
@@ -91,7 +96,8 @@ class _Lines(HTMLParser):
         words = set(WORDS.findall(given.get("class", "") + " " + given.get("id", "")))
         if tag in ("article", "main"):
             return not words.isdisjoint(COMMENT)
-        return not words.isdisjoint(MARKS) or ("header" in words and not inside)
+        marked = not words.isdisjoint(MARKS) or any(w.startswith(MARK_STARTS) for w in words)
+        return marked or ("header" in words and not inside)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "body":  # a head that nobody closed ends here
