@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, exact_dedup, jaccard_join, queries, source_mix, toxicity
+from tessera.llm.common import without
 from tessera.plans.registry import table
-from tessera.sources.checkpoints import working_folder
+from tessera.sources.checkpoints import checkpointed, working_folder
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +25,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by the Jaccard join, over five words and from 0.8 on, the one of the smallest id."""
-    joined = jaccard_join.join(docs).filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(joined, "doc_id", "left_anti").select(*docs.columns)
+    joined = jaccard_join.join(docs).filter("component_id <> doc_id").select("doc_id")
+    return without(docs, checkpointed(joined), "doc_id")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
