@@ -34,7 +34,7 @@ WITH o AS (
   SELECT DISTINCT o_custkey % 20 AS a, o_orderkey % 20 AS b, CASE WHEN o_orderkey % 3 <> 0 THEN 'stg' ELSE '' END AS s,
          o_orderkey % 6 AS shape, CASE WHEN o_orderkey % 17 = 0 THEN 'node_modules' ELSE 'kept' END AS folder
   FROM orders),
-j AS (SELECT DISTINCT a, b, s FROM o WHERE folder = 'kept' AND shape <> 5),
+j AS (SELECT DISTINCT a, b, s FROM o WHERE folder = 'kept'),
 edges AS (
   SELECT s || '.dim_' || b || '.id|' || s || '.fact_' || a || '.dim_' || b || '_id' AS id,
          s || '.fact_' || a AS fact, s || '.dim_' || b AS dim FROM j)"""
