@@ -3,7 +3,8 @@
 The standard library's parser is fed once; its events become lines, one per block, each with its
 text, its tags, its link text and the containers around it.  The text-to-tag ratio per line is
 smoothed with a Gaussian, and two-means on its logarithm gives the threshold between content and
-the rest.  The content region is the deepest container that holds most of the content's text.  Lines
+the rest.  The content region is the deepest container that holds most of the content's text, widened
+to the article or main element around it; outside it all that the threshold calls content stays.  Lines
 of menus, headers, footers, sidebars, notices, adverts, forms and reader comments are known by their
 element, role, class or id and never count.
 """
@@ -72,6 +73,7 @@ class _Lines(HTMLParser):
         self.stack: list[tuple[str, int, bool, bool]] = []
         self.lines: list[Line] = []
         self.count, self.links, self.current = 0, 0, None
+        self.articles: set[int] = set()
 
     def _break(self) -> None:
         self.current = None
@@ -116,6 +118,8 @@ class _Lines(HTMLParser):
         self.count += 1
         silent = above[2] or self._silences(tag, attrs, above[3])
         self.stack.append((tag, self.count, silent, inside))
+        if tag in ("article", "main"):
+            self.articles.add(self.count)
         if tag == "a":
             self.links += 1
         if silent != above[2]:
@@ -167,11 +171,12 @@ class _Lines(HTMLParser):
             line.link += len(data.strip())
 
 
-def lines_of(html: str) -> list[Line]:
+def lines_of(html: str) -> tuple[list[Line], set[int]]:
+    """The lines that have text, and the ids of article and main elements."""
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    return [line for line in parser.lines if line.text]
+    return [line for line in parser.lines if line.text], parser.articles
 
 
 def smoothed(ratios: list[float]) -> list[float]:
@@ -206,9 +211,28 @@ def threshold(values: list[float]) -> float:
     return math.expm1((a + b) / 2)
 
 
+def _around(region: int, articles: set[int], open_lines: list[Line], core: list[Line], held: dict[int, int]) -> list[Line]:
+    """Lines of the region, widened to the article or main around it, and all content outside it.
+
+    Of a container beside the region everything stays where at least half of its text is content,
+    else its lines of content.
+    """
+    path = next(x.around for x in core if region in x.around)
+    path = path[: path.index(region) + 1]
+    region = next((c for c in path if c in articles), region)
+    within = set(path)
+    size: dict[int, int] = {}
+    for x in open_lines:
+        for c in x.around:
+            size[c] = size.get(c, 0) + len(x.text)
+    kept = {c for c, n in held.items() if c not in within and 2 * n >= size[c]}
+    content = set(map(id, core))
+    return [x for x in open_lines if region in x.around or id(x) in content or not kept.isdisjoint(x.around)]
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page; '' for null, blank pages and pages of boilerplate only."""
-    lines = lines_of(html) if html else []
+    lines, articles = lines_of(html) if html else ([], set())
     open_lines = [line for line in lines if not line.silent]
     if not open_lines:
         return ""
@@ -224,7 +248,7 @@ def main_text(html: str | None) -> str:
             held[c] = held.get(c, 0) + len(x.text)
     total = sum(len(x.text) for x in core)
     region = max((c for c, n in held.items() if 10 * n >= 6 * total), default=None)
-    chosen = [x for x in open_lines if region is None or region in x.around]
+    chosen = open_lines if region is None else _around(region, articles, open_lines, core, held)
     # within the region only blocks that are mostly links, such as lists of further pages, go
     text = " ".join(x.text for x in chosen if 2 * x.link <= len(x.text) or x.heading)
     return text or " ".join(x.text for x in chosen)

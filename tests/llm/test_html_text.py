@@ -67,3 +67,32 @@ def test_columns_and_empty_table(spark):
     assert out.columns == ["page_id", "html", "text", "n_chars"]
     assert sorted((r.text, r.n_chars) for r in out.collect()) == [("", 0), ("x", 1)]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+LIST = "".join(f"<li>Entry {i} of a list that is much longer than all the rest of this article</li>" for i in range(12))
+LIST_TEXT = " ".join(f"Entry {i} of a list that is much longer than all the rest of this article" for i in range(12))
+
+
+def test_content_around_the_inner_container_stays():
+    for tag in ("ul", "blockquote", "section", "div"):
+        inner = f"<{tag}>{LIST}</{tag}>"
+        for outer in ("article", "main"):
+            got = html_text.main_text(page(f"<{outer}><p>How it begins.</p>{inner}<p>How it ends.</p></{outer}>"))
+            assert got == f"How it begins. {LIST_TEXT} How it ends.", (tag, outer)
+        got = html_text.main_text(page(f"<div>{ARTICLE}{inner}{SECOND}</div>"))
+        assert got == WANT.replace(" A second", f" {LIST_TEXT} A second"), tag
+    table = "<table>" + LIST.replace("<li>", "<tr><td>").replace("</li>", "</td></tr>") + "</table>"
+    assert html_text.main_text(page(f"<article>{ARTICLE}{table}{SECOND}</article>")) == (
+        WANT.replace(" A second", f" {LIST_TEXT} A second")
+    )
+    header = f"<nav><a href='a'>One</a></nav><article><header><h1>Head</h1></header><div class='body'>{ARTICLE}{SECOND}</div></article>"
+    assert html_text.main_text(page(header)) == f"Head {WANT}"
+    sections = f"<main><section><h2>A</h2>{ARTICLE * 4}</section><section><h2>B</h2>{SECOND}</section></main>"
+    got = html_text.main_text(page(sections))
+    assert got.startswith("A The first") and got.endswith(f"B {WANT[WANT.index('A second'):]}")
+
+
+def test_two_blocks_of_content():
+    menu = "<div>" + "".join(f"<div><a href='{i}'>Entry {i}</a></div>" for i in range(12)) + "</div>"
+    got = html_text.main_text(page(f"{menu}<div>{ARTICLE * 4}</div><div>{SECOND * 2}</div>{menu}"))
+    assert got.count("The first paragraph") == 4 and got.count("A second one") == 2 and "Entry" not in got
