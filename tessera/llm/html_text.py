@@ -6,7 +6,8 @@ smoothed with a Gaussian, and two-means on its logarithm gives the threshold bet
 the rest.  The content region is the deepest container that holds most of the content's text, widened
 to the article or main element around it; outside it all that the threshold calls content stays.  Lines
 of menus, headers, footers, sidebars, notices, adverts, forms and reader comments are known by their
-element, role, class or id and never count.
+element, role, class or id and do not count.  A name or a form only silences what is a part of the
+page: not what holds its article or most of its text, and never all that there is.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is never content.
 SILENT = frozenset(
-    "head script style noscript template svg math canvas iframe object audio video nav footer aside form "
+    "head script style noscript template svg math canvas iframe object audio video nav footer aside "
     "button select textarea dialog menu".split()
 )
-ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
+ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar".split())
 #: Words of a class or id that name what is not content.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie "
@@ -53,27 +54,34 @@ RADIUS, WIDTH = 3, 1.5
 
 
 class Line:
-    __slots__ = ("parts", "tags", "link", "around", "silent", "heading")
+    __slots__ = ("parts", "tags", "link", "around", "silent", "named", "heading")
 
-    def __init__(self, around: tuple[int, ...], silent: bool, heading: bool):
+    def __init__(self, around: tuple[int, ...], silent: bool, named: tuple[int, ...], heading: bool):
         self.parts: list[str] = []
         self.tags, self.link = 0, 0
-        self.around, self.silent, self.heading = around, silent, heading
+        self.around, self.silent, self.named, self.heading = around, silent, named, heading
 
     @property
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
+#: What stands above an outermost element.
+NOTHING = ("", 0, False, False, False)
+
+
 class _Lines(HTMLParser):
-    """Collects lines; ``stack`` holds (tag, id, silent, inside an article) of open elements."""
+    """Collects lines; ``stack`` holds (tag, id, silent, inside an article, named) of open elements;
+    named are forms and elements with a name of boilerplate."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool, bool]] = []
+        self.stack: list[tuple[str, int, bool, bool, bool]] = []
         self.lines: list[Line] = []
         self.count, self.links, self.current = 0, 0, None
         self.articles: set[int] = set()
+        self.mains: set[int] = set()
+        self.comments: set[int] = set()
 
     def _break(self) -> None:
         self.current = None
@@ -81,25 +89,30 @@ class _Lines(HTMLParser):
     def _line(self) -> Line:
         if self.current is None:
             silent = bool(self.stack) and self.stack[-1][2]
+            named = tuple(s[1] for s in self.stack if s[4])
             heading = any(s[0] in HEADINGS for s in self.stack[-3:])
             around = tuple(s[1] for s in self.stack if s[0] not in INLINE and s[0] != "p")
-            self.current = Line(around, silent, heading)
+            self.current = Line(around, silent, named, heading)
             self.lines.append(self.current)
         return self.current
 
-    def _silences(self, tag: str, attrs: list, inside: bool) -> bool:
+    def _silences(self, tag: str, given: dict[str, str], inside: bool) -> bool:
         if tag in SILENT or (tag == "header" and not inside):
             return True
-        given = {k: (v or "").lower() for k, v in attrs}
-        if given.get("role") in ROLES or "hidden" in given or "display:none" in given.get("style", "").replace(" ", ""):
-            return True
+        return given.get("role") in ROLES or "hidden" in given or "display:none" in given.get("style", "").replace(" ", "")
+
+    def _named(self, tag: str, given: dict[str, str], inside: bool) -> bool:
+        """Whether it is a form or has a name of boilerplate; notes reader comments."""
         if tag in ("html", "body"):
             return False
         words = set(WORDS.findall(given.get("class", "") + " " + given.get("id", "")))
+        comment = not words.isdisjoint(COMMENT)
+        if comment:
+            self.comments.add(self.count)
         if tag in ("article", "main"):
-            return not words.isdisjoint(COMMENT)
+            return comment
         marked = not words.isdisjoint(MARKS) or any(w.startswith(MARK_STARTS) for w in words)
-        return marked or ("header" in words and not inside)
+        return marked or tag == "form" or given.get("role") == "form" or ("header" in words and not inside)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "body":  # a head that nobody closed ends here
@@ -113,16 +126,20 @@ class _Lines(HTMLParser):
             self.current.tags += 1
         if tag in VOID:
             return
-        above = self.stack[-1] if self.stack else ("", 0, False, False)
+        above = self.stack[-1] if self.stack else NOTHING
         inside = above[3] or tag in ("article", "main")
         self.count += 1
-        silent = above[2] or self._silences(tag, attrs, above[3])
-        self.stack.append((tag, self.count, silent, inside))
+        given = {k: (v or "").lower() for k, v in attrs}
+        silent = above[2] or self._silences(tag, given, above[3])
+        named = not silent and self._named(tag, given, above[3])
         if tag in ("article", "main"):
             self.articles.add(self.count)
+            if tag == "main":
+                self.mains.add(self.count)
+        self.stack.append((tag, self.count, silent, inside, named))
         if tag == "a":
             self.links += 1
-        if silent != above[2]:
+        if named or silent != above[2]:
             self._break()
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -147,9 +164,9 @@ class _Lines(HTMLParser):
     def _close(self, tag: str) -> None:
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == tag:
-                was = self.stack[-1][2]
+                was, named = self.stack[-1][2], any(s[4] for s in self.stack[k:])
                 self._drop(k)
-                if was != (bool(self.stack) and self.stack[-1][2]):
+                if named or was != (bool(self.stack) and self.stack[-1][2]):
                     self._break()
                 return
             if tag in INLINE and self.stack[k][0] not in INLINE:
@@ -176,7 +193,63 @@ def lines_of(html: str) -> tuple[list[Line], set[int]]:
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    return [line for line in parser.lines if line.text], parser.articles
+    lines = [line for line in parser.lines if line.text]
+    _silence(lines, parser.articles - parser.comments, parser.mains - parser.comments, parser.comments)
+    return lines, parser.articles
+
+
+def _silence(lines: list[Line], articles: set[int], mains: set[int], comments: set[int]) -> None:
+    """Silences the lines in named containers and forms, outer ones first.
+
+    One is opened instead if it holds the main element, an article and no open one has more non-link
+    text, or, where no article with such text is open, more than half of the page's (of reader
+    comments four fifths).  Reader comments are never opened beside an open article.
+    """
+    heard = [(x, max(0, len(x.text) - x.link)) for x in lines if not x.silent]
+    size: dict[int, int] = {}
+    own: dict[int, int] = {}  # of these, in articles within
+    holds_main: set[int] = set()
+    for x, n in heard:
+        if not x.named:
+            continue
+        first = min(articles.intersection(x.around), default=0)
+        first_main = min(mains.intersection(x.around), default=0)
+        for c in x.named:
+            size[c] = size.get(c, 0) + n
+            if c < first:
+                own[c] = own.get(c, 0) + n
+            if c < first_main:
+                holds_main.add(c)
+    total = sum(n for _, n in heard)
+    opened: set[int] = set()
+    free: dict[int, int] = {}  # text of articles that nothing silences
+    closed = heard
+    while True:
+        still, outer = [], set()
+        for x, n in closed:
+            c = next((c for c in x.named if c not in opened), 0)
+            if c:
+                still.append((x, n))
+                outer.add(c)
+            else:
+                for a in articles.intersection(x.around):
+                    free[a] = free.get(a, 0) + n
+        closed = still
+        most = max(free.values(), default=0)
+        more = set()
+        for c in outer:
+            if c in comments:
+                opens = not most and (5 * size[c] > 4 * total or own.get(c, 0) > 0)
+            else:
+                opens = own[c] >= most if own.get(c, 0) else not most and 2 * size[c] > total
+            if opens or c in holds_main:
+                more.add(c)
+        if not more:
+            break
+        opened |= more
+    if len(closed) < len(heard):  # else there is nothing but these
+        for x, _ in closed:
+            x.silent = True
 
 
 def smoothed(ratios: list[float]) -> list[float]:
@@ -231,7 +304,7 @@ def _around(region: int, articles: set[int], open_lines: list[Line], core: list[
 
 
 def main_text(html: str | None) -> str:
-    """The main text of a page; '' for null, blank pages and pages of boilerplate only."""
+    """The main text of a page; '' for null, blank pages and pages of silent elements only."""
     lines, articles = lines_of(html) if html else ([], set())
     open_lines = [line for line in lines if not line.silent]
     if not open_lines:

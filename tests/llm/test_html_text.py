@@ -96,3 +96,22 @@ def test_two_blocks_of_content():
     menu = "<div>" + "".join(f"<div><a href='{i}'>Entry {i}</a></div>" for i in range(12)) + "</div>"
     got = html_text.main_text(page(f"{menu}<div>{ARTICLE * 4}</div><div>{SECOND * 2}</div>{menu}"))
     assert got.count("The first paragraph") == 4 and got.count("A second one") == 2 and "Entry" not in got
+
+
+def test_names_and_forms_around_the_content():
+    aside = "<div class='sidebar'><p>Side text of some length here</p></div><form><label>Name</label></form>"
+    for outer in ("div class='layout has-sidebar'", "div id='page' class='with-navbar'", "form id='aspnetForm'", "div role='form'"):
+        tag = outer.split()[0]
+        for inner in ("article", "main", "div"):
+            body = f"<{outer}>{aside}<{inner}>{ARTICLE}{SECOND}</{inner}></{tag}>"
+            assert html_text.main_text(page(body)) == WANT, (outer, inner)
+    nested = f"<form><div class='with-navbar'><div class='has-sidebar'>{aside}<article>{ARTICLE}{SECOND}</article></div></div></form>"
+    assert html_text.main_text(page(nested)) == WANT
+    cards = "<div class='related'>" + "<article><p>Another story that is told on a page of its own</p></article>" * 2 + "</div>"
+    assert html_text.main_text(page(f"<div class='has-sidebar'><article>{ARTICLE}{SECOND}</article>{cards}</div>")) == WANT
+
+
+def test_names_do_not_silence_all():
+    assert html_text.main_text("<div class='notice'>All that is here</div>") == "All that is here"
+    ads = "".join(f"<div class='ad'>{word} here</div>" for word in ("one", "two", "six"))
+    assert html_text.main_text(ads) == "one here two here six here"
