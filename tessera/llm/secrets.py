@@ -1,7 +1,7 @@
 """Secret scan: fixed forms, and tokens that a battery of randomness tests tells from text.
 
 All of it is in-row work on built-in expressions.  Fixed forms are patterns whose spans follow from
-the lengths of what lies between the matches.  Other tokens get an encoding by their characters;
+the lengths of what lies between the matches.  Other tokens, and the two sides of NAME=value, get an encoding by their characters;
 uniformity of the alphabet (chi-squared), runs about the middle of the alphabet and serial
 correlation are tested against a uniform source, and the token's likelihood under the corpus's own
 characters gives a p-value for "text".  Per encoding and length class the Benjamini-Hochberg rule,
@@ -28,7 +28,13 @@ HEX = r"[0-9a-f]{24,}"
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "random")
 
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+#: At least 20 characters with their padding; '=' between a name and a value ends the name, and is no part of it.
+_LONG = "[A-Za-z0-9+/_-]"
+_PADDING = "=++(?![A-Za-z0-9+/_=-])"
+TOKEN = (
+    rf"(?<!{_LONG})(?=[A-Za-z0-9+/_=-]{{20}}){_LONG}{{14,}}+"
+    rf"(?:(?<={_LONG}{{20}})(?:{_PADDING})?+|{_PADDING})"
+)
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"
 #: Alphabets in the order in which they are tried; a token takes the first that holds all of it.
 ENCODINGS = {
@@ -94,7 +100,7 @@ def _chi2_ln_p(x: Column, df: int) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Array of (start, rank, end, token, encoding, body) of all long tokens; body is without padding."""
+    """Array of (start, end, body, encoding) of all long tokens; body is without padding."""
     found, gaps = F.regexp_extract_all(text, F.lit(TOKEN), 0), F.split(text, TOKEN, -1)
     kind = "array<struct<start:int,end:int,token:string>>"
     nothing = F.array().cast(kind)

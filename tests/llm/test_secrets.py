@@ -73,3 +73,44 @@ def test_columns_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "x", 2)], "doc_id long, text string, hex int")
     assert secrets.scan(docs).columns == ["doc_id", "text", "assign", "access", "hex", "random"]
     assert secrets.scan(docs.limit(0)).count() == 0
+
+
+def test_values_behind_names(spark):
+    rng = random.Random(6)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    words = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or"]
+    long_words = ["".join(rng.choice(words) for _ in range(rng.randrange(10, 20))) for _ in range(2000)]
+    forms = ["AWS_SECRET_ACCESS_KEY={}", "PRIVATE_KEY={}==", "auth={}", "https://a.example/p?v=1&sig={}&w=2", "Sig=={} {}"]
+    keys = ["".join(rng.choice(b64) for _ in range(40)) for _ in range(50)]
+    made_of = [(forms[i % len(forms)], k) for i, k in enumerate(keys)]
+    got = made(spark, [*long_words, *[f.replace("{}", k) for f, k in made_of]])
+    assert sum(len(got[i].random) for i in range(len(long_words))) == 0
+    hits = 0
+    for i, (form, k) in enumerate(made_of):
+        text = form.replace("{}", k)
+        pad = 2 if form.endswith("==") else 0
+        want = [(m.start(), m.end() + pad) for m in re.finditer(re.escape(k), text)]
+        hits += [(s.start, s.end) for s in got[len(long_words) + i].random] == want
+    assert hits >= 46
+
+
+def test_tokens_and_padding(spark):
+    from pyspark.sql import functions as F
+
+    a = "abcdefghij0123456789"
+    want = {
+        a: [(0, 20, a)],
+        a + "=": [(0, 21, a)],
+        a + "======": [(0, 26, a)],
+        f"{a}={a}": [(0, 20, a), (21, 41, a)],
+        f"{a}=={a}==": [(0, 20, a), (22, 44, a)],
+        a[2:] + "==": [(0, 20, a[2:])],
+        a[6:] + "======": [(0, 20, a[6:])],
+        a[1:] + "=x": [],
+        f"k={a}&l=": [(2, 22, a)],
+        "=" * 40: [],
+        "": [],
+    }
+    texts = spark.createDataFrame([(t,) for t in want], "text string")
+    rows = texts.select("text", secrets.tokens(F.col("text")).alias("t")).collect()
+    assert {r.text: [(t.start, t.end, t.body) for t in r.t] for r in rows} == want
