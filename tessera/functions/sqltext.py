@@ -76,7 +76,7 @@ _TABLE = (
     + _WORD
     + r"(?:\.{1,2}"
     + _WORD
-    + r"){0,4})(?!\s*\ue000)(?:\s+(?:as\s+)?((?!(?:on|using|with|where|tablesample|pivot|unpivot"
+    + r")*+)(?!\s*\ue000)(?:\s+(?:as\s+)?((?!(?:on|using|with|where|tablesample|pivot|unpivot"
     r"|cross|outer|inner|left|right|full|natural|lateral|for|option|set|join|as|apply"
     r"|match_recognize|order|group|limit|union)\b)"
     + _WORD
@@ -87,7 +87,7 @@ _COLUMN = (
     + _WORD
     + r"(?:\."
     + _WORD
-    + r"){0,3}"
+    + r")*+"
 )
 _EQUALITY = (
     r"(?i)(?:^|\b(?:and|or|not|when|then|else)\b|[\ue000\ue005])\s*("

@@ -175,3 +175,15 @@ def test_edge_store(spark, tmp_path):
     corpus.write_edge_store(discovery.edges_by_table(edges), str(tmp_path / "store"))
     (row,) = corpus.read_edges_of(spark, str(tmp_path / "store"), "S", "B").collect()
     assert row.id == "s.a.i|s.b.i"
+
+
+def test_names_of_many_parts(spark):
+    deep = "p." * 2000
+    texts = {
+        "select 1 from p.d.s.a join p.d.s.b on p.d.s.a.i = p.d.s.b.j": ["s.a.i=s.b.j"],
+        "select 1 from p.d.a x join p.d.b y on x.k.l.m.i = y.j": [".m.i=d.b.j"],
+        "select 1 from u.v.w.x.s.a join u.v.w.x.y.s.b z on a.i = z.j": ["s.a.i=s.b.j"],
+        f"select 1 from {deep}s.a x join {deep}s.b on x.i = {deep}s.b.j": ["s.a.i=s.b.j"],
+    }
+    found = joins_of(spark, list(texts))
+    assert {t: found[t][0][1] if found[t] else None for t in texts} == texts
