@@ -12,6 +12,7 @@ from tessera.llm import (
     html_text,
     jaccard_join,
     languages,
+    packing,
     quality,
     secrets,
     source_mix,
@@ -169,3 +170,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.listed("assign", "access", "hex"), 256).alias("base_sha256"),
         secrets.listed(*secrets.KINDS).alias("spans"),
     )
+
+
+#: The vocabulary of the packing query.
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query(None)
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), WORDS, most=2048, end=0)
+    digest = F.crc32("token_ids").alias("ids_crc32")
+    return packed.select("doc_id", "piece", "start", "length", digest, "sequence_id", "offset")
