@@ -11,7 +11,9 @@ whatever the size of the input.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SLICE, texts_of, written
+from tessera.llm.common import SLICE, written
 from tessera.sources.checkpoints import checkpointed
 
 #: Bins open at a time, and tasks whose open bins are packed again together.
@@ -28,7 +30,8 @@ OPEN_BINS, TOGETHER = 256, 16
 REMEMBERED = 250_000
 
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+#: Letters that normalisation only lower-cases, and ASCII marks behind them.
+_PLAIN = re.compile("([a-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -42,9 +45,9 @@ class WordTokenizer:
     """Ids of texts under a vocabulary file of the tokenizers library that drops white space.
 
     No token reaches over white space, so a text's ids are those of its chunks between ASCII blanks in
-    turn; chunks are remembered.  A chunk of plain lower-case letters goes to the model at once, since
-    neither normalisation nor the split changes it; all others go through the whole tokenizer.  Strings
-    of special tokens are ordinary text.
+    turn; chunks are remembered.  A chunk of plain letters goes to the model at once, since the split
+    leaves it whole, and marks behind it are a run of their own; all others go through the whole tokenizer.
+    Strings of special tokens are ordinary text.
     """
 
     def __init__(self, vocabulary: str):
@@ -58,16 +61,14 @@ class WordTokenizer:
         self.old: dict[bytes, bytes] = {}
 
     def _fresh(self, chunk: bytes) -> bytes:
-        core = chunk.rstrip(b".,;:!?")
-        if core and len(core) < len(chunk) and core[-1:].isalnum():
-            # ASCII punctuation behind a letter or digit is a token run of its own
-            return self.chunk_ids(core) + self.chunk_ids(chunk[len(core) :])
         word = chunk.decode()
-        if _PLAIN.fullmatch(word):
-            ids = [t.id for t in self.model.tokenize(chunk.decode("latin1").translate(self.letters))]
-        else:
-            ids = self.whole.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        plain = _PLAIN.fullmatch(word)
+        if not plain:
+            return array("I", self.whole.encode(word, add_special_tokens=False).ids).tobytes()
+        if plain[2]:
+            return self.chunk_ids(plain[1].encode()) + self.chunk_ids(plain[2].encode())
+        shown = word.lower().encode().decode("latin1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def chunk_ids(self, chunk: bytes) -> bytes:
         ids = self.young.get(chunk)
@@ -81,11 +82,23 @@ class WordTokenizer:
                 self.young[chunk] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        get, slow = self.young.get, self.chunk_ids
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, null as '', one behind the other, and where each text's begin and end."""
         # A-Z may be lower-cased at once: the tokenizer does it, and no composition is lost by it
-        return b"".join([get(c) or slow(c) for c in text.encode().translate(_UPPER).split()])
+        split = [(t or "").encode().translate(_UPPER).split() for t in texts.to_pylist()]
+        chunks = pa.array(chain.from_iterable(split), pa.binary()).dictionary_encode()
+        get, slow = self.young.get, self.chunk_ids
+        found = [get(c) or slow(c) for c in chunks.dictionary.to_pylist()]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, starts, which = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes, chunks.indices.to_numpy()
+        lengths = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        flat = ids[np.repeat(starts[which] - ends[:-1], lengths) + np.arange(ends[-1])]
+        return flat, ends[np.cumsum([0, *map(len, split)])]
+
+    def encode(self, text: str) -> bytes:
+        """The ids of one text as little-endian unsigned 32-bit integers."""
+        return self.encode_batch(pa.array([text], pa.string()))[0].tobytes()
 
 
 class OpenBins:
@@ -168,8 +181,9 @@ def _packing(shared, most: int, end: int, count: int):
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch, done, pieces = whole.slice(at, SLICE), [], []
-                for key, text in zip(batch.column("key").to_pylist(), texts_of(batch), strict=True):
-                    ids = tokenizer.encode(text) + last
+                flat, bounds = tokenizer.encode_batch(batch.column("text"))
+                for k, key in enumerate(batch.column("key").to_pylist()):
+                    ids = flat[bounds[k] : bounds[k + 1]].tobytes() + last
                     for piece, start in enumerate(range(0, len(ids) // 4, most)):
                         part = ids[4 * start : 4 * (start + most)]
                         pieces.append((key, piece, start, len(part) // 4, part))

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -32,6 +33,9 @@ def test_ids_are_those_of_the_library(library):
     texts += ["".join(rng.choice(letters) for _ in range(rng.randrange(120))) for _ in range(3000)]
     for text in texts:
         assert numbers(own.encode(text)) == library.encode(text, add_special_tokens=False).ids, repr(text)
+    flat, bounds = own.encode_batch(pa.array([None, *texts, ""]).slice(1))
+    for k, text in enumerate(texts):
+        assert flat[bounds[k] : bounds[k + 1]].tolist() == numbers(own.encode(text))
 
 
 def test_every_letter(library):
