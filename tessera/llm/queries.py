@@ -16,6 +16,7 @@ from tessera.llm import (
     quality,
     secrets,
     source_mix,
+    spelling,
     toxicity,
     warc,
 )
@@ -181,3 +182,8 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), WORDS, most=2048, end=0)
     digest = F.crc32("token_ids").alias("ids_crc32")
     return packed.select("doc_id", "piece", "start", "length", digest, "sequence_id", "offset")
+
+
+@query(None)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.words(table(spark, sf_dir, "documents"), noise=31))
