@@ -13,6 +13,7 @@ from tessera.llm import (
     jaccard_join,
     languages,
     packing,
+    prefix_trie,
     quality,
     secrets,
     source_mix,
@@ -187,3 +188,9 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(None)
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.words(table(spark, sf_dir, "documents"), noise=31))
+
+
+@query(None)
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = prefix_trie.turns_of(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(listed))
