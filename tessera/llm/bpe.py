@@ -9,6 +9,7 @@ a heap, bytes are linked to their neighbours, so a token of n bytes costs n log
 from __future__ import annotations
 
 import base64
+from array import array
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -18,12 +19,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import map_arrow, texts_of
+from tessera.llm.common import map_arrow, texts_of, worker_state
 
-#: Merged pre-tokens a worker remembers before it starts anew; each takes some 200 bytes.
-REMEMBERED = 200_000
-#: Bits of an id in a pair, and of a place in the heap.
-SHIFT, PLACES = 20, (1 << 40) - 1
+#: Pre-tokens whose ids a worker remembers, in each of two generations; each takes some 200 bytes.
+REMEMBERED = 150_000
+#: Bits of an id in a pair, and of a place in the heap: of short pieces, whose numbers stay small, and others.
+SHIFT, SHORT, PLACES = 20, 12, 40
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -100,23 +101,33 @@ class Tokenizer:
             for k in range(1, len(t))
             if t[:k] in place and t[k:] in place
         }
-        self.merged: dict[str, bytes] = {}
+        #: The same by two bytes.
+        self.first = [-1] * (1 << 16)
+        for a, x in enumerate(self.single):
+            for b, y in enumerate(self.single):
+                if x >= 0 and y >= 0:
+                    self.first[a << 8 | b] = self.pairs.get(x << SHIFT | y, -1)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a piece: always the pair of lowest rank first, the leftmost of equal ones.
 
         The heap holds rank and place of pairs; ``rank`` tells which of them still stand.
         """
-        ids = [self.single[b] for b in piece]
+        single, first = self.single, self.first
+        ids = [single[b] for b in piece]
         n, get = len(ids), self.pairs.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank = [get(a << SHIFT | b, -1) for a, b in zip(ids, ids[1:], strict=False)]
+        rank = [first[a << 8 | b] for a, b in zip(piece, piece[1:], strict=False)]
         rank.append(-1)
-        heap = [r << 40 | i for i, r in enumerate(rank) if r >= 0]
+        bits = SHORT if n <= 1 << SHORT else PLACES
+        places = (1 << bits) - 1
+        heap = [r << bits | i for i, r in enumerate(rank) if r >= 0]
         heapify(heap)
         while heap:
             top = heappop(heap)
-            r, i = top >> 40, top & PLACES
+            r, i = top >> bits, top & places
             if rank[i] != r:
                 continue  # one of the two has been merged since
             j = after[i]
@@ -127,47 +138,47 @@ class Tokenizer:
                 before[k] = i
                 q = get(r << SHIFT | ids[k], -1)
                 if q >= 0:
-                    heappush(heap, q << 40 | i)
+                    heappush(heap, q << bits | i)
             rank[i] = q
             p = before[i]
             if p >= 0:
                 q = rank[p] = get(ids[p] << SHIFT | r, -1)
                 if q >= 0:
-                    heappush(heap, q << 40 | p)
+                    heappush(heap, q << bits | p)
         return [x for x in ids if x >= 0]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [self.pattern.findall(t) for t in texts]
-        pieces = list(set().union(*split))
-        raw = [p.encode() for p in pieces]
-        found: dict[str, bytes] = {}
-        for piece, data, i in zip(pieces, raw, self.table.candidates(raw), strict=True):
-            if self.tokens[i] == data:
-                found[piece] = i.to_bytes(4, "little")
-            else:
-                ids = self.merged.get(piece)
+        young, old, found, missing = self.young, self.old, {}, []
+        for piece in set().union(*split):
+            ids = young.get(piece)
+            if ids is None:
+                ids = old.get(piece)
                 if ids is None:
-                    if len(self.merged) >= REMEMBERED:
-                        self.merged.clear()
-                    ids = np.array(self.merge(data), "<u4").tobytes()
-                    self.merged[piece] = ids
-                found[piece] = ids
+                    missing.append(piece)
+                    continue
+                young[piece] = ids
+            found[piece] = ids
+        raw = [p.encode() for p in missing]
+        for piece, data, i in zip(missing, raw, self.table.candidates(raw), strict=True):
+            ids = (i,) if self.tokens[i] == data else self.merge(data)
+            found[piece] = young[piece] = array("I", ids).tobytes()
+        if len(young) >= REMEMBERED:
+            self.young, self.old = {}, young
         return [b"".join(map(found.__getitem__, own)) for own in split]
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return _bytes_of(self.tokens, ids)
 
 
-_tokenizers: dict[str, Tokenizer] = {}
+def _bytes_of(tokens: list[bytes], ids: bytes) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def _shared_tokenizer(key: str, shared) -> Tokenizer:
-    """One tokenizer per worker and vocabulary; its memory of merged pre-tokens lasts over tasks."""
-    if key not in _tokenizers:
-        _tokenizers.clear()
-        _tokenizers[key] = Tokenizer(*shared.value)
-    return _tokenizers[key]
+    """One tokenizer per worker and vocabulary; its memory of pre-tokens lasts over tasks."""
+    return worker_state(key, lambda: Tokenizer(*shared.value))
 
 
 def _shared(df: DataFrame, path: str, pattern: str):
@@ -183,35 +194,38 @@ def _with(rows: DataFrame, **types: str) -> StructType:
     return schema
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
     """All rows and columns of ``docs`` with token_ids and n_tokens.
 
     ``path`` is a rank file on the driver.  token_ids holds the ids as little-endian unsigned 32-bit
-    integers.  Null counts as '' and has no tokens.  Columns of these two names are replaced.
+    integers.  Null counts as '' and has no tokens.  With ``decoded``, a column of that name has the bytes
+    that the ids stand for, in the same pass.  Columns of these names are replaced.
     """
-    rows = docs.drop("token_ids", "n_tokens")
+    rows = docs.drop("token_ids", "n_tokens", *["decoded"] * decoded)
     shared, name = _shared(rows, path, pattern)
     columns = rows.columns
+    made = {"token_ids": "binary", "n_tokens": "long"} | ({"decoded": "binary"} if decoded else {})
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = _shared_tokenizer(name, shared).encode_batch(texts_of(batch, text))
-        counts = pa.array([len(i) // 4 for i in ids], pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(ids, pa.binary()), counts], names=[*columns, "token_ids", "n_tokens"]
-        )
+        tokenizer = _shared_tokenizer(name, shared)
+        ids = tokenizer.encode_batch(texts_of(batch, text))
+        new = [pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())]
+        if decoded:
+            new.append(pa.array(list(map(tokenizer.decode, ids)), pa.binary()))
+        return pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*columns, *made])
 
-    return map_arrow(rows, _with(rows, token_ids="binary", n_tokens="long"), over)
+    return map_arrow(rows, _with(rows, **made), over)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "token_ids") -> DataFrame:
     """All rows and columns with ``decoded``, the bytes that the ids stand for; null ids count as none."""
     rows = encoded.drop("decoded")
-    shared, name = _shared(rows, path, pattern)
+    shared, _ = _shared(rows, path, pattern)
     columns = rows.columns
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tokenizer = _shared_tokenizer(name, shared)
-        data = pa.array([tokenizer.decode(i or b"") for i in batch.column(ids).to_pylist()], pa.binary())
+        tokens = shared.value[0]
+        data = pa.array([_bytes_of(tokens, i or b"") for i in batch.column(ids).to_pylist()], pa.binary())
         return pa.RecordBatch.from_arrays([*batch.columns, data], names=[*columns, "decoded"])
 
     return map_arrow(rows, _with(rows, decoded="binary"), over)

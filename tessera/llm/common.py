@@ -113,3 +113,16 @@ def without(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch, '' for null."""
     return [t or "" for t in batch.column(name).to_pylist()]
+
+
+_kept: dict[object, object] = {}
+
+
+def worker_state(name: object, make: Callable[[], object]) -> object:
+    """What a Python worker keeps between tasks: of one operator only, so that workers which many operators
+    use in turn hold no more than one of them needs."""
+    if name not in _kept:
+        _kept.clear()
+        pa.default_memory_pool().release_unused()
+        _kept[name] = make()
+    return _kept[name]

@@ -77,24 +77,35 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block, data in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
             raw = zlib.decompress(data)
-            more = np.frombuffer(raw, np.uint8 if len(raw) == BLOCK else np.int64).astype(np.int64)
-            total[block] = total[block] + more if block in total else more
+            more = np.frombuffer(raw, np.uint8 if len(raw) == BLOCK else np.uint32)
+            if block not in total:
+                total[block] = np.zeros(BLOCK, np.uint32)
+            own = total[block]
+            # four billion is the most that is told apart
+            own += np.minimum(more, np.uint32(2**32 - 1) - own)
     blocks = sorted(total)
     packed = [zlib.compress(total[b].tobytes(), 1) for b in blocks]
     yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], names=["block", "counts"])
 
 
+def _level(counts: np.ndarray) -> np.ndarray:
+    """Counts in 16 bits: themselves up to 32,767, from there on 2,048 steps for each power of two."""
+    steps = np.floor(np.log2(np.maximum(counts, 1 << 15)) * 2048) - 15 * 2048 + (1 << 15)
+    return np.where(counts < 1 << 15, counts, steps).astype(np.uint16)
+
+
 def _scan(docs: DataFrame, words: int) -> DataFrame:
     """One row per document (key, n, set identity) and, per task, the blocks of its token counts."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "n", "sa", "sb", "block", "counts"]
-        table = np.zeros(CELLS, np.uint32)
+        table = np.zeros(CELLS, np.uint8)
         for whole in batches:
             for start in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(start, SLICE)
                 sets = [shingles(t, words) for t in texts_of(batch)]
-                np.add.at(table, (np.concatenate(sets) % np.uint64(CELLS)).astype(np.int64), 1)
+                at, more = np.unique((np.concatenate(sets) % np.uint64(CELLS)).astype(np.uint32), return_counts=True)
+                table[at] = np.minimum(table[at] + np.minimum(more, 255), 255)
                 digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
                 halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 none = pa.nulls(len(sets))
@@ -109,7 +120,7 @@ def _scan(docs: DataFrame, words: int) -> DataFrame:
                     ],
                     names=names,
                 )
-        small = np.minimum(table, 255).astype(np.uint8).reshape(-1, BLOCK)
+        small = table.reshape(-1, BLOCK)
         blocks = np.flatnonzero(small.any(axis=1)).tolist()
         packed = [zlib.compress(small[b].tobytes(), 1) for b in blocks]
         none = pa.nulls(len(blocks), pa.int64())
@@ -127,9 +138,8 @@ def _count_table(blocks: DataFrame) -> np.ndarray:
     some = blocks.coalesce(parts).mapInArrow(_counts, kind)
     table = np.zeros(CELLS, np.uint16)
     for row in some.repartition("block").mapInArrow(_counts, kind).collect():
-        table[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.minimum(
-            np.frombuffer(zlib.decompress(row["counts"]), np.int64), 2**16 - 1
-        )
+        counts = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
+        table[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = _level(counts)
     return table
 
 

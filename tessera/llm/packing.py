@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SLICE, written
+from tessera.llm.common import SLICE, worker_state, written
 from tessera.sources.checkpoints import checkpointed
 
 #: Bins open at a time, and tasks whose open bins are packed again together.
@@ -137,31 +137,6 @@ class OpenBins:
 
 
 _SCHEMA = "key long, piece int, start long, length long, token_ids binary, bin long, offset long, open boolean"
-_workers: dict[int, WordTokenizer] = {}
-
-
-def _tokenizer(shared) -> WordTokenizer:
-    """One per worker; another vocabulary takes its place."""
-    if shared.id not in _workers:
-        _workers.clear()
-        _workers[shared.id] = WordTokenizer(shared.value)
-    return _workers[shared.id]
-
-
-class _Shared:
-    """A broadcast text with a name to know it by."""
-
-    def __init__(self, sent):
-        self.sent, self.id = sent, sent._jbroadcast.id()
-
-    def __getstate__(self):
-        return {"sent": self.sent, "id": self.id}
-
-    @property
-    def value(self):
-        return self.sent.value
-
-
 def _rows(rows: list[tuple], is_open: bool) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
     columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
@@ -170,12 +145,13 @@ def _rows(rows: list[tuple], is_open: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*columns, flags], names=names)
 
 
-def _packing(shared, most: int, end: int, count: int):
+def _packing(shared, path: str, most: int, end: int, count: int):
     """The function of one task: documents to pieces, pieces to bins."""
     last = np.array([end], "<u4").tobytes()
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, bins = _tokenizer(shared), OpenBins(most, count)
+        tokenizer = worker_state(path, lambda: WordTokenizer(shared.value))
+        bins = OpenBins(most, count)
         base = TaskContext.get().partitionId() << 32
         held: dict[int, list[tuple]] = {}
         for whole in batches:
@@ -256,9 +232,9 @@ def pack(
     """
     spark = docs.sparkSession
     with open(path, encoding="utf-8") as vocabulary:
-        shared = _Shared(spark.sparkContext.broadcast(vocabulary.read()))
+        shared = spark.sparkContext.broadcast(vocabulary.read())
     slim = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    packed = written(slim.mapInArrow(_packing(shared, most, end, bins), _SCHEMA), "packed")
+    packed = written(slim.mapInArrow(_packing(shared, path, most, end, bins), _SCHEMA), "packed")
     loose = packed.filter("open")
     level = loose.groupBy("bin").agg(F.sum("length").alias("used")).select(
         F.shiftright("bin", 32).alias("part"),

@@ -101,9 +101,21 @@ MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED = [3, 1, 2], 1.5, 2, "mix"
 
 def mix_sql(documents: str = "documents") -> str:
     """Common table expressions up to ``mixed`` (doc_id, size, source, source_size, target, copies)."""
+    rounds = "".join(
+        f"""
+fit{r} AS (SELECT source, place, gap, sum(size) OVER (PARTITION BY source ORDER BY place) AS upto FROM open{r - 1}
+           WHERE NOT more AND gap > 0 AND size > 0 AND size <= gap),
+stop{r} AS (SELECT source, min(place) FILTER (upto > gap) AS stop FROM fit{r} GROUP BY source),
+new{r} AS (SELECT o.*, NOT o.more AND o.gap > 0 AND o.size <= o.gap AND s.source_met AND (s.stop IS NULL OR o.place < s.stop) AS new
+           FROM open{r - 1} o LEFT JOIN (SELECT *, true AS source_met FROM stop{r}) s ON o.source IS NOT DISTINCT FROM s.source),
+open{r} AS (SELECT doc_id, size, place, source, source_size, target, whole, more OR coalesce(new, false) AS more,
+                   gap - sum(CASE WHEN new THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap FROM new{r}),"""
+        for r in range(1, source_mix.ROUNDS + 1)
+    )
+    done = f"open{source_mix.ROUNDS}"
     return rf"""
-sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                 md5('{MIX_SEED}:' || coalesce(doc_id::VARCHAR, '')) AS place FROM {documents}),
+counted AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM {documents}),
+sized AS (SELECT *, md5('{MIX_SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || size) AS place FROM counted),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighed AS (SELECT *, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS weight,
                    source_size * {MIX_EPOCHS} AS cap FROM sources),
@@ -115,21 +127,14 @@ targets AS (SELECT *, least(cap::DOUBLE, coalesce(max(CASE WHEN level * weight <
                                                   cap::DOUBLE)) AS target FROM levels),
 parts AS (SELECT source, source_size, target,
                  CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM targets),
-placed AS (SELECT s.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS extra,
-                  sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place) AS upto
-           FROM sized s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source),
-stops AS (SELECT source, min(place) AS stop FROM placed WHERE upto > extra GROUP BY source),
-more AS (SELECT p.*, p.extra > 0 AND (st.stop IS NULL OR p.place < st.stop) AS more
-         FROM placed p LEFT JOIN stops st ON p.source IS NOT DISTINCT FROM st.source),
-gaps AS (SELECT source, max(extra) - coalesce(sum(size) FILTER (more), 0) AS gap FROM more GROUP BY source),
-ends AS (SELECT m.source, m.place, abs(sum(m.size) - max(g.gap)) AS off
-         FROM more m JOIN gaps g ON m.source IS NOT DISTINCT FROM g.source
-         WHERE NOT m.more AND abs(m.size - g.gap) < g.gap GROUP BY m.source, m.place
-         HAVING abs(sum(m.size) - max(g.gap)) < max(g.gap)),
+open0 AS (SELECT s.*, p.source_size, p.target, p.whole, false AS more, p.target - p.whole * p.source_size AS gap
+          FROM sized s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source),{rounds}
+ends AS (SELECT source, place, abs(sum(size) - max(gap)) AS off FROM {done}
+         WHERE NOT more AND abs(size - gap) < gap GROUP BY source, place HAVING abs(sum(size) - max(gap)) < max(gap)),
 closing AS (SELECT source, arg_min(place, (off, place)) AS place FROM ends GROUP BY source),
 mixed AS (SELECT m.doc_id, m.size, m.source, m.source_size, m.target,
                  m.whole + (m.more OR coalesce(m.place = c.place, false))::BIGINT AS copies
-          FROM more m LEFT JOIN closing c ON m.source IS NOT DISTINCT FROM c.source)"""
+          FROM {done} m LEFT JOIN closing c ON m.source IS NOT DISTINCT FROM c.source)"""
 
 
 @query(
@@ -152,9 +157,8 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 @query(None)
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).drop("text")
-    decoded = bpe.decode(encoded, RANKS, public_tokenizers.PATTERN)
-    return decoded.select(
+    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         "doc_id",
         "n_tokens",
         F.sha2("token_ids", 256).alias("ids_sha256"),

@@ -5,10 +5,11 @@ clamped and the excess goes to the others by weight until none is above.  With s
 cap / weight this has a closed form: behind the clamped ones, what is left over the weight that is
 left is the water level.
 
-Sampling: a source is repeated whole as often as its target allows; of the rest, documents are taken
-once more in a seeded order up to the target, and one document whose size is nearest to what is then
-still open closes the gap.  The place where a source's order is cut is found by two histograms of 4,096
-cells over the order's hash, so no source is sorted as a whole.
+Sampling: a source is repeated whole as often as its target allows.  Of the rest, documents are taken
+once more in rounds: a round goes through those that are no larger than what is still open, in a seeded
+order, up to the first that does not fit.  A very long document thus ends a round, not the source.  At last
+the one document whose size is nearest to what is still open closes the gap.  The place where a round stops
+is found by two histograms of 4,096 cells over the order's hash, so no source is sorted as a whole.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from tessera.sources.checkpoints import checkpointed
 
 #: Sources of at most this number go to every task; more are joined by key.
 BROADCAST_SOURCES = 20_000
+#: Rounds at most; each leaves less open than the size of the document that stopped it.
+ROUNDS = 5
 
 
 def word_count(text: Column) -> Column:
@@ -61,9 +64,10 @@ def _near(sources: DataFrame, n_sources: int) -> DataFrame:
     return F.broadcast(sources) if n_sources <= BROADCAST_SOURCES else sources
 
 
-def place_of(seed: str, key: Column) -> Column:
-    """Where a key stands in the seeded order, as text; null counts as ''."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
+def place_of(seed: str, key: Column, size: Column) -> Column:
+    """Where a key's document stands in the seeded order, as text; a null key counts as ''."""
+    named = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), size.cast("string"))
+    return F.md5(named.cast("binary"))
 
 
 def plan(
@@ -76,57 +80,42 @@ def plan(
     key: str = "doc_id",
     source: str = "source",
 ) -> tuple[DataFrame, DataFrame]:
-    """What to take: per source its size, target, whole repetitions, where the order stops and the
-    place that closes the gap; and the documents it was made of, as (key, source, size, place).
+    """What to take: per source its size, target, whole repetitions, the rounds (what was open, and the
+    place where the order stopped) and the place that closes the gap; and the documents it was made of, as
+    (key, source, size, place).
 
     Size is the number of words, 0 for null or blank texts.  Null is a source like any other.  Rows
-    that repeat a key stand at one place of the order and are taken alike.
+    that repeat a key with the same size stand at one place of the order and are taken alike.
     """
     slim = docs.select(
-        F.col(key).alias("key"),
-        F.col(source).cast("string").alias("source"),
-        word_count(text_of(text)).alias("size"),
-        place_of(seed, F.col(key)).alias("place"),
+        F.col(key).alias("key"), F.col(source).cast("string").alias("source"), word_count(text_of(text)).alias("size")
     )
-    slim = checkpointed(slim)  # texts are read once; all that follows needs four narrow columns
+    # texts are read once; all that follows needs four narrow columns
+    slim = checkpointed(slim.withColumn("place", place_of(seed, F.col("key"), F.col("size"))))
     sources = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = water_fill(sources, weights, share, epochs)
     ratio = F.col("target") / F.col("source_size")
     whole = F.when(F.col("source_size") > 0, F.floor(ratio)).otherwise(F.lit(0)).cast("long")
-    targets = targets.withColumn("whole", whole).withColumn(
-        "extra", F.col("target") - F.col("whole") * F.col("source_size")
-    )
-    targets = checkpointed(targets.withColumnRenamed("source", "t"))
-    n_sources = targets.count()
-    near = _near(targets, n_sources)
+    targets = targets.withColumn("whole", whole).withColumn("gap", F.col("target") - F.col("whole") * F.col("source_size"))
+    none = F.array().cast("array<struct<gap: double, stop: string>>")
+    state = checkpointed(targets.withColumnRenamed("source", "t").withColumn("rounds", none))
+    n_sources = state.count()
     of = F.col("source").eqNullSafe(F.col("t"))
-
-    # the cell of 4,096, and in it the cell of 4,096, in which the running size passes what is wanted
-    cells = slim.groupBy("source", F.substring("place", 1, 3).alias("cell")).agg(F.sum("size").alias("n"))
-    first = checkpointed(_cut(cells.withColumn("below", F.lit(0)), near, of))
-    in_first = F.col("source").eqNullSafe(F.col("t")) & (F.substring("place", 1, 3) == F.col("cut"))
-    inner = slim.join(_near(first, n_sources), in_first)
-    fine = inner.groupBy("source", F.col("upto").alias("below"), F.substring("place", 1, 6).alias("cell"))
-    second = checkpointed(_cut(fine.agg(F.sum("size").alias("n")), near, of))
-    in_second = F.col("source").eqNullSafe(F.col("t")) & (F.substring("place", 1, 6) == F.col("cut"))
-    last = slim.join(_near(second, n_sources), in_second)
-    last = last.groupBy("source", F.col("upto").alias("below"), F.col("place").alias("cell")).agg(F.sum("size").alias("n"))
-    # the first place whose documents no longer fit: all places before it are taken once more
-    stop = _cut(last, near, of).select(F.col("t").alias("s"), F.col("cut").alias("stop"))
-    stops = checkpointed(targets.join(stop, F.col("t").eqNullSafe(F.col("s")), "left").drop("s"))
-
-    # what the order leaves open, and the document nearest to it
-    placed = slim.join(_near(stops, n_sources), of).withColumn("more", _in_order())
-    taken = placed.filter("more").groupBy("source").agg(F.sum("size").alias("got"))
-    gap = F.col("extra") - F.coalesce("got", F.lit(0))
-    gaps = checkpointed(
-        stops.join(taken, F.col("t").eqNullSafe(F.col("source")), "left").select(F.col("t").alias("g"), gap.alias("gap"))
-    )
+    for _ in range(ROUNDS):
+        fits = (F.col("gap") > 0) & (F.col("size") <= F.col("gap")) & (F.col("size") > 0)
+        open_ = slim.join(_near(state, n_sources), of).filter(fits & ~_taken(F.col("size"), F.col("place"), F.col("rounds")))
+        stops = _stops(open_.select("source", "size", "place", "gap"), n_sources)
+        went = state.join(stops, F.col("t").eqNullSafe(F.col("s")), "left")
+        one = F.struct(F.col("gap"), F.col("stop"))
+        went = went.withColumn("rounds", F.when(F.col("got").isNotNull(), F.concat("rounds", F.array(one))).otherwise(F.col("rounds")))
+        went = checkpointed(went.withColumn("gap", F.col("gap") - F.coalesce("got", F.lit(0))).drop("s", "stop"))
+        state = went.drop("got")
+        if went.filter("got > 0").isEmpty():
+            break
     off = F.abs(F.col("size") - F.col("gap"))
     closing = (
-        placed.filter("not more")
-        .join(_near(gaps, n_sources), F.col("source").eqNullSafe(F.col("g")))
-        .filter(off < F.col("gap"))
+        slim.join(_near(state, n_sources), of)
+        .filter((off < F.col("gap")) & ~_taken(F.col("size"), F.col("place"), F.col("rounds")))
         .groupBy("source", "place")
         .agg(F.sum("size").alias("size"), F.max("gap").alias("gap"))
         .filter(off < F.col("gap"))
@@ -134,29 +123,48 @@ def plan(
         .agg(F.min(F.struct(off.alias("off"), "place")).alias("best"))
         .select(F.col("source").alias("c"), F.col("best.place").alias("closing"))
     )
-    full = stops.join(closing, F.col("t").eqNullSafe(F.col("c")), "left").drop("c")
+    full = state.join(closing, F.col("t").eqNullSafe(F.col("c")), "left").drop("c")
     return checkpointed(full), slim
 
 
-def _in_order() -> Column:
-    return (F.col("extra") > 0) & (F.col("stop").isNull() | (F.col("place") < F.col("stop")))
+def _taken(size: Column, place: Column, rounds: Column) -> Column:
+    """Whether any round took a document."""
+    return F.exists(rounds, lambda r: (size <= r["gap"]) & (r["stop"].isNull() | (place < r["stop"])))
+
+
+def _stops(rows: DataFrame, n_sources: int) -> DataFrame:
+    """(s, stop, got) of a round over ``rows`` (source, size, place, gap): the first place whose documents
+    no longer fit, null where all fit, and the size of those before it."""
+    here = ["source", "gap"]
+    cells = checkpointed(rows.groupBy(*here, F.substring("place", 1, 3).alias("cell")).agg(F.sum("size").alias("n")))
+    first = checkpointed(_cut(cells.withColumn("below", F.lit(0))))
+    # the cell of 4,096, and in it the cell of 4,096, in which the running size passes what is open
+    inner = rows.join(_near(first, n_sources), F.col("source").eqNullSafe(F.col("t")) & (F.substring("place", 1, 3) == F.col("cut")))
+    fine = inner.groupBy(*here, F.col("upto").alias("below"), F.substring("place", 1, 6).alias("cell"))
+    second = checkpointed(_cut(fine.agg(F.sum("size").alias("n"))))
+    last = rows.join(_near(second, n_sources), F.col("source").eqNullSafe(F.col("t")) & (F.substring("place", 1, 6) == F.col("cut")))
+    last = last.groupBy(*here, F.col("upto").alias("below"), F.col("place").alias("cell")).agg(F.sum("size").alias("n"))
+    cut = _cut(last).select("t", "cut", "upto")
+    sums = cells.groupBy(F.col("source").alias("s")).agg(F.sum("n").alias("all"))
+    met = sums.join(cut, F.col("s").eqNullSafe(F.col("t")), "left")
+    return met.select("s", F.col("cut").alias("stop"), F.when(F.col("cut").isNull(), F.col("all")).otherwise(F.col("upto")).alias("got"))
 
 
-def copies(rows: DataFrame, planned: DataFrame, source: str = "source", place: Column | None = None) -> DataFrame:
+def copies(rows: DataFrame, planned: DataFrame, place: Column, size: Column, source: str = "source") -> DataFrame:
     """Rows with source_size, target and copies, the repetitions that the plan takes of each.
 
-    Rows of sources that the plan does not know are not taken.  Columns of these names are replaced.
+    ``place`` and ``size`` are those that the plan was made of.  Rows of sources that the plan does not know
+    are not taken.  Columns of these names are replaced.
     """
     rows = rows.drop("source_size", "target", "copies")
     names = rows.columns
     plan_ = planned.select(F.struct("*").alias("__plan"))
-    here = rows.withColumn("__place", F.col("place") if place is None else place)
+    here = rows.withColumns({"__place": place, "__size": size})
     near = F.broadcast(plan_) if planned.count() <= BROADCAST_SOURCES else plan_
     met = here.join(near, F.col(source).cast("string").eqNullSafe(F.col("__plan.t")), "left")
     p = lambda name: F.col(f"__plan.{name}")
-    ordered = (p("extra") > 0) & (p("stop").isNull() | (F.col("__place") < p("stop")))
-    closes = F.coalesce(F.col("__place") == p("closing"), F.lit(False))
-    taken = p("whole") + F.coalesce(ordered | closes, F.lit(False)).cast("long")
+    once = _taken(F.col("__size"), F.col("__place"), p("rounds")) | F.coalesce(F.col("__place") == p("closing"), F.lit(False))
+    taken = p("whole") + F.coalesce(once, F.lit(False)).cast("long")
     return met.select(
         *names,
         p("source_size").alias("source_size"),
@@ -172,14 +180,13 @@ def mix(docs: DataFrame, weights: list[int], share: float = 1.5, epochs: int = 2
     and source; see ``plan``.
     """
     planned, slim = plan(docs, weights, share, epochs, seed, **names)
-    return copies(slim, planned)
+    return copies(slim, planned, F.col("place"), F.col("size"))
 
 
-def _cut(cells: DataFrame, targets: DataFrame, on: Column) -> DataFrame:
-    """Per source (t) the first cell (cut) in which the running size passes the words wanted beyond
-    whole repetitions, and the running size up to it; ``below`` is what lies before all cells."""
+def _cut(cells: DataFrame) -> DataFrame:
+    """Per source (t) the first cell (cut) in which the running size passes ``gap``, and the running size
+    up to it; ``below`` is what lies before all cells."""
     before = W.partitionBy("source").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
     rows = cells.withColumn("upto", F.coalesce(F.sum("n").over(before), F.lit(0)) + F.col("below"))
-    rows = rows.join(targets, on)
-    passing = (F.col("upto") <= F.col("extra")) & (F.col("upto") + F.col("n") > F.col("extra"))
-    return rows.filter(passing).select("t", F.col("cell").alias("cut"), "upto")
+    passing = (F.col("upto") <= F.col("gap")) & (F.col("upto") + F.col("n") > F.col("gap"))
+    return rows.filter(passing).select(F.col("source").alias("t"), F.col("cell").alias("cut"), "upto")

@@ -89,3 +89,10 @@ def test_empty_table_and_other_columns(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", 3)], "doc_id long, text string, component_id int")
     assert [tuple(r) for r in jaccard_join.join(docs).collect()] == [(1, 2, 1)]
     assert jaccard_join.join(docs.limit(0)).count() == 0
+
+
+def test_levels_of_counts_keep_their_order():
+    counts = np.unique(np.concatenate([np.arange(70_000), 2 ** np.arange(17, 32), [2**32 - 1]])).astype(np.uint32)
+    levels = jaccard_join._level(counts).astype(int)
+    assert (np.diff(levels) >= 0).all() and levels[-1] < 2**16
+    assert (levels[:32_768] == np.arange(32_768)).all() and levels[-1] > jaccard_join._level(np.array([2**20]))[0]

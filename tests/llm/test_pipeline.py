@@ -2,6 +2,7 @@
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tessera.llm import bpe, exact_dedup, jaccard_join, queries, toxicity
@@ -66,3 +67,15 @@ def test_null_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_DIR)
     assert {r.doc_id for r in docs.collect()} <= {None, 1, 2, 3}
+
+
+def test_columns_named_like_those_of_operators(spark):
+    """Extra columns of the input keep their values through every filtering stage."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    own = {"score": "s", "keep_id": "mine", "kept": "k", "target": "t", "copies": "c", "component_id": "x", "clauses": "z"}
+    for name, value in own.items():
+        docs = docs.withColumn(name, F.concat(F.lit(value), "doc_id"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF_DIR)
+        for r in docs.collect():
+            assert {n: r[n] for n in own} == {n: f"{v}{r.doc_id}" for n, v in own.items()}

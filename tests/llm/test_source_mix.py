@@ -1,8 +1,10 @@
-"""Mixing against plain water-filling and its own promises; the SQL comparison runs in tests/test_queries.py."""
+"""Mixing against plain water-filling and its own promises; also against the SQL."""
 
 import pytest
 
-from tessera.llm import source_mix
+from tessera.llm import queries, source_mix
+from tessera.plans import registry
+from tests.compare import connect, difference
 
 WEIGHTS = [3, 1, 2]
 
@@ -73,6 +75,29 @@ def test_copies_on_other_rows(spark):
     docs = spark.createDataFrame([(1, "x y", "a", 5)], "doc_id long, text string, source string, copies int")
     planned, _ = source_mix.plan(docs, WEIGHTS)
     other = docs.union(docs.selectExpr("2L", "'z'", "'unknown'", "1"))
-    place = source_mix.place_of("mix", other["doc_id"])
-    got = {r.doc_id: r.copies for r in source_mix.copies(other, planned, place=place).collect()}
+    size = source_mix.word_count(other["text"])
+    place = source_mix.place_of("mix", other["doc_id"], size)
+    got = {r.doc_id: r.copies for r in source_mix.copies(other, planned, place, size).collect()}
     assert got == {1: got[1], 2: 0} and got[1] in (1, 2)
+
+
+@pytest.mark.parametrize("seed", ["mix", "a", "b", "c"])
+def test_a_very_long_document_does_not_end_its_source(spark, seed):
+    rows = [(k, "w " * 100, "a") for k in range(500)] + [(500, "w " * 150_000, "a")]
+    rows += [(1000 + k, "w " * n, "b") for k, n in enumerate([9000, 5000, 700, 90, 8, 3, 1] * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = source_mix.mix(docs, [1, 1], share=0.09, epochs=2, seed=seed).collect()
+    for source in "ab":
+        own = [r for r in out if r.source == source]
+        taken = sum(r.size * r.copies for r in own)
+        assert abs(taken - own[0].target) <= 0.02 * own[0].target, (source, taken, own[0].target)
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_query_against_sql(spark, sf):
+    con = connect(f"/root/testdata/sf{sf}")
+    df = queries.op8_source_mix(spark, f"/root/testdata/sf{sf}")
+    assert difference(df, con, registry.SQL["op8_source_mix"]) is None
+    rows = df.groupBy("source_size", "target").sum("taken").collect()
+    for r in rows:
+        assert abs(r["sum(taken)"] - r.target) <= max(20, 0.01 * r.target)
