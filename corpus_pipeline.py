@@ -7,20 +7,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, exact_dedup, jaccard_join, queries, source_mix, toxicity
-from tessera.llm.common import without
+from tessera.llm.common import text_of, without
 from tessera.plans.registry import table
 from tessera.sources.checkpoints import checkpointed, working_folder
 
 
+#: What the operators read; all other columns go past them under names of their own.
+READ = ("doc_id", "text", "source")
+
+
+def _aside(docs: DataFrame) -> DataFrame:
+    """Columns that no operator reads, renamed, so that none of theirs takes the place of one."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in READ else f"__{i}") for i, c in enumerate(docs.columns)])
+
+
+def _back(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, by their own names."""
+    return rows.select(*[F.col(c if c in READ else f"__{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar does not take for toxic."""
-    scored = toxicity.score(docs, queries.toxicity_model(spark, sf_dir, docs))
-    return scored.filter("predicted = 0").select(*docs.columns)
+    scored = toxicity.score(_aside(docs), queries.toxicity_model(spark, sf_dir, docs))
+    return _back(scored.filter("predicted = 0"), docs)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id."""
-    return exact_dedup.duplicates(docs).filter("kept").select(*docs.columns)
+    return _back(exact_dedup.duplicates(_aside(docs)).filter("kept"), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +46,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's target takes it."""
     planned, _ = source_mix.plan(docs, queries.MIX_WEIGHTS, queries.MIX_SHARE, queries.MIX_EPOCHS, queries.MIX_SEED)
-    place = source_mix.place_of(queries.MIX_SEED, F.col("doc_id"))
-    taken = source_mix.copies(docs, planned, place=place).filter("copies > 0")
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    size = source_mix.word_count(text_of("text"))
+    place = source_mix.place_of(queries.MIX_SEED, F.col("doc_id"), size)
+    taken = source_mix.copies(_aside(docs), planned, place, size).filter("copies > 0")
+    return _back(taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))), docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
