@@ -27,9 +27,10 @@ def scd_as_of(df: DataFrame, scd: Scd, at: Column) -> DataFrame:
     return df.where((start <= here) & (until.isNull() | (here < until)))
 
 
-_OPEN = 2**63 - 1
-#: A level's time nodes are so many times as wide as those of the level below.
-_WIDER = 4
+#: Open ends; far behind any time, and so that lengths do not overflow.
+_NEVER = 2**61
+#: A level's time nodes are so many times as wide as those of the level below; a node of the last holds all time.
+_WIDER, _LAST = 16, 12
 
 
 def scd_as_of_join(
@@ -38,119 +39,82 @@ def scd_as_of_join(
 ) -> DataFrame:
     """Each fact with every version of its key that was valid at ``at``; inner or left.
 
-    Where the versions of a key follow each other, as the history rule says, facts and versions
-    are laid in one time line per (key, time bucket).  Keys whose versions overlap take another
-    way that gives all valid versions: a version stands at the one or two time nodes of its
-    length, and facts meet it there by equality.  Either way work grows with facts, versions and
-    results, and a hot key is split by time.
+    Where no version of a key is valid, a gap is; so all of a key's time is covered, whether its versions
+    follow each other, overlap or leave gaps, and one equality join answers all.  A version or gap stands
+    at the one or two time nodes of its length; a fact meets the node of its time on each level that its
+    key has.  Work grows with facts, versions and results, and a hot key is split by time.
     """
     keys = list(keys)
     width = bucket_seconds * 1_000_000
     payload = [c for c in dim.columns if c not in keys]
+    stood = _at_nodes(_covering(dim, scd, keys, payload, gaps=how != "inner"), width)
+    levels = stood.groupBy(*keys).agg(F.collect_set("_level").alias("_levels"))
+    asked = facts.select(
+        *[F.when(_complete(keys, at), F.col(k)).alias(k) for k in keys],
+        utc_micros(facts, at).alias("_t"),
+        F.struct(*facts.columns).alias("_fact"),
+    )
+    if how == "inner":
+        met = asked.join(levels, keys).withColumn("_level", F.explode("_levels"))
+    else:
+        met = asked.join(levels, keys, "left").withColumn("_level", F.explode_outer("_levels"))
+    met = met.withColumn("_node", _node(F.col("_t"), F.col("_level"), width)).drop("_levels")
+    meets = [*keys, "_level", "_node"]
+    here = stood.select(*meets, "_s", "_e", "_row")
+    hit = (F.col("_s") <= F.col("_t")) & (F.col("_t") < F.col("_e"))
+    if how == "inner":
+        matched = met.join(here, meets).where(hit)
+    else:
+        # a fact of an unknown key, or without a time, meets no node and has no version
+        matched = met.join(here, meets, "left").where(F.col("_level").isNull() | hit)
+    return matched.select("_fact.*", *[F.col(f"_row.{c}").alias(c) for c in payload])
+
+
+def _covering(dim: DataFrame, scd: Scd, keys: list[str], payload: list[str], gaps: bool) -> DataFrame:
+    """Versions as (_s, _e, _row), and for each key the gaps between them with _row null."""
     start, until = utc_micros(dim, scd.valid_from), utc_micros(dim, scd.valid_to)
     versions = (
         dim.where(_complete(keys, scd.valid_from))
-        .select(*keys, start.alias("_s"), F.coalesce(until, F.lit(_OPEN)).alias("_e"), F.struct(*payload).alias("_row"))
+        .select(*keys, start.alias("_s"), F.coalesce(until, F.lit(_NEVER)).alias("_e"), F.struct(*payload).alias("_row"))
         .where("_s < _e")
     )
-    by_start = Window.partitionBy(*keys).orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = versions.withColumn("_before", F.max("_e").over(by_start))
-    crossing = ordered.where(F.col("_before") > F.col("_s")).select(*keys).distinct()
-
-    asked = facts.where(_complete(keys, at)).select(
-        *keys, utc_micros(facts, at).alias("_t"), F.struct(*facts.columns).alias("_fact")
+    if not gaps:
+        return versions
+    by_start = Window.partitionBy(*keys).orderBy("_s", "_e")
+    reached = F.max("_e").over(by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    follows = F.coalesce(F.lead("_s").over(by_start), F.lit(_NEVER))
+    first = F.lag("_s").over(by_start).isNull()
+    kind = versions.schema["_row"].dataType
+    none = F.lit(None).cast(kind)
+    span = lambda s, e, row: F.struct(s.alias("_s"), e.alias("_e"), row.alias("_row"))
+    lined = versions.select(*keys, "_s", "_e", "_row", reached.alias("_reached"), follows.alias("_next"), first.alias("_first"))
+    spans = F.array(
+        span(F.col("_s"), F.col("_e"), F.col("_row")),
+        F.when(F.col("_reached") < F.col("_next"), span(F.col("_reached"), F.col("_next"), none)),
+        F.when(F.col("_first"), span(F.lit(-_NEVER), F.col("_s"), none)),
     )
-    plain = _time_line(
-        asked.join(crossing, keys, "left_anti"), versions.join(crossing, keys, "left_anti"), keys, width
-    )
-    crossed_facts = asked.join(crossing, keys, "left_semi")
-    crossed = ordered.join(crossing, keys, "left_semi")
-    several = _by_nodes(crossed_facts, crossed, keys, width)
-    if how == "inner":
-        matched = plain.where(F.col("_row").isNotNull()).unionByName(several)
-    else:
-        # times that any version covers, laid out without overlaps, tell which facts have none
-        along = Window.partitionBy(*keys).orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, 0)
-        gap = F.when(F.col("_before") >= F.col("_s"), 0).otherwise(1)
-        spans = (
-            crossed.withColumn("_span", F.sum(gap).over(along))
-            .groupBy(*keys, "_span")
-            .agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"))
-            .withColumn("_row", F.struct(F.lit(1).alias("covered")))
-        )
-        none = _time_line(crossed_facts, spans, keys, width).where(F.col("_row").isNull()).select("_fact")
-        matched = plain.unionByName(several).unionByName(none, allowMissingColumns=True)
-    out = matched.select("_fact.*", *[F.col(f"_row.{c}").alias(c) for c in payload])
-    if how == "inner":
-        return out
-    # facts without a key or a time have no version
-    return out.unionByName(facts.where(~_complete(keys, at)), allowMissingColumns=True)
+    return lined.select(*keys, F.explode(F.array_compact(spans)).alias("_span")).select(*keys, "_span.*")
 
 
-def _complete(keys: Sequence[str], ts: str) -> Column:
-    test = F.col(ts).isNotNull()
-    for k in keys:
-        test = test & F.col(k).isNotNull()
-    return test
+def _node(time: Column, level: Column, width: int) -> Column:
+    """The time node of a level; those of the last level are one."""
+    wide = F.floor(time / (width * F.pow(F.lit(float(_WIDER)), level))).cast("long")
+    return F.when(level < _LAST, wide).otherwise(F.lit(0).cast("long"))
 
 
-def _by_nodes(asked: DataFrame, versions: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """(_fact, _row) of every fact and every version valid at its time."""
+def _at_nodes(versions: DataFrame, width: int) -> DataFrame:
+    """Versions at the one or two nodes that hold them, on the level of their length."""
     first = F.floor(F.col("_s") / width).cast("long")
     length = F.floor((F.col("_e") - 1) / width).cast("long") - first + 1
-    # open ends may be as long as all time; beyond level 30 a node holds everything
-    level = F.least(F.ceil(F.log(float(_WIDER), length.cast("double"))), F.lit(30)).cast("int")
-    wide = lambda t: F.floor(t / (width * F.pow(F.lit(float(_WIDER)), F.col("_level")))).cast("long")
-    stood = versions.withColumn("_level", level).withColumn(
-        "_node", F.explode(F.array_distinct(F.array(wide(F.col("_s")), wide(F.col("_e") - 1))))
-    )
-    levels = stood.select(*keys, "_level").distinct()
-    met = (
-        asked.join(levels, keys)
-        .withColumn("_node", wide(F.col("_t")))
-        .join(stood.select(*keys, "_level", "_node", "_s", "_e", "_row"), [*keys, "_level", "_node"])
-    )
-    return met.where("_s <= _t AND _t < _e").select("_fact", "_row")
+    unbounded = (F.col("_s") <= -_NEVER) | (F.col("_e") >= _NEVER)
+    level = F.least(F.ceil(F.log(float(_WIDER), length.cast("double"))), F.lit(_LAST)).cast("int")
+    placed = versions.withColumn("_level", F.when(unbounded, F.lit(_LAST)).otherwise(level))
+    ends = [_node(t, F.col("_level"), width) for t in (F.col("_s"), F.col("_e") - 1)]
+    return placed.withColumn("_node", F.explode(F.array_distinct(F.array(*ends))))
 
 
-def _time_line(asked: DataFrame, versions: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """(_fact, _row) of every fact, null where no version is valid; versions must not overlap.
-
-    Each fact takes the version started last in its bucket; what was started in earlier buckets
-    comes in as one carried row, found on one row per key and bucket.
-    """
-    bucket = lambda t: F.floor(F.col(t) / width).cast("long")
-    started = versions.select(
-        *keys, bucket("_s").alias("_bucket"), F.col("_s").alias("_t"), F.struct(F.col("_e").alias("end"), F.col("_row").alias("row")).alias("_version")
-    )
-    asked = asked.withColumn("_bucket", bucket("_t"))
-    newest = F.max_by("_version", "_t")
-    per_bucket = (
-        started.groupBy(*keys, "_bucket")
-        .agg(newest.alias("_version"))
-        .unionByName(asked.select(*keys, "_bucket").distinct(), allowMissingColumns=True)
-        .groupBy(*keys, "_bucket")
-        .agg(F.first("_version", ignorenulls=True).alias("_version"))
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_bucket.select(
-        *keys,
-        "_bucket",
-        F.lit(None).cast("long").alias("_t"),
-        F.last("_version", ignorenulls=True).over(earlier).alias("_version"),
-    ).where(F.col("_version").isNotNull())
-    line = (
-        started.unionByName(carried)
-        .unionByName(asked, allowMissingColumns=True)
-        .withColumn("_is_fact", F.col("_fact").isNotNull())
-    )
-    so_far = (
-        Window.partitionBy(*keys, "_bucket")
-        .orderBy(F.col("_t").asc_nulls_first(), "_is_fact")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        line.withColumn("_last", F.last("_version", ignorenulls=True).over(so_far))
-        .where("_is_fact")
-        .select("_fact", F.when(F.col("_t") < F.col("_last.end"), F.col("_last.row")).alias("_row"))
-    )
+def _complete(keys: Sequence[str], ts: str) -> Column:
+    test = F.col(ts).isNotNull()
+    for k in keys:
+        test = test & F.col(k).isNotNull()
+    return test

@@ -203,36 +203,69 @@ def words(text: Column) -> Column:
 
 #: Words of a phrase that are looked up; longer phrases are then compared in the text itself.
 _ANCHOR = 3
+#: Bits of the map of anchors, kept in longs.
+_BITS, _LONG = 1 << 20, 64
+
+
+def _place(anchor: Sequence[Column]) -> Column:
+    """The bit of a run of words, found without joining the words."""
+    return F.pmod(F.xxhash64(*anchor), F.lit(_BITS))
+
+
+def _anchor_map(wanted: DataFrame) -> DataFrame:
+    """One row: the bit map of all anchors as longs; of fixed size, whatever the number of terms."""
+    bit = F.lit(None).cast("long")
+    for n in range(1, _ANCHOR + 1):
+        bit = F.when(F.size("_first") == n, _place([F.get("_first", F.lit(j)) for j in range(n)])).otherwise(bit)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("_bit", F.lit(_LONG)).cast("int"))
+    filled = wanted.select(bit.alias("_bit")).groupBy(F.floor(F.col("_bit") / _LONG).alias("id")).agg(F.bit_or(one).alias("_bits"))
+    every = wanted.sparkSession.range(0, _BITS // _LONG, numPartitions=1).join(filled, "id", "left")
+    in_order = F.sort_array(F.collect_list(F.struct("id", F.coalesce("_bits", F.lit(0).cast("long")).alias("_bits"))))
+    return every.agg(in_order["_bits"].alias("_map"))
+
+
+def _marked(bits: Column, bit: Column) -> Column:
+    cell = F.get(bits, F.floor(bit / _LONG).cast("int"))
+    return F.call_function("shiftright", cell, F.pmod(bit, F.lit(_LONG)).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+
+
+def _beginnings(docs: DataFrame, wanted: DataFrame, doc_key: str, text: str) -> DataFrame:
+    """(doc, _anchor): the runs of words of each text that the bit map of anchors lets through."""
+    bits = _anchor_map(wanted).scalar()
+    names = [f"_word{n}" for n in range(1, _ANCHOR + 1)]
+    cut = docs.select(doc_key, words(F.col(text)).alias("_word1"))
+    # each word beside those that follow it, null behind the last
+    following = [F.slice("_word1", n, F.greatest(F.size("_word1"), F.lit(1))).alias(f"_word{n}") for n in range(2, _ANCHOR + 1)]
+    each = cut.select(doc_key, F.arrays_zip("_word1", *following).alias("_runs")).select(doc_key, F.inline("_runs").alias(*names))
+    has = [F.col(name).isNotNull() & _marked(bits, _place(names[:n])) for n, name in enumerate(names, 1)]
+    flags = [f"_has{n}" for n in range(1, _ANCHOR + 1)]
+    # words that begin no anchor leave before a run is formed
+    tested = each.select(doc_key, *names, *[h.alias(flag) for h, flag in zip(has, flags, strict=True)])
+    tested = tested.where(reduce(lambda a, b: a | b, map(F.col, flags)))
+    formed = F.array(*[F.when(F.col(flag), F.concat_ws(" ", *names[:n])) for n, flag in enumerate(flags, 1)])
+    return tested.select(doc_key, F.explode(F.array_compact(formed)).alias("_anchor"))
 
 
 def tag_terms(docs: DataFrame, terms: DataFrame, doc_key: str, text: str = "text") -> DataFrame:
     """``(doc, term)`` where the words of the term occur in the text one after another.
 
-    The first words of every phrase, three at most, are joined by equality with the distinct
-    runs of as many words of each text.  Where a phrase is longer, the few texts that hold its
-    first words are joined again by key and searched for all of it.  No text is compared with
-    every term, and no text takes part in the first join.
+    The first words of every phrase, three at most, are its anchor.  A bit map of all anchors, of fixed
+    size, is looked up inside each text's row; only runs of words that it lets through are formed, and
+    joined with the anchors by equality.  Where a phrase is longer, the few texts that hold its first
+    words are joined again by key and searched for all of it.  No text is compared with every term, and
+    no text takes part in the first join.
     """
     phrases = terms.select("term", words(F.col("term")).alias("_w")).where(F.size("_w") > 0)
     wanted = phrases.select(
         "term",
-        F.array_join(F.slice("_w", 1, _ANCHOR), " ").alias("_anchor"),
+        F.slice("_w", 1, _ANCHOR).alias("_first"),
         F.array_join("_w", " ").alias("_phrase"),
         (F.size("_w") > _ANCHOR).alias("_long"),
     ).distinct()
-    cut = docs.select(doc_key, words(F.col(text)).alias("_w"))
-
-    def runs(n: int) -> Column:
-        return F.transform(
-            "_w",
-            # near the end a run has fewer words; it is still a phrase of the text
-            lambda w, i: F.concat_ws(" ", w, *[F.get(F.col("_w"), i + j) for j in range(1, n)]),
-        )
-
-    every = F.array_distinct(F.concat(*[runs(n) for n in range(1, _ANCHOR + 1)]))
-    pieces = cut.select(doc_key, F.explode(every).alias("_anchor"))
+    pieces = _beginnings(docs, wanted, doc_key, text)
+    anchors = wanted.select("term", F.array_join("_first", " ").alias("_anchor"), "_phrase", "_long")
     # a run that is no phrase's beginning goes before its text is moved anywhere
-    met = pieces.join(wanted, "_anchor").select(doc_key, "term", "_phrase", "_long").distinct()
+    met = pieces.join(anchors, "_anchor").select(doc_key, "term", "_phrase", "_long").distinct()
     short = met.where(~F.col("_long")).select(doc_key, "term")
     padded = F.concat(F.lit(" "), F.array_join(words(F.col(text)), " "), F.lit(" "))
     whole = (

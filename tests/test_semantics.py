@@ -149,3 +149,18 @@ def test_terms_are_whole_words(spark):
     got = {tuple(r) for r in quality.tag_terms(docs, terms, "id").collect()}
     assert got == {(1, "Active customer"), (1, "active")}
     assert quality.tag_terms(docs, terms.where("term = '??'"), "id").count() == 0
+
+
+def test_only_runs_that_begin_a_term_are_formed(spark):
+    rows = [(k, f"filler{k} words{k} and Red  green, blue{k % 3} tail{k}") for k in range(500)]
+    docs = spark.createDataFrame([*rows, (500, None), (501, "")], "id int, text string")
+    terms = spark.createDataFrame([("red green",), ("red green blue1 tail1",), ("tail7",), ("blue2",)], "term string")
+    got = {tuple(r) for r in quality.tag_terms(docs, terms, "id").collect()}
+    expected = {(k, "red green") for k in range(500)} | {(k, "blue2") for k in range(500) if k % 3 == 2}
+    assert got == expected | {(7, "tail7"), (1, "red green blue1 tail1")}
+    wanted = terms.selectExpr("term", "slice(split(term, ' '), 1, 3) AS _first")
+    formed = quality._beginnings(docs, wanted, "id", "text").collect()
+    beginnings = {"red green", "blue2", "tail7"} | {"red green blue1"}
+    # two in a million other runs may share a bit
+    assert len(formed) <= 2 * 500 + 10 and {r["_anchor"] for r in formed} >= beginnings
+    assert quality.tag_terms(docs, terms.limit(0), "id").count() == 0
