@@ -436,9 +436,47 @@ def join_kind(word: Column) -> Column:
     return kind
 
 
-def on_condition(item: Column) -> Column:
-    """Depth-marked condition of a join item; '' when it has none."""
-    return mark_depth(F.trim(F.regexp_extract(item, r"(?i)\bon\b(.*)$", 1)), 0)
+def conditions(items_: Column) -> Column:
+    """Depth-marked condition of each item, '' where it has none.
+
+    Joins wait on a stack until an ON closes the innermost of them, so ``a JOIN b JOIN c ON x ON y`` gives
+    c the condition x and b the condition y.  A comma empties the stack.
+    """
+    one = F.transform(items_, lambda i: F.trim(F.regexp_extract(i["text"], r"(?i)\bon\b(.*)$", 1)))
+    start = F.struct(
+        F.array().cast("array<int>").alias("open"),
+        F.lit(0).alias("at"),
+        F.array().cast("array<struct<at:int,on:string>>").alias("closed"),
+    )
+
+    def step(acc: Column, item: Column) -> Column:
+        word = F.lower(item["word"])
+        waits = F.endswith(word, F.lit("join")) & ~word.rlike(r"\b(?:cross|natural)\b") & ~item["text"].rlike(r"(?i)\busing\b")
+        kept = F.when(F.contains(word, F.lit("join")), acc["open"]).otherwise(F.array().cast("array<int>"))
+        texts = F.split(item["text"], r"(?i)\bon\b")
+
+        def closing(open_: Column) -> Column:
+            n = F.least(F.size(open_), F.size(texts) - 1)
+            own = F.transform(
+                F.slice(texts, F.lit(2), n),
+                lambda on, k: F.struct(F.get(open_, F.size(open_) - 1 - k).alias("at"), F.trim(on).alias("on")),
+            )
+            return F.struct(
+                F.slice(open_, F.lit(1), F.size(open_) - n).alias("open"),
+                (acc["at"] + 1).alias("at"),
+                F.concat(acc["closed"], own).alias("closed"),
+            )
+
+        return let(F.when(waits, F.concat(kept, F.array(acc["at"]))).otherwise(kept), closing)
+
+    def placed(closed: Column) -> Column:
+        return F.transform(
+            items_, lambda _, i: F.coalesce(F.get(F.filter(closed, lambda c: c["at"] == i), F.lit(0))["on"], F.lit(""))
+        )
+
+    folded = let(F.aggregate(items_, start, step, lambda acc: acc["closed"]), placed)
+    several = F.exists(items_, lambda i: i["text"].rlike(r"(?i)\bon\b.*\bon\b"))
+    return F.transform(F.when(several, folded).otherwise(one), lambda on: mark_depth(on, 0))
 
 
 def equalities(condition: Column) -> Column:

@@ -157,7 +157,7 @@ def extract_joins(corpus: DataFrame) -> DataFrame:
     ``struct(left, right)`` of ``struct(schema, table, column)``.  No shuffle.
     """
 
-    def join_of(names: Column, item: Column, i: Column) -> Column:
+    def join_of(names: Column, item: Column, i: Column, on: Column) -> Column:
         def described(on: Column) -> Column:
             both = F.transform(
                 sx.equalities(on),
@@ -177,12 +177,15 @@ def extract_joins(corpus: DataFrame) -> DataFrame:
             )
 
         plain = F.endswith(F.lower(item["word"]), F.lit("join")) & (item["table"] != "")
-        return F.when(plain, sx.let(sx.on_condition(item["text"]), described))
+        return F.when(plain, described(on))
 
     # The test for equalities stays inside the array: as a filter on a column it would
     # be pushed below the projection and evaluate all of this a second time.
     joins = F.filter(
-        F.transform("_items", lambda item, i: join_of(F.col("_names"), item, i)),
+        F.transform(
+            F.arrays_zip(F.col("_items").alias("item"), sx.conditions(F.col("_items")).alias("on")),
+            lambda j, i: join_of(F.col("_names"), j["item"], i, j["on"]),
+        ),
         lambda j: F.size(j["equalities"]) > 0,
     )
     named = (

@@ -116,6 +116,56 @@ def edge_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", "file", "kind", "on_text")
 
 
+#: Conditions behind several joins, one condition twice in a file, and statements without semicolons.
+_STACKED = (
+    "select * from {s}Fact_{a} f join {s}Bridge_{b} x join {s}Dim_{b} d on x.dim_id = d.id on f.bridge_id = x.id",
+    "select * from {s}Fact_{a} f left join {s}Bridge_{b} x inner join {s}Dim_{b} d right outer join {s}Dim_{b}_Names"
+    " on d.name_id = Dim_{b}_Names.id on x.dim_id = d.id on f.bridge_id = x.id where f.n > 1",
+    "select 1 from {s}Fact_{a} f join {s}Dim_{b} d on f.dim_id = d.id;\nselect 2 from {s}Fact_{a} f join {s}Dim_{b} d"
+    " on f.dim_id = d.id",
+    "create view v1 as select * from {s}Fact_{a} f left join {s}Dim_{b} d on f.dim_id = d.id\n"
+    "create or replace view v2 as select * from {s}Bridge_{b} x join {s}Dim_{b} d on x.dim_id = d.id\ndrop table old",
+)
+
+
+def stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per order; the order's keys name its tables and its shape."""
+    k = F.col("o_orderkey")
+    values = {"{s}": F.when(k % 3 != 0, "stg.").otherwise(""), "{a}": F.col("o_custkey") % 20, "{b}": k % 20}
+    shapes = [F.lit(t) for t in _STACKED]
+    for mark, value in values.items():
+        shapes = [F.replace(t, F.lit(mark), value.cast("string")) for t in shapes]
+    orders = dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+    chosen = F.element_at(F.array(*shapes), (F.floor(k / 20) % len(_STACKED) + 1).cast("int"))
+    return orders.select(F.concat(k.cast("string"), F.lit(".sql")).alias("file"), chosen.alias("sql"))
+
+
+@query(
+    """
+WITH o AS (SELECT o_orderkey || '.sql' AS file, o_custkey % 20 AS a, o_orderkey % 20 AS b, (o_orderkey // 20) % 4 AS shape,
+                  CASE WHEN o_orderkey % 3 <> 0 THEN 'stg' ELSE '' END AS s FROM orders),
+n AS (SELECT *, CASE s WHEN '' THEN '' ELSE s || '.' END AS p FROM o),
+j AS (
+  SELECT file, s, p, 'bridge_' || b || '.dim_id' AS l, 'dim_' || b || '.id' AS r,
+         CASE shape WHEN 1 THEN 'INNER' ELSE 'JOIN' END AS kind, 'Dim_' || b || ' d' AS shown, 'x.dim_id = d.id' AS on_text
+  FROM n WHERE shape IN (0, 1, 3)
+  UNION ALL
+  SELECT file, s, p, 'bridge_' || b || '.id', 'fact_' || a || '.bridge_id', CASE shape WHEN 1 THEN 'LEFT' ELSE 'JOIN' END,
+         'Bridge_' || b || ' x', 'f.bridge_id = x.id' FROM n WHERE shape IN (0, 1)
+  UNION ALL
+  SELECT file, s, p, 'dim_' || b || '.name_id', 'dim_' || b || '_names.id', 'RIGHT', 'Dim_' || b || '_Names',
+         'd.name_id = Dim_' || b || '_Names.id' FROM n WHERE shape = 1
+  UNION ALL
+  SELECT file, s, p, 'dim_' || b || '.id', 'fact_' || a || '.dim_id', CASE shape WHEN 3 THEN 'LEFT' ELSE 'JOIN' END,
+         'Dim_' || b || ' d', 'f.dim_id = d.id' FROM n WHERE shape IN (2, 3))
+SELECT s || '.' || l || '|' || s || '.' || r AS id, file, kind, on_text,
+       kind || ' JOIN ' || p || shown || ' ON ' || on_text AS clause_text FROM j"""
+)
+def stacked_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, found = discovery.discover(stacked(spark, sf_dir))
+    return found.select("id", "file", "kind", "on_text", "clause_text")
+
+
 @query(
     JOINS_SQL
     + """

@@ -187,3 +187,23 @@ def test_names_of_many_parts(spark):
     }
     found = joins_of(spark, list(texts))
     assert {t: found[t][0][1] if found[t] else None for t in texts} == texts
+
+
+def test_conditions_at_the_end_close_the_innermost_join(spark):
+    rows = [
+        ("two.sql", "select * from a join b join c on b.i = c.i on a.j = b.j"),
+        ("three.sql", "select * from a left join b inner join c full join d on c.k = d.k on b.i = c.i on a.j = b.j where 1 = 1"),
+        ("mixed.sql", "select * from a join b on a.i = b.i join c join d on c.k = d.k on b.j = c.j cross join e join f on f.z = a.z"),
+        ("comma.sql", "select * from x join y, a join b on a.i = b.i"),
+        ("using.sql", "select * from a join b using (i) join c join d on c.k = d.k on a.j = c.j"),
+    ]
+    joins = discovery.extract_joins(spark.createDataFrame(rows, "file string, sql string")).collect()
+    got = {(r.file, r.kind, r.right_table, r.on_text) for r in joins}
+    assert got == {
+        ("two.sql", "JOIN", "c", "b.i = c.i"), ("two.sql", "JOIN", "b", "a.j = b.j"),
+        ("three.sql", "FULL", "d", "c.k = d.k"), ("three.sql", "INNER", "c", "b.i = c.i"), ("three.sql", "LEFT", "b", "a.j = b.j"),
+        ("mixed.sql", "JOIN", "b", "a.i = b.i"), ("mixed.sql", "JOIN", "d", "c.k = d.k"),
+        ("mixed.sql", "JOIN", "c", "b.j = c.j"), ("mixed.sql", "JOIN", "f", "f.z = a.z"),
+        ("comma.sql", "JOIN", "b", "a.i = b.i"),
+        ("using.sql", "JOIN", "d", "c.k = d.k"), ("using.sql", "JOIN", "c", "a.j = c.j"),
+    }

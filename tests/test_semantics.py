@@ -164,3 +164,14 @@ def test_only_runs_that_begin_a_term_are_formed(spark):
     # two in a million other runs may share a bit
     assert len(formed) <= 2 * 500 + 10 and {r["_anchor"] for r in formed} >= beginnings
     assert quality.tag_terms(docs, terms.limit(0), "id").count() == 0
+
+
+def test_as_of_join_reads_facts_once(spark, tmp_path):
+    spark.sql("SELECT 1 AS k, TIMESTAMP_NTZ '2020-01-02' AS at, 7 AS pay").write.parquet(f"{tmp_path}/facts")
+    facts = spark.read.parquet(f"{tmp_path}/facts")
+    dim = spark.sql("SELECT 1 AS k, TIMESTAMP_NTZ '2020-01-01' AS f, TIMESTAMP_NTZ '2020-01-03' AS t, 'x' AS v")
+    for how in ("inner", "left"):
+        out = history.scd_as_of_join(facts, dim, Scd("f", "t", None), ["k"], "at", how)
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("FileScan") == 1
+        assert [tuple(r) for r in out.select("pay", "v").collect()] == [(7, "x")]
