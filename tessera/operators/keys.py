@@ -206,8 +206,18 @@ def _located(edges: DataFrame, tables: Mapping[str, DataFrame]) -> list[dict]:
 
     found = []
     extra = ["extra"] if "extra" in edges.columns else []
-    # edges are metadata: one row per pair of ends, however many files and rows they stand for
-    for row in edges.select("id", "left", "right", *extra).toLocalIterator():
+    # only edges between columns of the given tables leave Spark, however many the corpus has
+    named = sorted({full.rpartition(".")[2].lower() for full in tables})
+    known_columns = sorted({c.lower() for df in tables.values() for c in df.columns})
+    about = reduce(
+        lambda a, b: a & b,
+        [
+            F.lower(F.col(f"{end}.{part}")).isin(values)
+            for end in ("left", "right")
+            for part, values in (("table", named), ("column", known_columns))
+        ],
+    )
+    for row in edges.where(about).select("id", "left", "right", *extra).toLocalIterator():
         ends = (table_of(row["left"]), table_of(row["right"]))
         if None in ends:
             continue

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.sources.checkpoints import checkpointed
 from tessera.functions.text import squeeze_and_cap
 from tessera.functions.times import utc_micros
 from tessera.schemas import CATALOG_TTL_SECONDS
@@ -146,6 +148,33 @@ def tail_bytes(
     )
 
 
+#: Cut-offs of at most this number of keys go to every task; more are joined by key.
+_BROADCAST_KEYS = 100_000
+
+
+def tail_by_histogram(
+    lines: DataFrame, max_bytes: int, keys: Sequence[str], order: Sequence[str], period: str, line: str = "line"
+) -> DataFrame:
+    """As ``tail_bytes``, for logs whose rows have a ``period`` that never falls along ``order``, such as
+    the hour or the day they are stored by.
+
+    Bytes are summed per key and period first, which combines within tasks; of that histogram the period
+    in which a key's tail begins is found.  Only lines from there on are moved and sorted, and stored days
+    before the first of these periods are not read again.  ``period`` must not be null.
+    """
+    size = (F.octet_length(F.col(line)) + 1).cast("long")
+    histogram = lines.groupBy(*keys, period).agg(F.sum(size).alias("_bytes"))
+    later = Window.partitionBy(*keys).orderBy(F.col(period).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    begun = histogram.withColumn("_later", F.coalesce(F.sum("_bytes").over(later), F.lit(0)))
+    cuts = begun.where(F.col("_later") <= max_bytes).groupBy(*keys).agg(F.min(period).alias("_from"))
+    cuts = checkpointed(cuts)
+    n, first = cuts.agg(F.count("*"), F.min("_from")).first()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    near = cuts.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_from")
+    met = lines.where(F.col(period) >= F.lit(first)).join(F.broadcast(near) if n <= _BROADCAST_KEYS else near, same)
+    return tail_bytes(met.where(F.col(period) >= F.col("_from")).select(*lines.columns), max_bytes, keys, order, line)
+
+
 def refetches(
     requests: DataFrame, fetches: DataFrame, keys: Sequence[str], ts: str,
     ttl_seconds: int = CATALOG_TTL_SECONDS,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import querylog
 from tessera.plans.registry import dealt, query, table, text
+from tessera.sources.checkpoints import working_folder
 
 
 def log_events(events: DataFrame) -> DataFrame:
@@ -91,6 +92,23 @@ def log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return querylog.tail_bytes(log_lines_of(spark, sf_dir), 32 * 1024, ["dsn"], ["event_id"])
 
 
+@query(
+    LINES_SQL
+    + """
+, t AS (SELECT event_id, dsn, line,
+          sum(strlen(line) + 1) OVER (PARTITION BY dsn ORDER BY event_id DESC)::BIGINT AS bytes_from_end FROM lines)
+SELECT * FROM t WHERE bytes_from_end <= 32768"""
+)
+def log_tail_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tail of a log stored by period, of which most is neither moved nor read twice."""
+    folder = working_folder(spark, "log-by-period")
+    written = log_lines_of(spark, sf_dir).withColumn("period", F.floor(F.col("event_id") / 5_000))
+    written.write.partitionBy("period").parquet(folder)
+    lines = spark.read.parquet(folder)
+    found = querylog.tail_by_histogram(lines, 32 * 1024, ["dsn"], ["event_id"], "period")
+    return found.drop("period")
+
+
 @query(
     LINES_SQL
     + """

@@ -68,9 +68,9 @@ def sql_files(spark: SparkSession, sf_dir: str) -> str:
     )
     root = working_folder(spark, "sql-corpus")
     for folder in ("kept", "node_modules"):
-        lines = rows.where(F.col("folder") == folder).select("sql").distinct()
-        # distinct statements only: the texts of a file tell what is asked for, not how often
-        lines.write.options(extension="sql", quote="", sep="\x01", maxRecordsPerFile=200).csv(f"{root}/{folder}")
+        lines = rows.where(F.col("folder") == folder).select("sql")
+        # one statement per order, so the corpus grows with the table
+        lines.write.options(extension="sql", quote="", sep="\x01", maxRecordsPerFile=1000).csv(f"{root}/{folder}")
     return root
 
 

@@ -92,3 +92,18 @@ def test_refetches_against_brute_force(spark):
         "ts",
     )
     assert {r.i: r.stale for r in out.collect()} == expected
+
+
+def test_tail_by_histogram_moves_only_what_may_be_in_the_tail(spark, tmp_path):
+    rows = [(k, f"s{k % 3}" if k % 7 else None, "é" * (k % 13), k // 50) for k in range(2000)]
+    frame = spark.createDataFrame(rows, "at long, source string, line string, day long")
+    frame.write.partitionBy("day").parquet(f"{tmp_path}/log")
+    stored = spark.read.parquet(f"{tmp_path}/log").select("at", "source", "line", "day")
+    for limit in (0, 1, 300, 5_000, 10**9):
+        plain = querylog.tail_bytes(frame, limit, ["source"], ["at"])
+        cut = querylog.tail_by_histogram(stored, limit, ["source"], ["at"], "day")
+        assert cut.columns == plain.columns
+        assert sorted(map(str, cut.collect())) == sorted(map(str, plain.select(*cut.columns).collect()))
+    plan = querylog.tail_by_histogram(stored, 300, ["source"], ["at"], "day")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "BroadcastHashJoin" in plan
+    assert querylog.tail_by_histogram(stored.limit(0), 10, ["source"], ["at"], "day").count() == 0
