@@ -47,6 +47,21 @@ MARK_STARTS = (
     "newsletter", "footer", "sitefooter", "siteheader", "pagefooter", "pageheader", "commentlist", "noticebar",
 )
 COMMENT = frozenset("comment comments disqus reply replies respond".split())
+#: A word of a class or id that tells of comments without being any: has-comments, comments-open, no-reply.
+FLAG = re.compile(r"(?:^|\s)(?:(?:has|no|with|without)[-_]\S+|\S+[-_](?:open|opened|closed|enabled|disabled|allowed|count|off|on))(?=\s|$)")
+#: What a start tag ends that has no end tag of its own, up to the nearest of the elements named last.
+_CELLS, _ROWS = frozenset("td th".split()), frozenset("tr td th".split())
+_ITEMS, _PAIRS = frozenset(["li"]), frozenset("dt dd".split())
+IMPLIED = {
+    "li": (_ITEMS, frozenset("ul ol menu table dl".split())),
+    "dt": (_PAIRS, frozenset("dl ul ol table".split())),
+    "dd": (_PAIRS, frozenset("dl ul ol table".split())),
+    "td": (_CELLS, frozenset("tr table".split())),
+    "th": (_CELLS, frozenset("tr table".split())),
+    "tr": (_ROWS, frozenset(["table"])),
+    **dict.fromkeys(("thead", "tbody", "tfoot"), (_ROWS | frozenset("thead tbody tfoot".split()), frozenset(["table"]))),
+    "option": (frozenset(["option"]), frozenset("select datalist optgroup".split())),
+}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WORDS = re.compile(r"[a-z0-9]+")
 #: Lines on either side that the Gaussian reaches, and its width.
@@ -106,7 +121,8 @@ class _Lines(HTMLParser):
         if tag in ("html", "body"):
             return False
         words = set(WORDS.findall(given.get("class", "") + " " + given.get("id", "")))
-        comment = not words.isdisjoint(COMMENT)
+        told = FLAG.sub(" ", given.get("class", "") + " " + given.get("id", ""))
+        comment = not COMMENT.isdisjoint(WORDS.findall(told))
         if comment:
             self.comments.add(self.count)
         if tag in ("article", "main"):
@@ -122,6 +138,8 @@ class _Lines(HTMLParser):
             self._break()
             if self.stack and tag not in VOID:
                 self._end_paragraph()
+                if tag in IMPLIED:
+                    self._end_implied(*IMPLIED[tag])
         elif self.current is not None:
             self.current.tags += 1
         if tag in VOID:
@@ -157,6 +175,18 @@ class _Lines(HTMLParser):
             if tag not in INLINE:
                 return
 
+    def _end_implied(self, ended: frozenset[str], within: frozenset[str]) -> None:
+        """A list item, cell or row ends the one before it, whose end tag may be left out."""
+        last = None
+        for k in range(len(self.stack) - 1, -1, -1):
+            tag = self.stack[k][0]
+            if tag in within:
+                break
+            if tag in ended:
+                last = k
+        if last is not None:
+            self._drop(last)
+
     def _drop(self, k: int) -> None:
         self.links -= sum(s[0] == "a" for s in self.stack[k:])
         del self.stack[k:]

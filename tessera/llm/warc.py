@@ -8,6 +8,7 @@ derived from the source's, so that a repeated run names the same records.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import json
 import re
@@ -26,14 +27,16 @@ RECORD = (
     "source_headers string, content string, record binary"
 )
 
-DROPPED = re.compile(r"(?is)<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)")
+# a tag that nobody ends reaches to the end of the text, so no pattern tries the same text twice
+DROPPED = re.compile(r"(?is)<(script|style|template|noscript)\b[^>]*(?:>|\Z).*?(?:</\1\s*+>|\Z)|<!--.*?(?:-->|\Z)")
 BREAKS = re.compile(
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|"
-    r"head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
+    r"head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*(?:>|\Z)"
 )
 TAG = re.compile(r"</?[A-Za-z!?][^>]*>?")
-TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title")
-LINK = re.compile(r"""(?is)<(?:a|area|link)\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+TITLE = re.compile(r"(?is)<title\b[^>]*(?:>|\Z)(.*?)(?:(</title)|\Z)")
+LINK = re.compile(r"""(?is)<(?:a|area|link)\b[^<>]*?\shref\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+LENGTH = re.compile("[0-9]{1,18}")
 
 
 def plain_text(html: str) -> str:
@@ -52,6 +55,16 @@ def _digest(data: bytes) -> str:
     return "sha256:" + hashlib.sha256(data).hexdigest()
 
 
+def _verified(digest: str, payload: bytes) -> bool | None:
+    """Whether a digest is the payload's: SHA-1 or SHA-256 in hex or Base32; None for any other."""
+    kind, _, value = digest.partition(":")
+    made = {"sha1": hashlib.sha1, "sha256": hashlib.sha256}.get(kind.lower())
+    if made is None or (kind.lower() == "sha1" and len(value.rstrip("=")) not in (32, 40)):
+        return None  # of another kind, or no whole SHA-1
+    own = made(payload).digest()
+    return value.lower() == own.hex() or value.upper().rstrip("=") == base64.b32encode(own).decode().rstrip("=")
+
+
 def _headers(block: str) -> list[tuple[str, str]]:
     """Header fields in order; a line that begins with a blank goes on with the field before it."""
     fields: list[tuple[str, str]] = []
@@ -76,7 +89,7 @@ def read_response(record: bytes) -> dict | None:
     if not blank or not version.startswith("WARC/") or (_get(fields, "WARC-Type") or "").lower() != "response":
         return None
     length = _get(fields, "Content-Length") or ""
-    block = rest[: int(length)] if length.isdigit() else rest
+    block = rest[: int(length)] if LENGTH.fullmatch(length) else rest
     http, _, payload = block.partition(b"\r\n\r\n")
     status, _, http_lines = http.decode("utf-8", "replace").partition("\r\n")
     return {"warc": fields, "status": status, "http": _headers(http_lines), "payload": payload, "block": block}
@@ -84,15 +97,19 @@ def read_response(record: bytes) -> dict | None:
 
 def _record(source: dict, source_id: str, kind: str, content_type: str, content: str) -> dict:
     data = content.encode()
+    # without an identifier the response is known by its content
+    name = source_id or _digest(source["block"])
     fields = [
         ("WARC-Type", kind),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{source_id} {kind}')}>"),
+        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{name} {kind}')}>"),
         ("WARC-Refers-To", source_id),
         ("WARC-Target-URI", _get(source["warc"], "WARC-Target-URI") or ""),
         ("WARC-Date", _get(source["warc"], "WARC-Date") or ""),
         ("WARC-Block-Digest", _digest(data)),
         ("Content-Type", content_type),
         ("Content-Length", str(len(data))),
+        ("WARC-Refers-To-Target-URI", _get(source["warc"], "WARC-Target-URI") or ""),
+        ("WARC-Refers-To-Date", _get(source["warc"], "WARC-Date") or ""),
     ]
     head = "WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
     payload_digest = _get(source["warc"], "WARC-Payload-Digest")
@@ -107,7 +124,7 @@ def _record(source: dict, source_id: str, kind: str, content_type: str, content:
         "content_length": len(data),
         "block_digest": fields[5][1],
         "payload_digest": payload_digest,
-        "digest_ok": payload_digest == _digest(source["payload"]) if (payload_digest or "").startswith("sha256:") else None,
+        "digest_ok": _verified(payload_digest or "", source["payload"]),
         "source_headers": json.dumps(source["http"], ensure_ascii=False),
         "content": content,
         "record": head.encode() + data + b"\r\n\r\n",
@@ -129,7 +146,7 @@ def derive(record: bytes | None) -> list[dict]:
         "block-digest": _digest(source["block"]),
         "payload-digest": _digest(source["payload"]),
         "payload-length": len(source["payload"]),
-        "title": " ".join(unescape(title[1]).split()) if title else None,
+        "title": " ".join(unescape(title[1]).split()) if title and title[2] else None,
         "links": links(html),
     }
     return [

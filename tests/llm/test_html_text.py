@@ -1,6 +1,7 @@
 """Main text of pages of several builds."""
 
 import re
+import time
 from html import unescape
 
 from tessera.llm import html_text, queries
@@ -115,3 +116,27 @@ def test_names_do_not_silence_all():
     assert html_text.main_text("<div class='notice'>All that is here</div>") == "All that is here"
     ads = "".join(f"<div class='ad'>{word} here</div>" for word in ("one", "two", "six"))
     assert html_text.main_text(ads) == "one here two here six here"
+
+
+def test_flags_about_comments_name_no_comment():
+    body = "<h1>Title of it</h1>" + "<p>" + "word of the article " * 30 + "</p>"
+    for name in ("post has-comments", "comments-open hentry", "no-reply", "post no-comments comments-closed"):
+        for other in ("<div><p>" + "other words " * 20 + "</p></div>", "<article class='teaser'>" + "tease more " * 5 + "</article>"):
+            made = f"<html><body><article class='{name}'>{body}</article>{other}</body></html>"
+            text = html_text.main_text(made)
+            assert text.startswith("Title of it word of the article"), (name, text[:80])
+
+
+def test_cells_and_items_without_end_tags():
+    def listed(n):
+        rows = "".join(f"<tr><td>cell {k} of the table<td>and its value {k}" for k in range(n))
+        return f"<html><body><article><h1>Rows</h1><table>{rows}</table><ul>" + "<li>an item of some words" * n + "</ul></article></body></html>"
+
+    text = html_text.main_text(listed(5))
+    assert text.startswith("Rows cell 0 of the table and its value 0 cell 1") and text.count("an item of some words") == 5
+    took = []
+    for n in (1000, 4000):
+        start = time.perf_counter()
+        html_text.main_text(listed(n))
+        took.append(time.perf_counter() - start)
+    assert took[1] < 1 + 8 * took[0]

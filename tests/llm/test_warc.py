@@ -1,7 +1,9 @@
 """WARC derivatives: what is linked, kept and converted."""
 
+import base64
 import hashlib
 import json
+import time
 from html.parser import HTMLParser
 
 from tessera.llm import queries, warc
@@ -95,3 +97,23 @@ def test_null_pages_and_empty_table(spark):
     assert len(rows) == 6 and all(r.digest_ok for r in rows)
     assert sorted(r.content for r in rows if r.type == "conversion") == ["", "", "x"]
     assert warc.derivatives(archived.limit(0)).count() == 0
+
+
+def test_broken_lengths_and_unended_tags_end_no_job():
+    for length in ("²", "٣", "-1", "", "9" * 40):
+        assert len(warc.derive(response(**{"Content-Length": length}))) == 2
+    for text in ("<title>", "<a ", "<p ", "<script ", "<style>", "</script ", "<!--", "<a href=x ", "<title"):
+        took = []
+        for n in (20_000, 80_000):
+            start = time.perf_counter()
+            warc.plain_text(text * n), warc.links(text * n), warc.TITLE.search(text * n)
+            took.append(time.perf_counter() - start)
+        assert took[1] < 2 + 12 * took[0], text
+
+
+def test_digests_and_identifiers():
+    sha1 = base64.b32encode(hashlib.sha1(PAGE).digest()).decode()
+    for digest, ok in (("sha1:" + sha1, True), ("sha1:" + sha1[::-1], False), ("md5:x", None), ("sha256:", False)):
+        assert warc.derive(response(**{"WARC-Payload-Digest": digest}))[0]["digest_ok"] is ok
+    one, two = (warc.derive(response(**{"WARC-Record-ID": ""}, block=HTTP + page)) for page in (b"a", b"b"))
+    assert len({r["record_id"] for r in one + two}) == 4
