@@ -89,8 +89,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _level(counts: np.ndarray) -> np.ndarray:
-    """Counts in 16 bits: themselves up to 32,767, from there on 2,048 steps for each power of two."""
-    steps = np.floor(np.log2(np.maximum(counts, 1 << 15)) * 2048) - 15 * 2048 + (1 << 15)
+    """Counts in 16 bits: themselves up to 32,767, from there on 1,900 steps for each power of two."""
+    steps = np.floor((np.log2(np.maximum(counts, 1 << 15)) - 15) * 1900) + (1 << 15)
     return np.where(counts < 1 << 15, counts, steps).astype(np.uint16)
 
 
