@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tessera.sources.buckets import Buckets
 from tessera.sources.snapshots import read_snapshot, write_snapshot
 
 #: ``(state, changes) -> (next state, outcomes)``, e.g. operators.changes.upsert_measures
@@ -46,3 +47,38 @@ def start(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def start_bucketed(
+    changes: DataFrame,
+    apply: Apply,
+    state: Buckets,
+    outcome_root: str,
+    checkpoint: str,
+    after: Callable[[int], None] | None = None,
+) -> StreamingQuery:
+    """As ``start``, but a batch reads and writes only the buckets that its keys fall into.
+
+    ``apply`` must treat rows of different bucket keys apart.  The state begins with
+    ``state.begin``; a batch is read once.
+    """
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            touched = state.touched(batch)
+            part, outcomes = apply(state.read(spark, batch_id - 1, touched), batch)
+            state.write(part, batch_id, touched)
+            write_snapshot(outcomes, outcome_root, batch_id)
+        finally:
+            batch.unpersist()
+        if after is not None:
+            after(batch_id)
+
+    return (
+        changes.writeStream.foreachBatch(one_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
