@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.arrays import runs
+from tessera.functions.sqltext import let
 from tessera.functions.text import lines, nonempty, xml_attr, xml_text
 
 
@@ -78,30 +80,101 @@ def relationship_sentence(
     return F.concat_ws(" ", phrase, nonempty(description))
 
 
-def _readers(tables: Column) -> Column:
-    """``struct(ref, table_name)`` of every lineage edge, in table order."""
-    return F.flatten(
-        F.transform(
-            tables,
-            lambda t: F.transform(
-                F.coalesce(t["upstream"], F.array()),
-                lambda d: F.struct(d["ref"].alias("ref"), t["table_name"].alias("table_name")),
-            ),
-        )
+def _named(items: Column, kind: int, name: Callable[[Column], Column]) -> Column:
+    """``(name, kind, at)`` of the items, to be sorted among those of another kind."""
+    return F.transform(
+        items, lambda x, i: F.struct(name(x).alias("name"), F.lit(kind).alias("kind"), i.alias("at"))
     )
 
 
-def _downstream(readers: Column, table_name: Column) -> Column:
-    return F.filter(readers, lambda r: r["ref"] == table_name)["table_name"]
+def _matched(left: Column, right: Column, emit: Callable[[Column, Column], Column]) -> Column:
+    """``emit(positions left, positions right)`` for each name, null names left out."""
+
+    def positions(run: Column, kind: int) -> Column:
+        return F.filter(run, lambda e: e["kind"] == kind)["at"]
+
+    groups = runs(F.sort_array(F.concat(left, right)), lambda e: e["name"])
+    named = F.filter(groups, lambda run: F.get(run, F.lit(0))["name"].isNotNull())
+    return F.flatten(F.transform(named, lambda run: emit(positions(run, 0), positions(run, 1))))
+
+
+def with_downstream(tables: Column) -> Column:
+    """``struct(table, downstream)``: each table and the names of those that read it, in table order.
+
+    Names of tables and references to them are sorted together once; nothing is searched.
+    """
+
+    def readers(own: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                own,
+                lambda t: F.transform(
+                    F.coalesce(t["upstream"], F.array()),
+                    lambda d: F.struct(d["ref"].alias("ref"), t["table_name"].alias("table_name")),
+                ),
+            )
+        )
+
+    def found(own: Column, read: Column) -> Column:
+        def emit(at: Column, by: Column) -> Column:
+            names = F.transform(by, lambda i: F.get(read, i)["table_name"])
+            return let(names, lambda n: F.transform(at, lambda i: F.struct(i.alias("at"), n.alias("names"))))
+
+        listed = _matched(
+            _named(own, 0, lambda t: t["table_name"]), _named(read, 1, lambda r: r["ref"]), emit
+        )
+        # tables without a name are in no list, but keep their place
+        unnamed = F.filter(
+            F.transform(
+                own,
+                lambda t, i: F.when(
+                    t["table_name"].isNull(), F.struct(i.alias("at"), F.array().cast("array<string>").alias("names"))
+                ),
+            ),
+            lambda e: e.isNotNull(),
+        )
+        ordered = F.sort_array(F.concat(listed, unnamed))
+        return F.zip_with(
+            own, ordered, lambda t, e: F.struct(t.alias("table"), e["names"].alias("downstream"))
+        )
+
+    return let(tables, lambda own: let(readers(own), lambda read: found(own, read)))
 
 
 def in_render_order(connections: Column, tables: Column) -> Column:
-    """Tables by connection in connection order, the others behind them."""
-    owned = F.flatten(
-        F.transform(connections, lambda c: F.filter(tables, lambda t: t["connection"] == c["name"]))
-    )
-    rest = F.filter(tables, lambda t: ~F.array_contains(owned["table_name"], t["table_name"]))
-    return F.concat(owned, rest)
+    """Items of ``with_downstream`` by connection in connection order, the others behind them.
+
+    A table without a name, or with the name of one that a connection owns, is not among the others.
+    """
+
+    def both(at: Column, by: Column) -> Column:
+        return let(
+            by,
+            lambda own: F.flatten(
+                F.transform(
+                    at, lambda c: F.transform(own, lambda t: F.struct(c.alias("connection"), t.alias("at")))
+                )
+            ),
+        )
+
+    def ordered(items: Column) -> Column:
+        def behind(owned: Column) -> Column:
+            known = F.transform(owned, lambda i: F.get(items, i))
+            rest = _matched(
+                _named(known, 0, lambda x: x["table"]["table_name"]),
+                _named(items, 1, lambda x: x["table"]["table_name"]),
+                lambda at, by: F.filter(by, lambda _: F.size(at) == 0),
+            )
+            return F.transform(F.concat(owned, F.sort_array(rest)), lambda i: F.get(items, i))
+
+        pairs = _matched(
+            _named(connections, 0, lambda c: c["name"]),
+            _named(items, 1, lambda x: x["table"]["connection"]),
+            both,
+        )
+        return let(F.sort_array(pairs)["at"], behind)
+
+    return let(tables, ordered)
 
 
 def _xml_column(table: Column, col: Column) -> Column:
@@ -155,7 +228,7 @@ def _xml_upstream(table: Column, dep: Column) -> Column:
     )
 
 
-def _xml_table(table: Column, readers: Column) -> Column:
+def _xml_table(table: Column, downstream: Column) -> Column:
     scd = table["scd"]
     head = _attrs(
         ("name", table["table_name"]),
@@ -197,7 +270,7 @@ def _xml_table(table: Column, readers: Column) -> Column:
             4, "relationships", _each(table["relationships"], lambda r: _xml_relationship(table, r))
         ),
         _section(4, "upstream", _each(table["upstream"], lambda d: _xml_upstream(table, d))),
-        _element(4, "downstream", _list(_downstream(readers, table["table_name"]))),
+        _element(4, "downstream", _list(downstream)),
         F.lit("  </table>"),
     )
 
@@ -261,10 +334,9 @@ def render_xml(documents: DataFrame, root: str = "project", preamble: str | None
         "project_id",
         cfg.alias("_cfg"),
         connections.alias("_connections"),
-        in_render_order(connections, tables).alias("_tables"),
-        _readers(tables).alias("_readers"),
+        in_render_order(connections, with_downstream(tables)).alias("_tables"),
     )
-    cfg, readers = F.col("_cfg"), F.col("_readers")
+    cfg = F.col("_cfg")
     head = _attrs(
         ("name", cfg["name"]),
         ("dialect", F.coalesce(cfg["dialect"], F.lit("tsql"))),
@@ -280,7 +352,7 @@ def render_xml(documents: DataFrame, root: str = "project", preamble: str | None
         _section(2, "glossary", _each(cfg["glossary"], _xml_term)),
         _section(2, "measures", _each(cfg["measures"], _xml_measure)),
         _each(F.col("_connections"), _xml_connection),
-        _each(F.col("_tables"), lambda t: _xml_table(t, readers)),
+        _each(F.col("_tables"), lambda t: _xml_table(t["table"], t["downstream"])),
         F.lit(f"</{root}>"),
         F.lit(""),
     )
@@ -343,7 +415,7 @@ def _md_relationship(table: Column, rel: Column) -> Column:
     )
 
 
-def _md_table(table: Column, readers: Column) -> Column:
+def _md_table(table: Column, downstream: Column) -> Column:
     scd = table["scd"]
     refresh = F.concat(
         _after("- Refresh: `", _unless(table["refresh_cadence"], "unknown"), "`"),
@@ -397,7 +469,7 @@ def _md_table(table: Column, readers: Column) -> Column:
                 ),
             ),
         ),
-        _after("\nDownstream: ", _list(_downstream(readers, table["table_name"]))),
+        _after("\nDownstream: ", _list(downstream)),
     )
 
 
@@ -436,12 +508,9 @@ def render_markdown(documents: DataFrame) -> DataFrame:
         "project_id",
         cfg.alias("_cfg"),
         connections.alias("_connections"),
-        tables.alias("_tables"),
-        _readers(tables).alias("_readers"),
-    )
-    cfg, connections, tables, readers = (
-        F.col(c) for c in ("_cfg", "_connections", "_tables", "_readers")
+        with_downstream(tables).alias("_tables"),
     )
+    cfg, connections, tables = (F.col(c) for c in ("_cfg", "_connections", "_tables"))
     text = lines(
         F.concat(F.lit("# "), cfg["name"]),
         _after("\n", cfg["description"]),
@@ -461,7 +530,7 @@ def render_markdown(documents: DataFrame) -> DataFrame:
         F.concat(F.lit("\n"), _counted("Connections", connections)),
         _each(connections, _md_connection),
         F.concat(F.lit("\n"), _counted("Tables", tables)),
-        _each(tables, lambda t: _md_table(t, readers)),
+        _each(tables, lambda t: _md_table(t["table"], t["downstream"])),
         F.lit(""),
     )
     return prepared.select("project_id", text.alias("text"))

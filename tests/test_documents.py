@@ -1,4 +1,6 @@
 import json
+import random
+import time
 
 from tessera.functions.text import slug, xml_attr
 from tessera.operators import changes, documents, rendering
@@ -181,3 +183,65 @@ def test_attribute_quoting(spark):
     values = ["a\"b", "a'b", "a\"'b", "a\n\t\r<&>"]
     df = spark.createDataFrame([(v, quoteattr(v)[1:-1]) for v in values], "v string, expected string")
     assert df.where(xml_attr(df.v) != df.expected).count() == 0
+
+
+def plain_order(connections, tables):
+    """Names of rendered tables with their readers, by plain loops."""
+    owned = [t for c in connections for t in tables if t.get("connection") == c["name"]]
+    names = {t["table_name"] for t in owned}
+    return [
+        (t["table_name"], ", ".join(r["table_name"] for r in tables for d in r["upstream"] if d["ref"] == t["table_name"]))
+        for t in owned + [t for t in tables if t["table_name"] not in names]
+    ]
+
+
+def made_tables(rng, n, names, connections):
+    return [
+        {
+            "table_name": f"t{rng.randrange(names)}",
+            "upstream": [{"ref": f"t{rng.randrange(names + 3)}"} for _ in range(rng.randrange(4))],
+            **({"connection": f"c{rng.randrange(connections + 2)}"} if rng.random() < 0.8 else {}),
+        }
+        for _ in range(n)
+    ]
+
+
+def test_order_and_readers_equal_plain_loops(spark, tmp_path):
+    """Repeated names of tables and connections, references to nothing, connections of nobody."""
+    rng = random.Random(3)
+    given = {}
+    for k in range(12):
+        connections = [{"name": f"c{rng.randrange(4)}", "engine": "e", "dsn": "d"} for _ in range(k % 5)]
+        given[f"d{k}"] = {
+            "schema_version": 1, "project": {"name": "p"}, "connections": connections,
+            "tables": made_tables(rng, 3 * k, 2 * k + 1, 4),
+        }
+    texts = rendering.render_xml(read(spark, tmp_path, **given)).collect()
+    assert len(texts) == len(given)
+    for row in texts:
+        doc = next(d for name, d in given.items() if name in row.project_id.split("/")[-1].split("."))
+        shown = []
+        for line in row.text.split("\n"):
+            if line.startswith("  <table "):
+                shown.append((line.split('"')[1], ""))
+            elif line.startswith("    <downstream>"):
+                shown[-1] = (shown[-1][0], line.strip()[len("<downstream>") : -len("</downstream>")])
+        assert shown == plain_order(doc["connections"], doc["tables"])
+
+
+def test_rendering_time_grows_with_the_tables(spark, tmp_path):
+    seconds = {}
+    for n in (1_000, 10_000):
+        connections = [{"name": f"c{k}", "engine": "e", "dsn": "d"} for k in range(n // 10)]
+        tables = made_tables(random.Random(n), n, n, n // 10)
+        doc = {"schema_version": 1, "project": {"name": "p"}, "connections": connections, "tables": tables}
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        docs = read(spark, folder, b=doc).cache()
+        docs.count()
+        rendering.render_xml(docs).collect()
+        start = time.monotonic()
+        rendering.render_xml(docs).collect()
+        seconds[n] = time.monotonic() - start
+    print(seconds)
+    assert seconds[10_000] < 25 * max(seconds[1_000], 0.2)
