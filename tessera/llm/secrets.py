@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tessera.functions.arrays import running
+from tessera.functions.sqltext import let
 from tessera.llm.common import text_of
 
 # The forms that the scan's contract names.
@@ -52,33 +54,87 @@ def _plus(array: Column, step) -> Column:
     return F.aggregate(array, F.lit(0.0), step)
 
 
-def _spans(text: Column, pattern: str, rank: int, good) -> Column:
-    """(start, rank, end) in code points of all matches; ``good`` tests the i-th (0-based)."""
+SPANS = "array<struct<start:int,rank:int,end:int>>"
+
+
+def _matches(text: Column, pattern: str) -> Column:
+    """(start, end, match) in code points of all matches, from running sums of lengths: linear in the text."""
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), 0), F.split(text, pattern, -1)
-    nothing = F.array().cast("array<struct<start:int,rank:int,end:int>>")
-    begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), nothing.alias("spans"))
+    long = F.char_length
+    # what follows the last match has no match of its own
+    parts = F.zip_with(
+        found, gaps, lambda m, gap: F.struct((long(gap) + long(m)).alias("step"), long(m).alias("n"), m.alias("match"))
+    )
+    whole = F.filter(parts, lambda m: m["match"].isNotNull())
+
+    def placed(own: Column) -> Column:
+        ends = running(own["step"], lambda one, other: one + other)
+        return F.zip_with(
+            own, ends, lambda m, end: F.struct((end - m["n"]).alias("start"), end.alias("end"), m["match"].alias("match"))
+        )
 
-    def step(acc: Column, match: Column) -> Column:
-        start = acc["at"] + F.char_length(F.get(gaps, acc["i"]))
-        end = start + F.char_length(match)
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
-        kept = F.when(good(acc["i"], match), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
-        return F.struct(end.alias("at"), (acc["i"] + 1).alias("i"), kept.alias("spans"))
+    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
+    return F.when(text.rlike(pattern), let(whole, placed)).otherwise(none)
 
-    return F.when(text.rlike(pattern), F.aggregate(found, begin, step, lambda acc: acc["spans"])).otherwise(nothing)
+
+def _spans(matches: Column, rank: int) -> Column:
+    return F.transform(
+        matches, lambda m: F.struct(m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"))
+    )
 
 
 def base_spans(text: Column) -> dict[str, Column]:
     values = F.regexp_extract_all(text, F.lit(ASSIGN), 2)
+    assigned = F.zip_with(_matches(text, ASSIGN), values, lambda m, v: F.when(F.char_length(v) >= 6, m))
     return {
-        "assign": _spans(text, ASSIGN, 0, lambda i, m: F.char_length(F.get(values, i)) >= 6),
+        "assign": F.when(
+            text.rlike(ASSIGN), _spans(F.filter(assigned, lambda m: m.isNotNull()), 0)
+        ).otherwise(F.array().cast(SPANS)),
         "access": F.when(
-            F.contains(text, F.lit("AKIA")), _spans(text, ACCESS, 1, lambda i, m: F.char_length(m) >= 20)
-        ).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int>>")),
-        "hex": _spans(text, HEX, 2, lambda i, m: F.lit(True)),
+            F.contains(text, F.lit("AKIA")),
+            _spans(F.filter(_matches(text, ACCESS), lambda m: m["end"] - m["start"] >= 20), 1),
+        ).otherwise(F.array().cast(SPANS)),
+        "hex": _spans(_matches(text, HEX), 2),
     }
 
 
+def apart(listed: Column, spans: Column) -> Column:
+    """The elements of ``listed`` (ordered by start) that overlap none of ``spans``.
+
+    Both are sorted together once: an element is apart if all spans before it have ended and the
+    next one begins behind it.
+    """
+
+    def merged(own: Column) -> Column:
+        events = F.sort_array(
+            F.concat(
+                F.transform(
+                    spans, lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("kind"), s["end"].alias("end"), F.lit(-1).alias("at"))
+                ),
+                F.transform(
+                    own, lambda c, i: F.struct(c["start"].alias("start"), F.lit(1).alias("kind"), c["end"].alias("end"), i.alias("at"))
+                ),
+            )
+        )
+
+        def swept(rows: Column) -> Column:
+            ended = running(F.transform(rows, lambda e: F.when(e["kind"] == 0, e["end"]).otherwise(0)), F.greatest)
+            begins = F.transform(rows, lambda e: F.when(e["kind"] == 0, e["start"]).otherwise((1 << 31) - 1))
+            following = F.reverse(running(F.reverse(begins), F.least))
+            free = F.zip_with(
+                F.zip_with(rows, ended, lambda e, top: F.struct(e.alias("e"), top.alias("top"))),
+                following,
+                lambda x, nxt: F.when(
+                    (x["e"]["kind"] == 1) & (x["top"] <= x["e"]["start"]) & (nxt >= x["e"]["end"]), x["e"]["at"]
+                ),
+            )
+            return F.transform(F.filter(free, lambda at: at.isNotNull()), lambda at: F.get(own, at))
+
+        return let(events, swept)
+
+    return F.when((F.size(spans) == 0) | (F.size(listed) == 0), listed).otherwise(let(listed, merged))
+
+
 def _ln_tail(z: Column) -> Column:
     """ln of the upper tail of the normal distribution; relative error of the tail below 2e-7."""
     x = F.abs(z) / math.sqrt(2)
@@ -101,21 +157,10 @@ def _chi2_ln_p(x: Column, df: int) -> Column:
 
 def tokens(text: Column) -> Column:
     """Array of (start, end, body, encoding) of all long tokens; body is without padding."""
-    found, gaps = F.regexp_extract_all(text, F.lit(TOKEN), 0), F.split(text, TOKEN, -1)
-    kind = "array<struct<start:int,end:int,token:string>>"
-    nothing = F.array().cast(kind)
-    begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), nothing.alias("list"))
-
-    def step(acc: Column, match: Column) -> Column:
-        start = acc["at"] + F.char_length(F.get(gaps, acc["i"]))
-        end = start + F.char_length(match)
-        one = F.struct(start.alias("start"), end.alias("end"), match.alias("token"))
-        return F.struct(end.alias("at"), (acc["i"] + 1).alias("i"), F.concat(acc["list"], F.array(one)).alias("list"))
-
-    listed = F.when(text.rlike(TOKEN), F.aggregate(found, begin, step, lambda acc: acc["list"])).otherwise(nothing)
+    listed = _matches(text, TOKEN)
 
     def named(c: Column) -> Column:
-        body = F.rtrim(c["token"], F.lit("="))
+        body = F.rtrim(c["match"], F.lit("="))
         encoding = F.lit(None).cast("string")
         for name, (pattern, _) in reversed(ENCODINGS.items()):
             encoding = F.when(body.rlike(pattern), F.lit(name)).otherwise(encoding)
@@ -234,15 +279,11 @@ def scan(docs: DataFrame, text: str = "text", rate: float = 1e-4, least_random:
         cell = F.least(F.floor(-ln_p_text(c, frequency) * STEP), F.lit(TOP))
         return (cell >= F.try_element_at(table, named)) & (battery(c) >= math.log(least_random))
 
-    def free(c: Column) -> Column:
-        return ~F.exists(
-            F.concat("assign", "access", "hex"), lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])
-        )
-
     if table is None:
-        random = F.array().cast("array<struct<start:int,rank:int,end:int>>")
+        random = F.array().cast(SPANS)
     else:
-        kept = F.filter(F.filter(tokens(text_of(text)), free), found)
+        spans = F.concat("assign", "access", "hex")
+        kept = F.filter(let(tokens(text_of(text)), lambda own: apart(own, spans)), found)
         random = F.transform(
             kept, lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("rank"), c["end"].alias("end"))
         )

@@ -3,6 +3,9 @@
 import hashlib
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from tessera.llm import queries, secrets
 
@@ -114,3 +117,35 @@ def test_tokens_and_padding(spark):
     texts = spark.createDataFrame([(t,) for t in want], "text string")
     rows = texts.select("text", secrets.tokens(F.col("text")).alias("t")).collect()
     assert {r.text: [(t.start, t.end, t.body) for t in r.t] for r in rows} == want
+
+
+def test_elements_apart_from_spans_equal_plain_loops(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        at, own = 0, []
+        for _ in range(rng.randrange(12)):
+            start = at + rng.randrange(6)
+            at = start + 1 + rng.randrange(8)
+            own.append((start, at))
+        spans = [(a, 0, a + 1 + rng.randrange(9)) for a in (rng.randrange(70) for _ in range(rng.randrange(8)))]
+        rows.append((i, own, spans))
+    kind = "i int, own array<struct<start:int,end:int>>, spans array<struct<start:int,rank:int,end:int>>"
+    df = spark.createDataFrame(rows, kind)
+    got = {r.i: [tuple(x) for x in r.x] for r in df.select("i", secrets.apart(F.col("own"), F.col("spans")).alias("x")).collect()}
+    assert got == {i: [c for c in own if not any(s[0] < c[1] and c[0] < s[2] for s in spans)] for i, own, spans in rows}
+
+
+def test_time_grows_with_the_matches_of_a_text(spark):
+    rng = random.Random(2)
+    seconds = {}
+    for n in (2_000, 16_000):
+        text = " ".join(f"{rng.getrandbits(128):032x} token=abcdefgh" for _ in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string").cache()
+        docs.count()
+        start = time.monotonic()
+        row = secrets.scan(docs).collect()[0]
+        seconds[n] = time.monotonic() - start
+        assert (len(row.hex), len(row.assign)) == (n, n)
+        assert {k: [(s.start, s.end) for s in row[k]] for k in KINDS} == plain(text)
+    assert seconds[16_000] < 12 * max(seconds[2_000], 2), seconds
