@@ -1,10 +1,12 @@
 """Quality rules with risk-controlled cutoffs.
 
 Each rule is a measure of a text and a cutoff above which the text is rejected.  Cutoffs are chosen
-per length stratum on one part of the labelled documents and certified on the other: tested from the
-loosest on, a cutoff stands only while the exact binomial bound on its rate of rejected good documents
-stays below the allowed risk.  The error probability is divided among all strata and rules
-(Bonferroni); within one of them the order of the tests is fixed, which needs no further correction.
+per length stratum on one part of the labelled documents and certified on the other: all rules of a
+stratum tighten together, from their loosest cutoffs to the chosen ones, and a step stands only while
+the exact binomial bound on the rate of good documents that any of the rules rejects stays below the
+allowed risk.  The error probability is divided among the strata (Bonferroni); within one of them the
+order of the tests is fixed, which needs no further correction.  What the base rules reject is given,
+not chosen, and is not counted against the risk.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 #: Upper ends of the length strata, in words; the last is open.
 STRATA = (100, 300, 1000)
+#: Steps from the loosest cutoffs to the chosen ones.
+STEPS = 40
 _RATIOS = [round(0.01 * 1.12**k, 4) for k in range(41)]
 #: Measure of a rule by name, and its cutoffs from strict to loose.
 RULES: dict[str, tuple[str, list[float]]] = {
@@ -132,20 +136,23 @@ def binomial_upper(failures: int, trials: int, error: float) -> float:
     return high
 
 
-def counted(labelled: DataFrame, key: str, label: str) -> dict[tuple, list[int]]:
-    """Labelled documents per (part, stratum, rule, label) and cutoffs passed; of fixed size.
+def halves(labelled: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Two thirds of the labelled documents to choose cutoffs on, and the rest to certify them."""
+    rows = labelled.withColumn("stratum", stratum())
+    held = remainder(key, 3) == 0
+    return rows.filter(~held), rows.filter(held)
 
-    A document's cell is the number of the rule's cutoffs that its measure exceeds.
-    """
-    rows = labelled.withColumns({"stratum": stratum(), "part": (remainder(key, 3) == 0).cast("int")})
+
+def counted(chosen_on: DataFrame, label: str) -> dict[tuple, list[int]]:
+    """Documents per (stratum, rule, label) and number of the rule's cutoffs exceeded; of fixed size."""
     cells = []
     for name, (formula, cutoffs) in RULES.items():
         value = measure_of(formula)
         cells.append(F.struct(F.lit(name).alias("rule"), passed(value, cutoffs).alias("cell")))
-    flat = rows.select("part", "stratum", F.col(label).cast("int").alias("label"), F.explode(F.array(*cells)).alias("c"))
+    flat = chosen_on.select("stratum", F.col(label).cast("int").alias("label"), F.explode(F.array(*cells)).alias("c"))
     out: dict[tuple, list[int]] = {}
-    for r in flat.groupBy("part", "stratum", "label", "c.rule", "c.cell").count().collect():
-        row = out.setdefault((r["part"], r["stratum"], r["rule"], r["label"]), [0] * (len(RULES[r["rule"]][1]) + 1))
+    for r in flat.groupBy("stratum", "label", "c.rule", "c.cell").count().collect():
+        row = out.setdefault((r["stratum"], r["rule"], r["label"]), [0] * (len(RULES[r["rule"]][1]) + 1))
         row[r["cell"]] += r["count"]
     return out
 
@@ -154,34 +161,61 @@ def passed(value: Column, cutoffs: list[float]) -> Column:
     return F.size(F.filter(F.array(*[F.lit(c) for c in cutoffs]), lambda c: value > c))
 
 
-def cutoffs(
-    counts: dict[tuple, list[int]], risk: float = 0.02, error: float = 0.05, price: float = 50.0
+def wanted(counts: dict[tuple, list[int]], price: float = 50.0) -> dict[tuple[int, str], int]:
+    """The place of the cutoff by (stratum, rule) that rejects most bad documents at ``price`` per good one.
+
+    Of equal ones the middle; a rule that is not worth its price is left out.
+    """
+    found: dict[tuple[int, str], int] = {}
+    for s in range(len(STRATA) + 1):
+        for rule, (_, grid) in RULES.items():
+            good, bad = (counts.get((s, rule, label), [0] * (len(grid) + 1)) for label in (1, 0))
+            # beyond cutoff k are the documents of more than k cells
+            value = [sum(bad[k + 1 :]) - price * sum(good[k + 1 :]) for k in range(len(grid))]
+            if max(value) > 0:
+                equal = [k for k, v in enumerate(value) if v == max(value)]
+                found[s, rule] = equal[len(equal) // 2]
+    return found
+
+
+def path(chosen: dict[tuple[int, str], int], s: int) -> dict[str, list[float]]:
+    """The cutoffs of a stratum's rules at each step, none of them ever looser than before."""
+    own = {rule: k for (t, rule), k in chosen.items() if t == s}
+    return {
+        rule: [RULES[rule][1][last - (last - k) * step // STEPS] for step in range(STEPS + 1)]
+        for rule, k in own.items()
+        for last in [len(RULES[rule][1]) - 1]
+    }
+
+
+def first_rejected(held: DataFrame, chosen: dict[tuple[int, str], int], label: str) -> dict[int, list[int]]:
+    """Good documents per stratum by the first step at which any rule rejects them; the last cell is never."""
+    first = F.lit(STEPS + 1)
+    for s in range(len(STRATA) + 1):
+        steps = [STEPS + 1 - passed(measure_of(RULES[r][0]), limits) for r, limits in path(chosen, s).items()]
+        if steps:
+            first = F.when(F.col("stratum") == s, F.least(F.lit(STEPS + 1), *steps)).otherwise(first)
+    out: dict[int, list[int]] = {}
+    good = held.filter(F.col(label).cast("int") == 1).select("stratum", first.cast("int").alias("step"))
+    for r in good.groupBy("stratum", "step").count().collect():
+        out.setdefault(r["stratum"], [0] * (STEPS + 2))[r["step"]] += r["count"]
+    return out
+
+
+def certified(
+    chosen: dict[tuple[int, str], int], rejected: dict[int, list[int]], risk: float = 0.02, error: float = 0.05
 ) -> dict[tuple[int, str], float]:
-    """Certified cutoffs by (stratum, rule); a rule without one rejects nothing in that stratum.
+    """Cutoffs by (stratum, rule) at the last step that stands; without one a stratum's rules reject nothing.
 
-    Wanted is the cutoff that rejects most bad documents at ``price`` per good one; of equal ones the
-    middle.  With probability 1 - ``error`` no certified cutoff rejects more than ``risk`` of the good.
+    With probability 1 - ``error``, no stratum's rules together reject more than ``risk`` of its good documents.
     """
     found: dict[tuple[int, str], float] = {}
-    tests = (len(STRATA) + 1) * len(RULES)
     for s in range(len(STRATA) + 1):
-        for rule, (_, grid) in RULES.items():
-            rejected = {}
-            for part in (0, 1):
-                for label in (0, 1):
-                    cells = counts.get((part, s, rule, label), [0] * (len(grid) + 1))
-                    # beyond cutoff k are the documents of more than k cells
-                    rejected[part, label] = [sum(cells[k + 1 :]) for k in range(len(grid))]
-                    rejected[part, label].append(sum(cells))
-            value = [b - price * g for b, g in zip(rejected[0, 0], rejected[0, 1], strict=True)][:-1]
-            if max(value) <= 0:
-                continue
-            equal = [k for k, v in enumerate(value) if v == max(value)]
-            wanted = equal[len(equal) // 2]
-            for k in range(len(grid) - 1, wanted - 1, -1):
-                if binomial_upper(rejected[1, 1][k], rejected[1, 1][-1], error / tests) > risk:
-                    break
-                found[s, rule] = grid[k]
+        cells = rejected.get(s, [0] * (STEPS + 2))
+        for step in range(STEPS + 1):
+            if binomial_upper(sum(cells[: step + 1]), sum(cells), error / (len(STRATA) + 1)) > risk:
+                break
+            found.update({(s, rule): limits[step] for rule, limits in path(chosen, s).items()})
     return found
 
 
@@ -213,4 +247,6 @@ def rated(
     rows = checkpointed(measured(docs.drop("base_failed", "rules", "kept"), text).drop(text))
     good = labels.filter(F.col(label).isNotNull()).groupBy(key).agg(F.min(label).alias("__label"))
     labelled = rows.select(key, *BASE, *MORE).join(good, key)
-    return verdict(rows, cutoffs(counted(labelled, key, "__label"), risk))
+    chosen_on, held = halves(labelled, key)
+    chosen = wanted(counted(chosen_on, "__label"))
+    return verdict(rows, certified(chosen, first_rejected(held, chosen, "__label"), risk))

@@ -44,36 +44,99 @@ def test_bound_at_the_ends():
     assert quality.binomial_upper(0, 10, 0.05) == pytest.approx(1 - 0.05**0.1)
 
 
-def table_of(good_cells, bad_cells):
-    size = len(quality.RULES["symbols"][1]) + 1
-    pad = lambda cells: [cells.get(k, 0) for k in range(size)]
-    return {(part, 1, "symbols", label): pad(cells) for part in (0, 1) for label, cells in ((1, good_cells), (0, bad_cells))}
+def cells_of(rule, cells):
+    return [cells.get(k, 0) for k in range(len(quality.RULES[rule][1]) + 1)]
 
 
-def test_only_certified_cutoffs_stand():
-    assert set(quality.cutoffs(table_of({0: 2000}, {40: 200}))) == {(1, "symbols")}
-    assert quality.cutoffs(table_of({0: 100}, {40: 200})) == {}  # too few labels for the bound
-    assert quality.cutoffs(table_of({0: 2000, 40: 100}, {40: 200})) == {}  # no cutoff is worth its price
-    assert quality.cutoffs({}) == {}
+def test_cutoffs_worth_their_price():
+    def counts(good):
+        return {(1, "symbols", 1): cells_of("symbols", good), (1, "symbols", 0): cells_of("symbols", {40: 200})}
 
+    assert quality.wanted(counts({0: 2000})) == {(1, "symbols"): 20}
+    assert quality.wanted(counts({0: 2000, 40: 100})) == {}
+    assert quality.wanted({}) == {}
 
-def test_certified_risk_holds_on_fresh_documents():
+
+def test_paths_only_tighten():
+    chosen = {(2, "symbols"): 7, (2, "upper"): 40, (1, "repeats"): 0}
+    assert set(quality.path(chosen, 2)) == {"symbols", "upper"} and quality.path(chosen, 0) == {}
+    for s in (1, 2):
+        for rule, limits in quality.path(chosen, s).items():
+            assert limits == sorted(limits, reverse=True)
+            assert limits[0] == quality.RULES[rule][1][-1] and limits[-1] == quality.RULES[rule][1][chosen[s, rule]]
+
+
+def test_only_certified_steps_stand():
+    chosen = {(1, "symbols"): 3, (1, "upper"): 4}
+    never = quality.STEPS + 1
+
+    def rejected(cells):
+        return {1: [cells.get(k, 0) for k in range(never + 1)]}
+
+    whole = quality.certified(chosen, rejected({never: 2000}))
+    assert whole == {(1, "symbols"): quality.RULES["symbols"][1][3], (1, "upper"): quality.RULES["upper"][1][4]}
+    assert quality.certified(chosen, rejected({never: 100})) == {}  # too few labels for the bound
+    assert quality.certified(chosen, rejected({0: 100, never: 2000})) == {}
+    some = quality.certified(chosen, rejected({10: 100, never: 2000}))
+    assert some == {(1, rule): limits[9] for rule, limits in quality.path(chosen, 1).items()}
+    assert quality.certified(chosen, {}) == {} == quality.certified({}, rejected({never: 2000}))
+
+
+def test_certified_risk_of_all_rules_together_holds_on_fresh_documents():
+    """Six independent rules in one stratum; the risk is that of their union."""
     rng = random.Random(6)
-    grid, over = quality.RULES["symbols"][1], 0
-    for _ in range(60):
+
+    def cell(rule, shift):
+        return max(0, min(len(quality.RULES[rule][1]), int(rng.gauss(shift, 5))))
+
+    over = certificates = 0
+    for _ in range(40):
         counts = {}
-        for part in (0, 1):
-            for label, shift in ((1, 8), (0, 20)):
-                cells = [0] * (len(grid) + 1)
-                for _ in range(900):
-                    cells[max(0, min(len(grid), int(rng.gauss(shift, 4))))] += 1
-                counts[part, 0, "symbols", label] = cells
-        found = quality.cutoffs(counts, price=1.0)
+        for rule in quality.RULES:
+            for label, shift in ((1, 8), (0, 22)):
+                counts[0, rule, label] = [0] * (len(quality.RULES[rule][1]) + 1)
+                for _ in range(600):
+                    counts[0, rule, label][cell(rule, shift)] += 1
+        chosen = quality.wanted(counts, price=1.0)
+        paths = quality.path(chosen, 0)
+
+        def first(cells, paths=paths):
+            steps = [
+                sum(quality.RULES[r][1].index(limit) >= cells[r] for limit in limits) for r, limits in paths.items()
+            ]
+            return min(steps)
+
+        held = [0] * (quality.STEPS + 2)
+        for _ in range(1500):
+            held[first({r: cell(r, 8) for r in quality.RULES})] += 1
+        found = quality.certified(chosen, {0: held})
         if found:
-            k = grid.index(found[0, "symbols"])
-            fresh = [max(0, min(len(grid), int(rng.gauss(8, 4)))) for _ in range(5000)]
-            over += sum(c > k for c in fresh) / 5000 > 0.03
-    assert over <= 2
+            certificates += 1
+            places = {r: quality.RULES[r][1].index(limit) for (_, r), limit in found.items()}
+            fresh = [{r: cell(r, 8) for r in places} for _ in range(2000)]
+            over += sum(any(d[r] > k for r, k in places.items()) for d in fresh) / 2000 > 0.03
+    assert certificates > 20 and over <= 2
+
+
+def test_first_rejected_equals_plain_loops(spark):
+    rng = random.Random(4)
+    names = (*quality.BASE, *quality.MORE)
+    rows = [
+        (i, rng.randrange(2), *[rng.randrange(1, 1500 if n in ("n_words", "word_chars") else 300) for n in names])
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, label int, " + ", ".join(f"{n} long" for n in names))
+    chosen = {(s, rule): (5 * s + k) % 40 for s in range(4) for k, rule in enumerate(quality.RULES) if (s + k) % 3}
+    got = quality.first_rejected(df.withColumn("stratum", quality.stratum()), chosen, "label")
+    expected = {}
+    for _, label, *values in rows:
+        if label == 1:
+            d = dict(zip(names, values, strict=True))
+            s = sum(d["n_words"] >= limit for limit in quality.STRATA)
+            limits = quality.path(chosen, s)
+            bad = (t for t in range(quality.STEPS + 1) if any(eval(quality.RULES[r][0], {}, d) > c[t] for r, c in limits.items()))
+            expected.setdefault(s, [0] * (quality.STEPS + 2))[next(bad, quality.STEPS + 1)] += 1
+    assert got == expected
 
 
 def test_query_on_its_table(spark):
