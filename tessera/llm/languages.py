@@ -20,8 +20,10 @@ from tessera.llm.common import SLICE, map_arrow, texts_of
 
 #: Cells of a language's table of hashed trigrams.
 CELLS = 1 << 17
-#: Trigrams of a run, rounds of EM, and the most languages of a chosen set.
-RUN, ROUNDS, MOST = 48, 12, 4
+#: Trigrams of a run, and rounds of EM.
+RUN, ROUNDS = 48, 12
+#: A text's set of languages grows until so many larger sets in a row were no better.
+PATIENCE = 3
 #: Overlapping trigrams see every character three times; the penalty counts it once.
 OVERLAP = 3
 MOST_LANGUAGES = 512
@@ -57,18 +59,26 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return cells[inside], np.r_[0, np.cumsum(counts)], has
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = 20_000) -> tuple[list[str], np.ndarray]:
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = 5_000) -> tuple[list[str], np.ndarray]:
     """Languages in order and their log-probabilities per cell, from rows with a language.
 
-    About ``sample`` rows at most are used, chosen by a hash of the text; the tables have a fixed size
-    per language, and more than 512 languages are refused.  Counts are smoothed by a half.
+    About ``sample`` rows of each language at most are used, chosen by a hash of the text, and all rows of
+    rarer languages; the text of the least hash is always among them, so no language is left without a table.
+    Tables have a fixed size per language, and more than 512 languages are refused.  Counts are smoothed by a half.
     """
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
-    n = rows.count()
-    share = min(1.0, sample / max(1, n))
-    picked = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least"))
+    sizes = sizes.limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages; their tables are sent to the workers")
+    if not sizes:
+        return [], np.zeros((0, CELLS), np.float32)
+    last = {r["lang"]: max(r["least"], int(min(1.0, sample / r["n"]) * (1 << 40))) for r in sizes}
+    limits = F.create_map(*[F.lit(x) for pair in last.items() for x in pair])
+    picked = rows.filter(place <= limits[F.col("lang")])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -87,15 +97,14 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
         for batch in batches:
             for name, data in zip(batch.column("lang").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 total[name] = total.get(name, 0) + np.frombuffer(data, np.int64)
-        yield from _packed(total)
+        # half the bytes of counts, which the driver holds for all languages
+        smooth = ((name, counts + 0.5) for name, counts in total.items())
+        yield from _packed({name: np.log(c / c.sum()).astype(np.float32) for name, c in smooth})
 
     kind = "lang string, counts binary"
     tables = picked.mapInArrow(counted, kind).repartition("lang").mapInArrow(added, kind).collect()
-    if len(tables) > MOST_LANGUAGES:
-        raise ValueError(f"{len(tables)} languages; at most {MOST_LANGUAGES} tables are sent to the workers")
     tables = sorted(tables, key=lambda r: r["lang"])
-    counts = np.array([np.frombuffer(r["counts"], np.int64) for r in tables], float).reshape(len(tables), CELLS) + 0.5
-    return [r["lang"] for r in tables], np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+    return [r["lang"] for r in tables], np.stack([np.frombuffer(r["counts"], np.float32) for r in tables])
 
 
 def _packed(total: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -145,15 +154,22 @@ def mixtures(texts: list[str], log_p: np.ndarray) -> np.ndarray:
     offset = _sum_by(base, starts)
     full, _ = _em(gain, starts, owner, np.ones((len(per_text), languages)))
     order = np.argsort(-full, axis=1, kind="stable")
-    best, chosen = np.full(len(per_text), -np.inf), full
-    for size in range(1, min(MOST, languages) + 1):
-        allowed = np.zeros_like(full)
-        np.put_along_axis(allowed, order[:, :size], 1.0, axis=1)
-        share, likelihood = _em(gain, starts, owner, allowed)
-        value = likelihood + offset - OVERLAP * (size - 1) / 2 * np.log(np.maximum(2, counts[with_runs]))
-        better = value > best
-        best = np.where(better, value, best)
-        chosen = np.where(better[:, None], share, chosen)
+    best, chosen = np.full(len(per_text), -np.inf), full.copy()
+    best_size = np.ones(len(per_text), int)
+    for size in range(1, languages + 1):
+        # only texts whose set still grows go on
+        on = np.flatnonzero(best_size >= size - PATIENCE)
+        if not len(on):
+            break
+        lengths = per_text[on]
+        of_on = gain if len(on) == len(per_text) else gain[np.isin(owner, on)]
+        allowed = np.zeros((len(on), languages))
+        np.put_along_axis(allowed, order[on, :size], 1.0, axis=1)
+        share, likelihood = _em(of_on, np.r_[0, np.cumsum(lengths)[:-1]], np.repeat(np.arange(len(on)), lengths), allowed)
+        value = likelihood + offset[on] - OVERLAP * (size - 1) / 2 * np.log(np.maximum(2, counts[with_runs][on]))
+        better = value > best[on]
+        best[on[better]], best_size[on[better]] = value[better], size
+        chosen[on[better]] = share[better]
     out[with_runs] = chosen
     out[~has] = 0
     return out

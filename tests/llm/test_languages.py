@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from tessera.llm import languages, queries
 
@@ -45,6 +46,37 @@ def test_proportions(spark):
     assert np.allclose(languages.mixtures([half], log_p)[0], got[1])
 
 
+def test_a_set_takes_any_number_of_languages():
+    rng = np.random.default_rng(5)
+    letters = [np.array(list("abcdefghijklmnopqrstuvwxyz"))[rng.permutation(26)[:6]] for _ in range(7)]
+    texts = [" ".join("".join(rng.choice(own, 5)) for _ in range(300)) for own in letters]
+    counts = np.array([np.bincount(languages.trigrams([t])[0], minlength=languages.CELLS) for t in texts]) + 0.5
+    log_p = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+    got = languages.mixtures([" ".join(texts), texts[3]], log_p)
+    assert got[0].min() > 0.08 and abs(got[0].sum() - 1) < 1e-9
+    assert got[1][3] == 1
+    # beside a text that goes on, another one's result is its own
+    assert np.allclose(languages.mixtures([texts[3]], log_p)[0], got[1])
+
+
+def test_rare_languages_keep_their_rows(spark):
+    rows = [(text("aa", 5, i), "aa") for i in range(400)] + [(text("bb", 60, i), "bb") for i in range(3)]
+    rows += [("ción llaña que rra", "cc")] * 300
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    names, log_p = languages.learn(docs, sample=20)
+    assert names == ["aa", "bb", "cc"]
+    # all rows of the rare one count, some of the frequent ones
+    assert np.allclose(log_p[1], languages.learn(docs.filter("lang = 'bb'"))[1][0])
+    assert not np.allclose(log_p[0], languages.learn(docs.filter("lang = 'aa'"))[1][0])
+    assert languages.mixtures(["ción llaña que rra"], log_p)[0][2] == 1
+
+
+def test_too_many_languages_are_refused_before_any_table(spark):
+    many = spark.range(600).selectExpr("'the and' AS text", "cast(id AS string) AS lang")
+    with pytest.raises(ValueError):
+        languages.learn(many)
+
+
 def test_rows_and_columns(spark):
     docs = spark.createDataFrame(
         [(1, text("cc", 50, 1), 0.1), (2, None, 0.1), (3, "42 !", 0.1), (None, "the and", 0.1), (1, text("cc", 50, 1), 0.1)],
