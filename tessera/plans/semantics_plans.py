@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import history, keys, measures, quality
+from tessera.operators import history, keys, measures, quality, sketches
 from tessera.operators.declared import ColumnHint, Measure, Relationship, Scd
 from tessera.plans.registry import query, table, text
+from tessera.sources.checkpoints import working_folder
 
 NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -394,6 +395,34 @@ def profile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.profile_approx(_profiled(spark, sf_dir), _PROFILED).drop("n_distinct")
 
 
+_NUMBERS = ("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null,"
+        f" count(DISTINCT {c}) AS n_distinct, true AS distinct_within, '{'true' if c in _NUMBERS else ''}' AS quartiles_within"
+        f" FROM (SELECT *, {_MAYBE} AS maybe FROM orders)"
+        for c in _PROFILED
+    )
+)
+def profile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches per month, stored and merged; the exact values lie inside the bounds they state."""
+    rows = _profiled(spark, sf_dir)
+    stored = working_folder(spark, "profile-parts")
+    months = rows.withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    sketches.sketch_profile(months, _PROFILED, ["month"]).write.parquet(stored)
+    read = sketches.estimates(sketches.merge_profiles(spark.read.parquet(stored)))
+    held = sketches.ranks(rows, read, _NUMBERS).groupBy("column_name").agg(F.every("within").alias("quartiles_within"))
+    exact = quality.profile(rows, _PROFILED).select("column_name", F.col("n_distinct").alias("exact"))
+    inside = F.col("exact").between(F.col("n_distinct_low"), F.col("n_distinct_high"))
+    return (
+        read.join(exact, "column_name").join(held, "column_name", "left")
+        .select("column_name", "n_rows", "n_null", F.col("exact").alias("n_distinct"),
+                inside.alias("distinct_within"), text("quartiles_within"))
+    )
+
+
 @query(
     """
 SELECT 'events' AS table_name, 'daily' AS cadence, max(ts)::VARCHAR AS newest,
