@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import catalog, changes, discovery, documents, drift, keys
 from tessera.plans.registry import query, table, text
 from tessera.plans.semantics_plans import NAMES
-from tessera.sources import corpus, projects
+from tessera.sources import corpus, mined, projects
 from tessera.sources.checkpoints import working_folder
 
 _DESCRIBED = "', '".join(NAMES)
@@ -90,6 +90,55 @@ def stored_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.read_edges_of(spark, folder, "STG", "Fact_7").select("id")
 
 
+_VERSIONS_SQL = """
+WITH j AS (SELECT o_custkey % 50 AS a, o_orderkey % 997 AS b, o_orderkey % 3 AS folder, o_orderkey AS k FROM orders),
+held AS (
+  SELECT v.version, j.a, j.b FROM j JOIN (VALUES (0, 0), (0, 1), (1, 1), (1, 2), (2, 1), (3, 1), (3, 0)) v(version, folder)
+    ON v.folder = j.folder
+  UNION ALL
+  SELECT 2, a, b + 1000 FROM j WHERE folder = 2)"""
+
+
+def _folder_of_files(rows: DataFrame, path: str, shift: int = 0) -> None:
+    """Replace a folder by files of one statement a line."""
+    b = (F.col("o_orderkey") % 997 + shift).cast("string")
+    dim = F.concat(F.lit("dim_"), b)
+    sql = F.concat(
+        F.lit("select * from fact_"), (F.col("o_custkey") % 50).cast("string"), F.lit(" f join "), dim,
+        F.lit(" d on f."), dim, F.lit("_id = d.id;"),
+    )
+    lines = rows.select(sql.alias("sql"))
+    lines.write.mode("overwrite").options(extension="sql", quote="", sep="\x01", maxRecordsPerFile=1000).csv(path)
+
+
+@query(
+    _VERSIONS_SQL
+    + """
+SELECT DISTINCT version, '.dim_' || b || '.id|.fact_' || a || '.dim_' || b || '_id' AS id FROM held"""
+)
+def edge_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of a corpus over four versions: a folder goes and one comes, one is rewritten, one goes and one comes back."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    part = [orders.where(F.col("o_orderkey") % 3 == i) for i in range(3)]
+    root = working_folder(spark, "versions")
+    # a version of the corpus is one folder with a folder of each part
+    store = mined.mined_buckets(f"{root}/state", 16)
+    mined.begin(spark, store)
+    versions = []
+    steps: list[list[tuple[int, int | None]]] = [[(0, 0), (1, 0)], [(0, None), (2, 0)], [(2, 1000)], [(2, None), (0, 0)]]
+    for version, step in enumerate(steps):
+        for i, shift in step:
+            # a folder that goes keeps no files
+            _folder_of_files(part[i].limit(0) if shift is None else part[i], f"{root}/sql/{i}", shift or 0)
+        mined.update(spark, store, f"{root}/sql", version)
+        edges = mined.edges_of(spark, store, version).select(F.lit(version).alias("version"), "id")
+        # older versions do not stay
+        path = f"{root}/edges/{version}"
+        edges.write.parquet(path)
+        versions.append(path)
+    return spark.read.parquet(*versions)
+
+
 # -- project files ---------------------------------------------------------------
 
 

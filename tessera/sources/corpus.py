@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,26 +42,47 @@ def _qualified(spark: SparkSession, root: str) -> str:
     return fs.makeQualified(path).toUri().getPath().rstrip("/") + "/"
 
 
-def read_sql_corpus(spark: SparkSession, root: str, also_ignored: Sequence[str] = ()) -> DataFrame:
+def _relative(base: str) -> Column:
+    path = decoded_path(F.col("_metadata.file_path"))
+    return F.substring(path, F.locate(base, path) + F.lit(len(base)), F.length(path)).alias("file")
+
+
+def read_sql_corpus(
+    spark: SparkSession, root: str, also_ignored: Sequence[str] = (), modified_after: datetime | None = None
+) -> DataFrame:
     """``(file, sql)`` of every ``.sql`` file below the folder ``root``, suffix in any case.
 
-    Paths are relative to ``root``; bytes that are no UTF-8 become U+FFFD.
+    Paths are relative to ``root``; bytes that are no UTF-8 become U+FFFD.  ``modified_after``, a time
+    in UTC, leaves out files that are no newer, before they are read.
     """
     base = _qualified(spark, root)
-    path = decoded_path(F.col("_metadata.file_path"))
-    raw = (
+    reader = (
         spark.read.option("wholetext", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.[sS][qQ][lL]")
-        .text(root)
-        .select(
-            F.substring(path, F.locate(base, path) + F.lit(len(base)), F.length(path)).alias("file"),
-            F.make_valid_utf8("value").alias("sql"),
-        )
     )
+    if modified_after is not None:
+        reader = reader.options(modifiedAfter=modified_after.strftime("%Y-%m-%dT%H:%M:%S"), timeZone="UTC")
+    raw = reader.text(root).select(_relative(base), F.make_valid_utf8("value").alias("sql"))
     return visible(raw, also_ignored)
 
 
+def list_sql_corpus(spark: SparkSession, root: str, also_ignored: Sequence[str] = ()) -> DataFrame:
+    """``(file, length, modified)`` of the same files, from the listing: no text is read.
+
+    ``modified`` is in microseconds; files without a byte are not listed.
+    """
+    base = _qualified(spark, root)
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.[sS][qQ][lL]")
+        .load(root)
+        .select(_relative(base), "length", F.unix_micros("modificationTime").alias("modified"))
+    )
+    return visible(listed, also_ignored)
+
+
 def write_edge_store(edges_by_table: DataFrame, path: str, buckets: int = 64, fmt: str = "parquet") -> None:
     """One directory per hash bucket of the table key; readers prune by bucket."""
     (
