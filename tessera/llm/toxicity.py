@@ -29,7 +29,10 @@ from tessera.llm.common import SLICE, map_arrow, texts_of, written
 
 # Word lists of the grammar, in four languages: addressed persons, negations, reporting words, threats.
 TARGET = frozenset("you your youre u thou du dich dir euch ihr dein tu te toi vous ton ti vosotros usted vuestro".split())
-NEGATION = frozenset("not no never isnt arent wasnt dont nicht kein keine nie pas jamais aucun nunca ningún tampoco".split())
+NEGATION = frozenset(
+    "not no never cannot isnt arent wasnt werent dont doesnt didnt cant wont couldnt wouldnt shouldnt hasnt havent hadnt "
+    "nicht kein keine nie pas jamais aucun nunca ningún tampoco".split()
+)
 REPORTED = frozenset(
     "said says told wrote claimed quoted quote reported sagte schrieb behauptete dit écrit déclaré dijo escribió afirmó".split()
 )
@@ -37,7 +40,9 @@ THREAT = frozenset("kill hurt destroy beat punch stab shoot töte schlage tuer f
 #: Insults the grammar knows before it has learned any, with their weight.
 INSULTS = dict.fromkeys("idiot moron stupid scum loser trash worthless pathetic disgusting clown imbecile".split(), 2.0)
 
-TOKEN = re.compile(r"\w+|[.!?;:,\n]")
+#: A word that ends in n't is one token, which negates.
+TOKEN = re.compile(r"\w+n['’]t(?!\w)|\w+|[.!?;:,\n]")
+APOSTROPHES = frozenset("'’")
 #: Entries of a worker's tables before they are given on or forgotten.
 HELD = 50_000
 END = frozenset(".!?;:,\n")
@@ -49,6 +54,10 @@ CONTEXTS = ("bare", "aimed", "negated", "reported")
 PRIOR = {"bare": 1.0, "aimed": 1.5, "negated": 0.4, "reported": 0.5}
 
 
+def _contracted(word: str) -> bool:
+    return word[-2:-1] in APOSTROPHES
+
+
 class Transducer:
     """A deterministic transducer: (state, symbol) to (state, output); unknown symbols keep the state."""
 
@@ -118,7 +127,7 @@ class Scorer:
         found = self.known.get(word)
         if found is None:
             m = self.model
-            found = m.insults.get(word, 0.0) or max((m.stems.get(word[:k], 0.0) for k in STEMS if len(word) > k), default=0.0)
+            found = 0.0 if _contracted(word) else m.insults.get(word, 0.0) or max((m.stems.get(word[:k], 0.0) for k in STEMS if len(word) > k), default=0.0)
             if len(self.known) > HELD:
                 self.known.clear()
             self.known[word] = found
@@ -135,7 +144,7 @@ class Scorer:
             symbol = (
                 "insult" if w else "threat" if word in THREAT else
                 ("sentence" if word in STOP else "clause") if word in END else
-                "target" if word in TARGET else "negation" if word in NEGATION else
+                "target" if word in TARGET else "negation" if word in NEGATION or _contracted(word) else
                 "reported" if word in REPORTED else "other"
             )
             state, out = step(state, symbol)
@@ -153,7 +162,7 @@ class Scorer:
 
 def _features(text: str) -> set[str]:
     """Words as they are, stems with a leading '^'."""
-    words = {w for w in TOKEN.findall(text.lower()) if len(w) > 2}
+    words = {w for w in TOKEN.findall(text.lower()) if len(w) > 2 and not _contracted(w)}
     return words | {"^" + w[:k] for w in words for k in STEMS if len(w) > k}
 
 

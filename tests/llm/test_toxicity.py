@@ -21,6 +21,19 @@ def test_clauses_decide():
     assert contexts("idiotic words only") == []
 
 
+def test_contractions_negate():
+    for text in ("You aren't stupid.", "you arent stupid", "You don’t look stupid", "YOU DIDN'T seem stupid", "you cannot be stupid"):
+        assert contexts(text) == [("stupid", "negated")], text
+    # an apostrophe elsewhere parts words, as in l'idiot
+    assert contexts("You're stupid") == [("stupid", "aimed")]
+    assert contexts("tu es l'idiot") == [("idiot", "aimed")]
+    assert toxicity.TOKEN.findall("ain't n't don'ts t' 't") == ["ain't", "n", "t", "don", "ts", "t", "t"]
+    # a contraction is never learned nor weighed as an insult
+    assert toxicity._features("don't") == set()
+    model = toxicity.Model(stems={"stup": 3.0})
+    assert toxicity.Scorer(model).weight("stupn't") == 0 and toxicity.Scorer(model).weight("stupor") == 3
+
+
 def test_negation_and_report_lower_the_score():
     scorer = toxicity.Scorer(toxicity.Model())
     score = lambda text: scorer.score(scorer.matches(text))
