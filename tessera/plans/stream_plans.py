@@ -21,10 +21,14 @@ ARRIVALS = (0, 1, 2, 2, 3, 4)
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    schema = table(spark, sf_dir, name).schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-    )
+    """A given table as a stream, whether it is one file or a folder of files."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory():
+        return reader.parquet(path)
+    # a stream reads folders
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 @query(

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import changes as ops
 from tessera.operators import querylog
+from tessera.plans import registry, stream_plans
 from tessera.sources import snapshots
 from tessera.sources.buckets import Buckets
 from tessera.streaming import changes, logs
@@ -132,3 +133,15 @@ def test_another_number_of_buckets_is_refused(spark, tmp_path):
     Buckets(str(tmp_path), keys, count=4).begin(spark.createDataFrame([("p", 0, "t", "d", False)], STATE))
     with pytest.raises(ValueError, match="number of buckets"):
         Buckets(str(tmp_path), keys, count=5).read(spark, -1)
+
+
+def test_the_glossary_stream_reads_a_table_of_several_files(spark, tmp_path):
+    given = "/root/testdata/sf0.001"
+    for name in ("benchmark", "conversations"):
+        rows = registry.table(spark, given, name)
+        rows.repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    def found(folder):
+        return sorted(map(tuple, stream_plans.upsert_glossary_stream(spark, folder).collect()))
+
+    assert found(str(tmp_path)) == found(given)
