@@ -1,9 +1,11 @@
 """Join discovery over a corpus of SQL text.
 
-``extract_joins`` works row by row inside the scan stage.  Edges, occurrences and
-the index by table are relational tables with one row per fact; no operator
-gathers the occurrences of an edge into a list, because a popular edge may own a
-large share of the whole corpus.
+Cutting and reading SQL is by far the costliest step, and corpora repeat themselves.
+So each distinct text of a corpus with repeats is cut once, and each distinct statement
+is read once; what was found is looked up again by text and by statement.  Edges,
+occurrences and the index by table are relational tables with one row per fact; no
+operator gathers the occurrences of an edge into a list, because a popular edge may own
+a large share of the whole corpus.  A corpus has one row per file.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import sqltext as sx
+from tessera.sources.checkpoints import stored
 
 #: order in which joins count as "seen first"
 SEEN = ["file", "stmt_no", "scope_no", "join_no"]
@@ -149,13 +152,55 @@ def _scopes(statements: DataFrame) -> DataFrame:
     )
 
 
+def _spread(rows: DataFrame, key: str) -> DataFrame:
+    """Few small rows with much work in each, dealt to all cores whatever their size."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def _texts(corpus: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``(file, sql)`` of the texts to cut, and ``(file, text)`` of the files that they stand for.
+
+    Where texts repeat, ``file`` of the first is a number of the text; else texts are
+    files, and the second is None.  The estimate only decides on the way taken.  The corpus
+    itself is read, or made, once.
+    """
+    joined = _with_join(stored(corpus.select("file", "sql"), "corpus"), "sql")
+    n, distinct = joined.agg(F.count("*"), F.approx_count_distinct(F.xxhash64("sql"))).first()
+    if 2 * distinct > n:
+        return joined, None
+    numbered = joined.select("sql").distinct().withColumn("file", F.monotonically_increasing_id())
+    texts = stored(numbered.select("file", "sql"), "distinct-texts")
+    files = joined.join(texts.withColumnRenamed("file", "text"), "sql").select("file", "text")
+    return _spread(texts, "file"), files
+
+
+def _joins_of(texts: DataFrame) -> DataFrame:
+    """Joins of ``(file, sql)``, each distinct statement read once."""
+    cut = stored(_with_join(split_statements(texts), "statement"), "statements")
+    distinct = _spread(cut.select("statement").distinct(), "statement")
+    read = _read(distinct.select(F.col("statement").alias("file"), F.lit(0).alias("stmt_no"), "statement"))
+    read = stored(read.drop("stmt_no").withColumnRenamed("file", "statement"), "statement-joins")
+    rest = [c for c in read.columns if c != "statement"]
+    return cut.join(read, "statement").select("file", "stmt_no", *rest)
+
+
 def extract_joins(corpus: DataFrame) -> DataFrame:
     """``(file, sql)`` -> one row per JOIN with a column equality in its ON.
 
     Columns: ``file, stmt_no, scope_no, join_no, kind, right_schema, right_table,
-    right_alias, on_text, clause_text, equalities``; an equality is
-    ``struct(left, right)`` of ``struct(schema, table, column)``.  No shuffle.
+    right_alias, on_text, equalities, clause_text``; an equality is
+    ``struct(left, right)`` of ``struct(schema, table, column)``.
     """
+    texts, files = _texts(corpus)
+    joins = _joins_of(texts)
+    if files is None:
+        return joins
+    joins = stored(joins, "text-joins").withColumnRenamed("file", "text")
+    return files.join(joins, "text").drop("text")
+
+
+def _read(statements: DataFrame) -> DataFrame:
+    """Joins of ``(file, stmt_no, statement)``, row by row."""
 
     def join_of(names: Column, item: Column, i: Column, on: Column) -> Column:
         def described(on: Column) -> Column:
@@ -189,7 +234,7 @@ def extract_joins(corpus: DataFrame) -> DataFrame:
         lambda j: F.size(j["equalities"]) > 0,
     )
     named = (
-        _scopes(_with_join(split_statements(_with_join(corpus, "sql")), "statement"))
+        _scopes(statements)
         .select("file", "stmt_no", "scope_no", F.explode(joins).alias("_j"))
         .select("file", "stmt_no", "scope_no", "_j.*")
     )
@@ -262,24 +307,35 @@ def occurrences(usable: DataFrame) -> DataFrame:
     )
 
 
-def edges(found: DataFrame) -> DataFrame:
-    """One row per edge from occurrences: orientation and extras of the first join seen."""
+def _edges(found: DataFrame, times: Column) -> DataFrame:
     first = F.struct("left", "right", "extra")
     return (
         found.groupBy("id")
         .agg(
             F.min_by(first, F.struct(*SEEN)).alias("_first"),
-            F.count("*").alias("n_occurrences"),
+            F.sum(times).alias("n_occurrences"),
             F.min("file").alias("first_file"),
         )
         .select("id", "_first.*", "n_occurrences", "first_file")
     )
 
 
+def edges(found: DataFrame) -> DataFrame:
+    """One row per edge from occurrences: orientation and extras of the first join seen."""
+    return _edges(found, F.lit(1))
+
+
 def discover(corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(edges, occurrences)`` of a corpus."""
-    found = occurrences(usable_joins(extract_joins(corpus)))
-    return edges(found), found
+    texts, files = _texts(corpus)
+    found = occurrences(usable_joins(_joins_of(texts)))
+    if files is None:
+        return edges(found), found
+    # a text holds the same occurrences in each of its files, and the first file has the first one
+    per_text = stored(found, "text-occurrences").withColumnRenamed("file", "text")
+    held = files.groupBy("text").agg(F.count("*").alias("_files"), F.min("file").alias("file"))
+    everywhere = files.join(per_text, "text").select(*found.columns)
+    return _edges(per_text.join(held, "text"), F.col("_files")), everywhere
 
 
 def table_key(end: Column) -> Column:

@@ -34,3 +34,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows computed once, as a table in the shared folder; its size is known to later joins."""
+    path = working_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

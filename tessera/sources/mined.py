@@ -32,7 +32,7 @@ def _file_rows(texts: DataFrame) -> DataFrame:
 
 def _state_rows(texts: DataFrame) -> DataFrame:
     """State rows of ``(file, length, modified, sql)``: each file's own, and its occurrences."""
-    seen = discovery.occurrences(discovery.usable_joins(discovery.extract_joins(texts.select("file", "sql"))))
+    _, seen = discovery.discover(texts.select("file", "sql"))
     found = F.struct(*[c for c in seen.columns if c != "file"]).alias("found")
     return _file_rows(texts).unionByName(seen.select("file", found), allowMissingColumns=True)
 

@@ -207,3 +207,31 @@ def test_conditions_at_the_end_close_the_innermost_join(spark):
         ("comma.sql", "JOIN", "b", "a.i = b.i"),
         ("using.sql", "JOIN", "d", "c.k = d.k"), ("using.sql", "JOIN", "c", "a.j = c.j"),
     }
+
+
+def test_repeated_texts_and_statements_are_read_once(spark, monkeypatch):
+    texts = [f"select 1 from a join b{i} on a.i = b{i}.i" for i in range(3)]
+    rows = [(f"{n:03}.sql", texts[n % 3]) for n in range(60)]
+    bundles = [(f"{n}.sql", f"select {n}; {texts[n % 3]}; {texts[0]}") for n in range(9)]
+    read, counts = discovery._read, []
+
+    def counted(statements):
+        counts.append(statements.count())
+        return read(statements)
+
+    monkeypatch.setattr(discovery, "_read", counted)
+    shape = "file string, sql string"
+    edges, found = discovery.discover(spark.createDataFrame(rows, shape))
+    assert {(r.file, r.right.table) for r in found.collect()} == {(f"{n:03}.sql", f"b{n % 3}") for n in range(60)}
+    assert {(r.first_file, r.n_occurrences) for r in edges.collect()} == {(f"00{i}.sql", 20) for i in range(3)}
+    joins = discovery.extract_joins(spark.createDataFrame(rows, shape))
+    assert joins.groupBy("right_table").count().collect() and joins.count() == 60
+    # files that differ, of statements that repeat
+    edges, found = discovery.discover(spark.createDataFrame(bundles, shape))
+    assert sorted((r.right.table, r.n_occurrences, r.first_file) for r in edges.collect()) == [
+        ("b0", 9, "0.sql"), ("b1", 3, "1.sql"), ("b2", 3, "2.sql"),
+    ]
+    assert sorted((r.file, r.stmt_no) for r in found.collect()) == sorted(
+        [(f"{n}.sql", 1) for n in range(9)] + [(f"{n}.sql", 2) for n in range(9) if n % 3]
+    )
+    assert counts == [3, 3, 3]
