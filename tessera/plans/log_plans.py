@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import querylog
@@ -38,13 +38,15 @@ def log_events(events: DataFrame) -> DataFrame:
     return made.withColumn("ts", querylog.iso_utc(F.col("at")))
 
 
-def log_lines_of(spark: SparkSession, sf_dir: str, capped: bool = False) -> DataFrame:
+def log_lines_of(
+    spark: SparkSession, sf_dir: str, capped: bool = False, by: str | Column = "event_id"
+) -> DataFrame:
     rows = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", "event_type", "value"
     )
     line = querylog.format_event()
     short = querylog.format_event(querylog.SQL_CAP, querylog.DETAIL_CAP)
-    return log_events(dealt(rows, "event_id")).select(
+    return log_events(dealt(rows, by)).select(
         "event_id", "dsn", line.alias("line"), *([short.alias("short_line")] if capped else [])
     )
 
@@ -102,7 +104,9 @@ SELECT * FROM t WHERE bytes_from_end <= 32768"""
 def log_tail_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same tail of a log stored by period, of which most is neither moved nor read twice."""
     folder = working_folder(spark, "log-by-period")
-    written = log_lines_of(spark, sf_dir).withColumn("period", F.floor(F.col("event_id") / 5_000))
+    period = F.floor(F.col("event_id") / 5_000)
+    # a period's lines are made in one task, so there is one file per period, not one per period and task
+    written = log_lines_of(spark, sf_dir, by=period).withColumn("period", period)
     written.write.partitionBy("period").parquet(folder)
     lines = spark.read.parquet(folder)
     found = querylog.tail_by_histogram(lines, 32 * 1024, ["dsn"], ["event_id"], "period")

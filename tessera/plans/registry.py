@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(df: DataFrame, *keys: str) -> DataFrame:
+def dealt(df: DataFrame, *keys: str | Column) -> DataFrame:
     """Narrow fixture rows dealt out by key before long texts are made from them, at any size."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys)

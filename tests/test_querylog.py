@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tessera.operators import querylog
+from tessera.plans import log_plans
 
 EVENT = (
     "ts string, duration_ms long, dsn string, source string, ok boolean, row_count long,"
@@ -107,3 +108,10 @@ def test_tail_by_histogram_moves_only_what_may_be_in_the_tail(spark, tmp_path):
     plan = querylog.tail_by_histogram(stored, 300, ["source"], ["at"], "day")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "BroadcastHashJoin" in plan
     assert querylog.tail_by_histogram(stored.limit(0), 10, ["source"], ["at"], "day").count() == 0
+
+
+def test_a_stored_period_is_one_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(log_plans, "working_folder", lambda _, name: str(tmp_path / name))
+    assert log_plans.log_tail_stored(spark, "/root/testdata/sf0.1").count() > 0
+    periods = list((tmp_path / "log-by-period").glob("period=*"))
+    assert len(periods) >= 20 and all(len(list(p.glob("*.parquet"))) == 1 for p in periods)
