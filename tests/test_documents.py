@@ -2,6 +2,7 @@ import json
 import random
 import time
 
+from tessera.plans import scan_plans
 from tessera.functions.text import slug, xml_attr
 from tessera.operators import changes, documents, rendering
 from tessera.sources import projects
@@ -245,3 +246,10 @@ def test_rendering_time_grows_with_the_tables(spark, tmp_path):
         seconds[n] = time.monotonic() - start
     print(seconds)
     assert seconds[10_000] < 25 * max(seconds[1_000], 0.2)
+
+
+def test_project_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scan_plans, "working_folder", lambda _, name: str(tmp_path / name))
+    assert scan_plans.scanned_projects(spark, "/root/testdata/sf0.01").count() == 100
+    files = list((tmp_path / "projects").glob("part-*.txt"))
+    assert len(files) == 100 and len({f.name[:10] for f in files}) > 1
