@@ -9,9 +9,8 @@ its own row, until plain regular expressions can read the join clauses:
    a JOIN becomes a *scope* of its own, any other one only changes its brackets;
 3. each scope is cut at set operators, its FROM body at commas and join keywords.
 
-All rows stay where the scan put them: the first shuffle of join discovery is the
-aggregation by edge.  Nesting depth is measured per statement, so there is no
-limit on it.
+Everything here works inside one row.  Nesting depth is measured per statement, so
+there is no limit on it.
 """
 
 from __future__ import annotations
