@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tessera.session import BATCH_BYTES, SETTINGS
 from tessera.sources.checkpoints import working_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -37,13 +38,24 @@ def remainder(key: str, divisor: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold few bytes; one that names a bound itself keeps it.
+
+    A batch is held by the task's JVM, outside its heap, and by its Python worker.  By default it has up to 64 MB.
+    """
+    conf = df.sparkSession.conf
+    if BATCH_BYTES not in conf.getAll:
+        conf.set(BATCH_BYTES, SETTINGS[BATCH_BYTES])
+    return df
+
+
 def map_arrow(
     df: DataFrame,
     schema: str | StructType,
     function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch],
     rows: int = SLICE,
 ) -> DataFrame:
-    """``mapInArrow`` over slices of at most ``rows`` rows, so that a task holds few texts at once."""
+    """``mapInArrow`` over slices of at most ``rows`` rows, of few bytes, so that a task holds few texts at once."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -54,7 +66,7 @@ def map_arrow(
                 else:
                     yield from made
 
-    return df.mapInArrow(over, schema)
+    return bounded(df).mapInArrow(over, schema)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

@@ -30,6 +30,7 @@ from tessera.llm.common import (
     UPPER,
     bitmap,
     bitmap_bits,
+    bounded,
     map_arrow,
     place_in,
     texts_of,
@@ -128,7 +129,7 @@ def _scan(docs: DataFrame, words: int) -> DataFrame:
             [none, none, none, none, pa.array(blocks, pa.int32()), pa.array(packed, pa.binary())], names=names
         )
 
-    return docs.mapInArrow(over, "key long, n long, sa long, sb long, block int, counts binary")
+    return bounded(docs).mapInArrow(over, "key long, n long, sa long, sb long, block int, counts binary")
 
 
 def _count_table(blocks: DataFrame) -> np.ndarray:

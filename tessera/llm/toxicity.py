@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import SLICE, map_arrow, texts_of, written
+from tessera.llm.common import SLICE, bounded, map_arrow, texts_of, worker_state, written
 
 # Word lists of the grammar, in four languages: addressed persons, negations, reporting words, threats.
 TARGET = frozenset("you your youre u thou du dich dir euch ihr dein tu te toi vous ton ti vosotros usted vuestro".split())
@@ -223,18 +224,18 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", sample:
     n_toxic, n_clean = toxic.count(), clean.count()
     if not n_toxic:
         return Model()
-    seen = toxic.mapInArrow(lambda it: _tally(it, None), kind)
+    seen = bounded(toxic).mapInArrow(lambda it: _tally(it, None), kind)
     support = seen.groupBy("feature").agg(F.countDistinct("kin").alias("kin"), F.sum("n").alias("n"))
     support = {r["feature"]: r["n"] for r in support.filter(F.col("kin") >= least).collect()}
     wanted = frozenset(support)
-    in_clean = clean.mapInArrow(lambda it: _tally(it, wanted), kind).groupBy("feature").agg(F.sum("n").alias("n"))
+    in_clean = bounded(clean).mapInArrow(lambda it: _tally(it, wanted), kind).groupBy("feature").agg(F.sum("n").alias("n"))
     in_clean = {r["feature"]: r["n"] for r in in_clean.collect()}
     odds = {
         f: math.log((k + 0.5) / (n_toxic + 1)) - math.log((in_clean.get(f, 0) + 0.5) / (n_clean + 1))
         for f, k in support.items()
     }
     good = frozenset(f for f, o in odds.items() if o >= math.log(20))
-    terms = _cover([r["f"] for r in toxic.mapInArrow(lambda it: _kept(it, good), "f array<string>").collect()], odds)
+    terms = _cover([r["f"] for r in bounded(toxic).mapInArrow(lambda it: _kept(it, good), "f array<string>").collect()], odds)
     model = Model()
     model.insults |= {f: min(odds[f], 6.0) for f in terms if f[0] != "^"}
     model.stems = {f[1:]: min(odds[f], 6.0) for f in terms if f[0] == "^"}
@@ -317,10 +318,11 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     matched = rows.sparkSession.range(0).selectExpr("array(struct('' as word, '' as context)) as c").schema["c"].dataType
     schema = schema.add("score", "double").add("predicted", "integer").add("clauses", matched, True)
     columns = rows.columns
-    scorer = Scorer(model)
+    name = f"toxicity {uuid.uuid4().hex}"
     clause = pa.list_(pa.struct([("word", pa.string()), ("context", pa.string())]))
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
+        scorer = worker_state(name, lambda: Scorer(model))
         matches = [scorer.matches(t) for t in texts_of(batch, text)]
         scores = [scorer.score(m) for m in matches]
         found = [[{"word": w, "context": c} for w, c, _ in m] for m in matches]

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: Settings that hold at any size; partition counts come from the cluster.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot key even where that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # what a task and its Python worker hold of long texts at once
+    BATCH_BYTES: "4m",
 }
 
 

@@ -1,6 +1,9 @@
 """Helpers that several operators share."""
 
-from tessera.llm.common import ascii_lower, remainder, without
+import pyarrow as pa
+
+from tessera.llm.common import ascii_lower, map_arrow, remainder, without
+from tessera.session import BATCH_BYTES
 
 
 def test_without_is_an_anti_join(spark):
@@ -24,3 +27,20 @@ def test_remainder_is_that_of_crc32(spark):
     rows = spark.createDataFrame([(1,), (123456789,), (None,)], "doc_id long").select("doc_id", remainder("doc_id", 5))
     for key, rest in rows.collect():
         assert rest == zlib.crc32(("" if key is None else str(key)).encode()) % 5
+
+
+def test_a_slice_holds_few_bytes(spark):
+    def sizes(batch):
+        return pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    own = spark.newSession()
+    try:
+        own.conf.unset(BATCH_BYTES)
+        docs = own.range(0, 250, 1, 1).selectExpr("repeat(cast(id as string), 40000) as text")
+        got = map_arrow(docs, "n long, size long", sizes).collect()
+        assert sum(r["n"] for r in got) == 250 and max(r["size"] for r in got) < 5_000_000
+        own.conf.set(BATCH_BYTES, "1m")
+        map_arrow(docs, "n long, size long", sizes)
+        assert own.conf.get(BATCH_BYTES) == "1m"
+    finally:
+        spark.sparkContext._jvm.SparkSession.setActiveSession(spark._jsparkSession)
