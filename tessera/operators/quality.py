@@ -262,16 +262,19 @@ def tag_terms(docs: DataFrame, terms: DataFrame, doc_key: str, text: str = "text
         F.array_join("_w", " ").alias("_phrase"),
         (F.size("_w") > _ANCHOR).alias("_long"),
     ).distinct()
-    pieces = _beginnings(docs, wanted, doc_key, text)
+    # a document's runs are told apart before terms are looked up: a run has several terms, a term one run
+    pieces = _beginnings(docs, wanted, doc_key, text).distinct()
     anchors = wanted.select("term", F.array_join("_first", " ").alias("_anchor"), "_phrase", "_long")
     # a run that is no phrase's beginning goes before its text is moved anywhere
-    met = pieces.join(anchors, "_anchor").select(doc_key, "term", "_phrase", "_long").distinct()
-    short = met.where(~F.col("_long")).select(doc_key, "term")
+    short = pieces.join(anchors.where(~F.col("_long")), "_anchor").select(doc_key, "term")
+    begun = pieces.join(anchors.where("_long"), "_anchor").select(F.col(doc_key).alias("_doc"), "term", "_phrase")
     padded = F.concat(F.lit(" "), F.array_join(words(F.col(text)), " "), F.lit(" "))
     whole = (
         docs.select(doc_key, text)
-        .join(met.where("_long"), doc_key)
+        # null equals null: a plain join would test its keys in the runs, and they would be made a second time
+        .join(begun, F.col(doc_key).eqNullSafe(F.col("_doc")))
         .where(F.contains(padded, F.concat(F.lit(" "), F.col("_phrase"), F.lit(" "))))
         .select(doc_key, "term")
+        .distinct()
     )
-    return short.unionByName(whole).distinct()
+    return short.unionByName(whole)

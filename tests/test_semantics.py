@@ -166,6 +166,19 @@ def test_only_runs_that_begin_a_term_are_formed(spark):
     assert quality.tag_terms(docs, terms.limit(0), "id").count() == 0
 
 
+def test_runs_are_made_once_for_terms_of_any_length(spark):
+    rows = [(None, "Red green blue tail"), (None, "red, green blue tail"), (1, "tail red green blue"), (1, "red green blue tail")]
+    docs = spark.createDataFrame([*rows, (2, "red green blue")], "id int, text string")
+    terms = spark.createDataFrame([("Tail",), ("tail",), ("red green blue tail",), ("tail",)], "term string")
+    tagged = quality.tag_terms(docs, terms, "id")
+    every = {(k, t) for k in (None, 1) for t in ("Tail", "tail", "red green blue tail")}
+    got = list(map(tuple, tagged.collect()))
+    assert len(got) == len(every) and set(got) == every
+    # both uses of the runs ask for the same rows, so that one exchange serves both
+    made = [n for n in tagged._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in n and "isnotnull(id" in n]
+    assert not made
+
+
 def test_as_of_join_reads_facts_once(spark, tmp_path):
     spark.sql("SELECT 1 AS k, TIMESTAMP_NTZ '2020-01-02' AS at, 7 AS pay").write.parquet(f"{tmp_path}/facts")
     facts = spark.read.parquet(f"{tmp_path}/facts")
