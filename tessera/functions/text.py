@@ -16,7 +16,10 @@ def squeeze(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    """Only a text with white space at an end is searched for it."""
+    ends = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    stripped = F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.when(F.rlike(ends, F.lit(WHITESPACE)), stripped).otherwise(text)
 
 
 def is_blank(text: Column) -> Column:
