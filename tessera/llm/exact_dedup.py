@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower, text_of
+from tessera.llm.common import ascii_lower, text_of, written
 from tessera.sources.checkpoints import checkpointed
 
 #: Least and most bytes of a chunk.
@@ -52,21 +52,15 @@ def verified_seed(cut: DataFrame, chunk: str, seeds: range = range(8)) -> int:
     raise ArithmeticError("no seed gives every chunk an identifier of its own")
 
 
-def duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """All rows and columns of ``docs`` with keep_id, group_size, kept and text_sha256 of their text.
-
-    Texts are equal when identical after lower-casing A-Z; null counts as ''.  Of equal texts the
-    largest key stays.  A null key never wins over another; a group of null keys only has keep_id
-    null and keeps every row.  Rows that repeat key and text are all kept or all dropped.  Columns
-    of these four names are replaced; an empty table gives an empty one.
-    """
-    made = ["keep_id", "group_size", "kept", "text_sha256"]
-    rows = docs.drop(*made)
+def _named(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with their text's verified identifiers in order, as __recipe, and its text_sha256."""
     norm = ascii_lower(text_of(text))
-    cut = rows.select(F.explode(chunks(norm)).alias("__chunk"))
-    seed = verified_seed(cut, "__chunk")
+    seed = verified_seed(rows.select(F.explode(chunks(norm)).alias("__chunk")), "__chunk")
     recipe = F.transform(chunks(norm), lambda c: identifier(c, seed))
-    named = rows.withColumns({"__recipe": recipe, "text_sha256": F.sha2(norm, 256)})
+    return rows.withColumns({"__recipe": recipe, "text_sha256": F.sha2(norm, 256)})
+
+
+def _grouped(named: DataFrame, columns: list[str], key: str) -> DataFrame:
     groups = (
         named.groupBy("__recipe")
         .agg(F.max(key).alias("__keep"), F.count("*").alias("__size"))
@@ -77,9 +71,30 @@ def duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     joined = named.join(groups, F.col("__recipe") == F.col("__group"), "left")
     alone = F.col("__size").isNull()
     return joined.select(
-        *rows.columns,
+        *columns,
         F.when(alone, F.col(key)).otherwise(F.col("__keep")).alias("keep_id"),
         F.coalesce("__size", F.lit(1)).cast("long").alias("group_size"),
         F.when(alone, F.lit(True)).otherwise(F.col(key).eqNullSafe(F.col("__keep"))).alias("kept"),
         "text_sha256",
     )
+
+
+def duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """All rows and columns of ``docs`` with keep_id, group_size, kept and text_sha256 of their text.
+
+    Texts are equal when identical after lower-casing A-Z; null counts as ''.  Of equal texts the
+    largest key stays.  A null key never wins over another; a group of null keys only has keep_id
+    null and keeps every row.  Rows that repeat key and text are all kept or all dropped.  Columns
+    of these four names are replaced; an empty table gives an empty one.
+    """
+    rows = docs.drop("keep_id", "group_size", "kept", "text_sha256")
+    return _grouped(_named(rows, text), rows.columns, key)
+
+
+def marks(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The key and the four columns of ``duplicates``, a row for every row of ``docs``.
+
+    Without texts to return, keys, recipes and digests are written once; groups and join read those.
+    """
+    named = written(_named(docs.select(key, text), text).drop(text), "recipes")
+    return _grouped(named, [key], key)

@@ -65,8 +65,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 FROM d JOIN g USING (t)"""
 )
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return exact_dedup.duplicates(docs).drop("text")
+    return exact_dedup.marks(table(spark, sf_dir, "documents"))
 
 
 @query(None)

@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 
-from tessera.llm import exact_dedup
+from tessera.llm import exact_dedup, queries
 from tessera.llm.common import LOWER, UPPER
 
 TABLE = str.maketrans(UPPER, LOWER)
@@ -73,3 +73,14 @@ def test_columns_and_empty_table(spark):
     out = exact_dedup.duplicates(docs)
     assert out.columns == ["doc_id", "text", "size", "keep_id", "group_size", "kept", "text_sha256"]
     assert exact_dedup.duplicates(docs.limit(0)).count() == 0
+
+
+def test_marks_cut_no_text_again(spark):
+    rows = [(1, "Abc"), (2, "aBC"), (3, None), (4, ""), (None, "abc"), (None, "z"), (5, "y" * 20_000), (5, "y" * 20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = exact_dedup.marks(docs)
+    assert out.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    assert sorted([tuple(r) for r in out.collect()], key=str) == plain(rows)
+    assert exact_dedup.marks(docs.limit(0)).count() == 0
+    query = queries.op3_exact_dedup(spark, "/root/testdata/sf0.001")
+    assert "regexp_extract_all" not in query._jdf.queryExecution().executedPlan().toString()
